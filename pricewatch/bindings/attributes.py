@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricewatch.bindings.registry import query
 from pricewatch.functions import attributes as at
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.classify import is_family_2026, is_variant_candidate
 
 
@@ -16,9 +17,16 @@ from pricewatch.functions.classify import is_family_2026, is_variant_candidate
     FROM {items}""")
 def brand_detect(r):
     title = F.col("raw_text")
-    falcon = F.regexp_replace(title, "Philips", "iFFalcon")
-    slug = F.regexp_replace(F.lower(title), "[^a-z0-9]+", "-")
-    return r["items"].select(
+    texts = computed_once(
+        r["items"].select("part_no", "raw_text"),
+        {
+            "raw_text": title,
+            "falcon": F.regexp_replace(title, "Philips", "iFFalcon"),
+            "slug": F.regexp_replace(F.lower(title), "[^a-z0-9]+", "-"),
+        },
+    )
+    falcon, slug = F.col("falcon"), F.col("slug")
+    return texts.select(
         "part_no",
         at.brand_by_substring(title).alias("by_substring"),
         at.brand_by_word(title).alias("by_word"),

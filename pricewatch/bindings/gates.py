@@ -46,8 +46,8 @@ def drift_guard(r):
 
 @query("drift_guard_bulk", """
     WITH ratios AS (
-        SELECT platform AS channel, price / avg_price AS ratio FROM (
-            SELECT platform, price, arg_max(price, (obs_date, seq, price)) OVER (PARTITION BY product_name) AS avg_price
+        SELECT platform AS channel, unit_cost / last_cost AS ratio FROM (
+            SELECT platform, unit_cost, arg_max(unit_cost, (obs_date, seq, unit_cost)) OVER (PARTITION BY product_name) AS last_cost
             FROM {unit_prices}))
     SELECT channel, count(*) AS sample, round(median(ratio), 9) AS median_ratio,
            count(*) FILTER (ratio < 0.4 OR ratio > 2.5) / count(*) AS extreme_share,
@@ -57,9 +57,9 @@ def drift_guard(r):
 def drift_guard_bulk(r):
     """Every observation against the latest of its product: a large sample per channel."""
     log = r["unit_prices"]
-    last = latest_by(log, ["product_name"], [F.col("obs_date"), F.col("seq")], "price", "last_price")
+    last = latest_by(log, ["product_name"], [F.col("obs_date"), F.col("seq")], "unit_cost", "last_cost")
     ratios = log.join(last, "product_name").select(
-        F.col("platform").alias("channel"), (F.col("price") / F.col("last_price")).alias("ratio")
+        F.col("platform").alias("channel"), (F.col("unit_cost") / F.col("last_cost")).alias("ratio")
     )
     return gates.drift_verdict(ratios).withColumn("median_ratio", F.round("median_ratio", 9))
 

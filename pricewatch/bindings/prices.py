@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from pricewatch import schemas
 from pricewatch.bindings.registry import query
-from pricewatch.channels import by_channel
 from pricewatch.functions import price as px
-from pricewatch.functions.markup import structured_price
+from pricewatch.functions.markup import with_structured_price
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.trend import trend_label
 from pricewatch.operators import match, reconcile, recovery
+from pricewatch.operators.cards import card_prices
 from pricewatch.operators.retention import trim_window
 from pricewatch.sources.price_log import latest_prices, price_history, successful
 
@@ -150,11 +151,8 @@ def union_results(r):
 
 @query("normalize_price_text", "SELECT part_no, price, currency FROM {price_texts}")
 def normalize_price_text(r):
-    return (
-        r["price_texts"]
-        .select("part_no", px.price_from_text(F.col("price_text")).alias("p"))
-        .select("part_no", F.col("p.price").alias("price"), F.col("p.currency").alias("currency"))
-    )
+    texts = r["price_texts"].select("part_no", "price_text")
+    return px.with_price(texts, F.col("price_text")).select("part_no", "price", "currency")
 
 
 _SCHEMA_TEXT = """CASE part_no % 4 WHEN 0 THEN concat(CAST(cents AS STRING), 'e-2')
@@ -169,9 +167,7 @@ _SCHEMA_TEXT = """CASE part_no % 4 WHEN 0 THEN concat(CAST(cents AS STRING), 'e-
     FROM {cents}""")
 def normalize_schema_price(r):
     texts = r["cents"].selectExpr("part_no", f"{_SCHEMA_TEXT} AS amount_text")
-    return texts.select(
-        "part_no", px.schema_amount(F.col("amount_text"), F.lit("gbp")).alias("price")
-    )
+    return px.with_schema_amount(texts, F.col("amount_text"), F.lit("gbp")).select("part_no", "price")
 
 
 _CARD_TEXT = """CASE platform WHEN 'Boulanger' THEN concat(thousands, CASE WHEN thousands = '' THEN '' ELSE ' ' END, hundreds, ',', fraction, ' €')
@@ -188,8 +184,7 @@ def channel_card_price(r):
     cards = r["amounts"].selectExpr("*", f"{_CARD_PLATFORM} AS platform").selectExpr(
         "part_no", "platform", f"{_CARD_TEXT} AS price_text"
     )
-    amount = by_channel(F.col("platform"), lambda c: c.bounded_card_price(F.col("price_text")))
-    return cards.select("part_no", "platform", amount.alias("price"))
+    return card_prices(cards).select("part_no", "platform", F.col("price_local").alias("price"))
 
 
 @query("market_price_pair", """
@@ -197,15 +192,15 @@ def channel_card_price(r):
            CASE WHEN currency = 'GBP' THEN round(price / 0.85973, 2) END AS price_eur
     FROM {price_texts}""")
 def market_price_pair(r):
-    pair = px.expected_currency_price(F.col("price_text"), F.lit("GBP"))
-    return r["price_texts"].select("part_no", pair.alias("p")).select("part_no", "p.*")
+    texts = r["price_texts"].select("part_no", "price_text")
+    return px.with_market_price(texts, F.col("price_text"), F.lit("GBP")).drop("price_text")
 
 
 @query("price_range", """
     SELECT part_no, CASE WHEN price BETWEEN 950 AND 1000 THEN price END AS price FROM {price_texts}""")
 def price_range(r):
-    amount = px.text_amount(F.col("price_text"))
-    return r["price_texts"].select("part_no", px.within(amount, 950, 1000).alias("price"))
+    read = px.with_price(r["price_texts"].select("part_no", "price_text"), F.col("price_text"))
+    return read.select("part_no", px.within(F.col("price"), 950, 1000).alias("price"))
 
 
 _CURRENCY = "CASE c_nationkey % 4 WHEN 0 THEN 'EUR' WHEN 1 THEN ' nok' WHEN 2 THEN 'GBP' ELSE 'USD' END"
@@ -267,7 +262,5 @@ def structured_page_price(r):
         .when(style == 5, F.lit('<meta itemprop="price" content="7.99">'))
         .otherwise(F.lit(""))
     )
-    found = structured_price(F.concat(prefix, F.col("html")))
-    return r["pages"].select("page_id", found.alias("p")).select(
-        "page_id", F.col("p.price").alias("price"), F.col("p.currency").alias("currency")
-    )
+    marked = computed_once(r["pages"].select("page_id", "html"), {"html": F.concat(prefix, F.col("html"))})
+    return with_structured_price(marked, F.col("html")).select("page_id", "price", "currency")

@@ -189,14 +189,13 @@ def required_brands(r):
 
 @query("missing_required", f"""
     WITH {_FLAT},
-    late AS (SELECT * FROM hits WHERE amount > (SELECT 0.999 * max(amount) FROM hits))
+    widest AS (SELECT * FROM hits WHERE raw_text LIKE '% 129"%')
     SELECT b AS brand FROM (VALUES ('hisense'), ('lg'), ('samsung'), ('sony'), ('tcl')) AS v(b)
-    WHERE b NOT IN (SELECT lower(source_brand) FROM late WHERE source_brand IS NOT NULL)""")
+    WHERE b NOT IN (SELECT lower(source_brand) FROM widest WHERE source_brand IS NOT NULL)""")
 def missing_required(r):
-    """Required brands without one of the dearest products."""
-    found = hits(r)
-    dearest = found.filter(F.col("amount") > found.agg(F.max("amount") * 0.999).scalar())
-    return reconcile.missing_brands(dearest, reconcile.required_brands(r.spark))
+    """Required brands without one of the widest products."""
+    widest = hits(r).filter(F.col("raw_text").contains(' 129"'))
+    return reconcile.missing_brands(widest, reconcile.required_brands(r.spark))
 
 
 @query("page_range_check", f"""

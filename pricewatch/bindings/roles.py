@@ -65,7 +65,8 @@ ROLES = {
                {_PLATFORM_OF.format("l_partkey")} AS platform,
                CAST(CAST(l_shipdate AS DATE) AS STRING) AS obs_date,
                '00:00:00' AS obs_time,
-               l_extendedprice / l_quantity AS price,
+               (500 + l_partkey % 1000) * (1 + l_tax) AS price,
+               l_extendedprice / l_quantity AS unit_cost,
                CASE l_linestatus WHEN 'F' THEN 'Success' ELSE 'Pending' END AS status
         FROM {{lineitem}}""",
     # --- watch list and its batch snapshot ---
@@ -98,14 +99,16 @@ ROLES = {
                {_url_of("l_partkey", False)} AS url,
                {_CURRENCY_OF.format("l_partkey")} AS currency,
                l_partkey AS part_no,
-               l_extendedprice / l_quantity AS price_local,
+               (500 + l_partkey % 1000) * (1 - l_discount)
+                   * CASE WHEN l_returnflag = 'R' AND l_partkey % 4 = 1 THEN 0.3 ELSE 1.0 END AS price_local,
                concat(CAST(CAST(l_shipdate AS DATE) AS STRING), lpad(CAST(l_orderkey AS STRING), 12, '0'),
                       CAST(l_linenumber AS STRING)) AS pos
         FROM {{lineitem}}
         WHERE l_linestatus = 'O'""",
     # --- texts that hold a price ---
     "cents": """
-        SELECT p_partkey AS part_no, CAST(round(p_retailprice * 100) AS BIGINT) AS cents FROM {part}""",
+        SELECT p_partkey AS part_no, CAST(round(p_retailprice * 100) AS BIGINT) * (1 + p_size % 3) AS cents
+        FROM {part}""",
     "amounts": """
         SELECT part_no, part_no % 6 AS style, CAST(floor(cents / 100) AS BIGINT) AS whole,
                lpad(CAST(cents % 100 AS STRING), 2, '0') AS fraction,

@@ -18,6 +18,12 @@ from pricewatch.functions.text import or_empty, strip
 
 @dataclass(frozen=True)
 class Channel:
+    """Rules of one retailer.
+
+    A card's price is read either by ``card_amount``, or by the general price reader
+    from what ``card_text`` makes of the text.
+    """
+
     key: str
     name: str
     currency: str
@@ -25,7 +31,8 @@ class Channel:
     batch_key: Callable[[Column], Column] = identity.url_key
     canonical_url: Callable[[Column], Column] = identity.url_key
     gone: Callable[[Column, Column, Column], Column] = classify.is_gone
-    card_price: Callable[[Column], Column] = price.text_amount
+    card_text: Callable[[Column], Column] | None = None
+    card_amount: Callable[[Column], Column] | None = None
     brand: Callable[[Column], Column] = attributes.brand_by_word
     size: Callable[[Column], Column] = attributes.size_amazon
     batch_prices: bool = False
@@ -36,8 +43,7 @@ class Channel:
     def dead_title(self, title: Column) -> Column:
         return classify.is_dead_title(title, self.key)
 
-    def bounded_card_price(self, text: Column) -> Column:
-        amount = self.card_price(text)
+    def bounded(self, amount: Column) -> Column:
         return price.within(amount, *self.bounds) if self.bounds else amount
 
 
@@ -46,7 +52,7 @@ CHANNELS = (
         "boulanger", "Boulanger", "EUR", (50, 50_000),
         batch_key=identity.boulanger_key,
         canonical_url=identity.boulanger_url,
-        card_price=price.comma_decimal_amount,
+        card_amount=price.comma_decimal_amount,
         brand=attributes.brand_by_substring,
         size=attributes.size_boulanger,
         batch_prices=True, min_items=180, min_coverage=0.50,
@@ -56,16 +62,16 @@ CHANNELS = (
         batch_key=identity.currys_key,
         canonical_url=identity.currys_url,
         gone=classify.is_gone_or_redirected,
-        card_price=price.pound_amount,
+        card_amount=price.pound_amount,
         brand=attributes.brand_of_slug,
         size=attributes.size_currys_title,
         batch_prices=True, min_items=300, min_coverage=0.55,
     ),
-    Channel("amazon", "Amazon", "EUR", None),
+    Channel("amazon", "Amazon", "EUR", None, card_text=lambda text: text),
     Channel(
         "elkjop", "Elkjop", "NOK", (100, 500_000),
         canonical_url=identity.elkjop_url,
-        card_price=price.krone_amount,
+        card_text=price.as_kroner,
         brand=attributes.brand_elkjop,
         size=attributes.size_elkjop,
         api_prices=True,

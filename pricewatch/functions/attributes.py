@@ -25,7 +25,14 @@ from pricewatch.fixed_values import (
     YEAR_ATTRIBUTE,
 )
 from pricewatch.functions.price import within
-from pricewatch.functions.text import blank_to_null, first_group, or_empty, strip, to_number
+from pricewatch.functions.text import (
+    blank_to_null,
+    first_group,
+    first_of_patterns,
+    or_empty,
+    strip,
+    to_number,
+)
 
 
 def first_of(*candidates: tuple[Column, str]) -> Column:
@@ -190,9 +197,7 @@ def series_of(brand: Column, title: Column) -> Column:
     upper_brand = F.upper(or_empty(brand))
 
     def matched(patterns) -> Column:
-        return F.coalesce(
-            *(first_group(text, p) for p in patterns), *(first_group(joined, p) for p in patterns)
-        )
+        return first_of_patterns((text, joined), patterns)
 
     (head, patterns), *rest = SERIES_PATTERNS.items()
     hit = reduce(

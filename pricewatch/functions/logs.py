@@ -10,7 +10,7 @@ from pricewatch.fixed_values import (
     RE_LOG_PRODUCT,
     RE_LOG_TIMESTAMP,
 )
-from pricewatch.functions.text import first_group, or_empty
+from pricewatch.functions.text import or_empty
 
 
 def line_kind(line: Column) -> Column:
@@ -24,23 +24,25 @@ def line_kind(line: Column) -> Column:
 
 
 def product_fields(line: Column) -> dict[str, Column]:
+    """Fields of a line known to name a product."""
     return {
-        "country": first_group(line, RE_LOG_PRODUCT, 1),
-        "product_name": first_group(line, RE_LOG_PRODUCT, 2),
-        "platform": first_group(line, RE_LOG_PRODUCT, 3),
+        "country": F.regexp_extract(line, RE_LOG_PRODUCT, 1),
+        "product_name": F.regexp_extract(line, RE_LOG_PRODUCT, 2),
+        "platform": F.regexp_extract(line, RE_LOG_PRODUCT, 3),
     }
 
 
 def price_fields(line: Column) -> dict[str, Column]:
+    """Fields of a line known to hold a batch price."""
     return {
-        "currency": first_group(line, RE_LOG_BATCH, 1),
-        "price": first_group(line, RE_LOG_BATCH, 2).try_cast("double"),
-        "logged_trend": first_group(line, RE_LOG_BATCH, 3),
+        "currency": F.regexp_extract(line, RE_LOG_BATCH, 1),
+        "price": F.regexp_extract(line, RE_LOG_BATCH, 2).try_cast("double"),
+        "logged_trend": F.regexp_extract(line, RE_LOG_BATCH, 3),
     }
 
 
 def line_timestamp(line: Column) -> Column:
-    return or_empty(first_group(line, RE_LOG_TIMESTAMP))
+    return or_empty(F.regexp_extract(line, RE_LOG_TIMESTAMP, 1))
 
 
 def time_of(timestamp: Column) -> Column:

@@ -2,54 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pricewatch.functions.price import schema_amount
-from pricewatch.functions.text import blank_to_null, first_group, or_empty
+from pricewatch.functions.once import computed_once
+from pricewatch.functions.price import schema_amount, with_schema_amount
+from pricewatch.functions.text import blank_to_null, or_empty
 
 _OFFERS = "array<struct<price:string,priceCurrency:string>>"
 _NODES = "array<struct<offers:string,`@graph`:string>>"
 _GRAPH = "array<struct<offers:string>>"
+_LD_SCRIPT = r"(?is)<script\b[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
+
+# Meta tags by what they hold; the first named tag of a pair wins.
+_AMOUNT_TAGS = (("property", "product:price:amount"), ("itemprop", "price"))
+_CURRENCY_TAGS = (("property", "product:price:currency"), ("itemprop", "priceCurrency"))
 
 
 def tag_text(html: Column, tag: str) -> Column:
-    return or_empty(first_group(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>"))
+    return or_empty(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1))
 
 
-def meta_content(html: Column, attribute: str, name: str) -> Column:
-    """``content`` of the first meta tag with the given attribute value."""
-    tag = F.regexp_extract(html, rf"(?is)<meta\b[^>]*\b{attribute}\s*=\s*[\"']{name}[\"'][^>]*>", 0)
-    return blank_to_null(F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*[\"']([^\"']*)[\"']", 1))
+def meta_tag(html: Column, attribute: str, name: str) -> Column:
+    """The first meta tag with the given attribute value, empty when there is none."""
+    return F.regexp_extract(html, rf"(?is)<meta\b[^>]*\b{attribute}\s*=\s*[\"']{name}[\"'][^>]*>", 0)
 
 
-def meta_price(html: Column) -> Column:
-    amount = F.coalesce(
-        meta_content(html, "property", "product:price:amount"),
-        meta_content(html, "itemprop", "price"),
-    )
-    stated = F.coalesce(
-        meta_content(html, "property", "product:price:currency"),
-        meta_content(html, "itemprop", "priceCurrency"),
-        F.lit("EUR"),
-    )
-    currency = F.when(stated == amount, "EUR").otherwise(stated)
-    return _priced(amount, currency)
+def tag_content(tag: Column) -> Column:
+    return F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*[\"']([^\"']*)[\"']", 1)
 
 
-def _priced(amount: Column, currency: Column) -> Column:
-    value = schema_amount(amount, currency)
-    return F.when(value.isNotNull(), F.struct(value.alias("price"), currency.alias("currency")))
+def with_meta_price(rows: DataFrame, html: Column, price: str, currency: str) -> DataFrame:
+    """Add the price of the meta tags; a missing or echoed currency means EUR."""
+    named = {f"__a{i}": tag for i, tag in enumerate(_AMOUNT_TAGS)}
+    named |= {f"__c{i}": tag for i, tag in enumerate(_CURRENCY_TAGS)}
+    tags = computed_once(rows, {c: meta_tag(html, *tag) for c, tag in named.items()})
+    contents = computed_once(tags, {c: tag_content(F.col(c)) for c in named})
+    amount = F.coalesce(blank_to_null(F.col("__a0")), blank_to_null(F.col("__a1")))
+    stated = F.coalesce(blank_to_null(F.col("__c0")), blank_to_null(F.col("__c1")), F.lit("EUR"))
+    found = computed_once(contents, {"__a0": amount, "__c0": stated})
+    unit = F.when(F.col("__c0") == F.col("__a0"), "EUR").otherwise(F.col("__c0"))
+    priced = with_schema_amount(found, F.col("__a0"), unit, price)
+    return priced.withColumn(currency, F.when(F.col(price).isNotNull(), unit)).drop(*named)
 
 
-def json_ld_price(html: Column) -> Column:
-    """First believable offer over scripts, items and offers, in document order."""
+def _node_offers(node: Column) -> Column:
+    graph = F.filter(F.from_json(node["@graph"], _GRAPH), lambda g: g["offers"].isNotNull())
+    return F.coalesce(node["offers"], F.get(graph, 0)["offers"])
+
+
+def json_ld_offers(html: Column) -> Column:
+    """``array<struct(price, priceCurrency)>`` over scripts and items, in document order."""
     scripts = F.filter(
-        F.regexp_extract_all(
-            html,
-            F.lit(r"(?is)<script\b[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"),
-            F.lit(1),
-        ),
-        lambda s: s.contains('"price"'),
+        F.regexp_extract_all(html, F.lit(_LD_SCRIPT), F.lit(1)), lambda s: s.contains('"price"')
     )
     nodes = F.flatten(F.transform(scripts, lambda s: F.coalesce(F.from_json(s, _NODES), F.array())))
     offers = F.flatten(
@@ -58,20 +62,32 @@ def json_ld_price(html: Column) -> Column:
             lambda n: F.coalesce(F.from_json(_node_offers(n), _OFFERS), F.array()),
         )
     )
-    prices = F.transform(
-        F.filter(offers, lambda o: o["price"].isNotNull()),
-        lambda o: _priced(o["price"], F.coalesce(o["priceCurrency"], F.lit("EUR"))),
-    )
-    return F.get(F.filter(prices, lambda p: p.isNotNull()), 0)
+    return F.filter(offers, lambda o: o["price"].isNotNull())
 
 
-def _node_offers(node: Column) -> Column:
-    graph = F.filter(
-        F.from_json(node["@graph"], _GRAPH), lambda g: g["offers"].isNotNull()
-    )
-    return F.coalesce(node["offers"], F.get(graph, 0)["offers"])
-
-
-def structured_price(html: Column) -> Column:
-    """``struct(price, currency)``: meta tags win over JSON-LD; null when neither holds one."""
-    return F.coalesce(meta_price(html), json_ld_price(html))
+def json_ld_price(html: Column) -> Column:
+    """``struct(price, currency)`` of the first believable offer, null when there is none."""
+
+    def priced(offer: Column) -> Column:
+        unit = F.coalesce(offer["priceCurrency"], F.lit("EUR"))
+        return F.struct(schema_amount(offer["price"], unit).alias("price"), unit.alias("currency"))
+
+    prices = F.transform(json_ld_offers(html), priced)
+    return F.get(F.filter(prices, lambda p: p["price"].isNotNull()), 0)
+
+
+def with_structured_price(rows: DataFrame, html: Column, price: str = "price",
+                          currency: str = "currency") -> DataFrame:
+    """Add the structured price of each page: meta tags, else the first believable offer.
+
+    Each page is searched where it lies: nothing is shuffled, and only pages without a
+    meta price are searched for scripts.
+    """
+    meta = with_meta_price(rows, html, price, currency)
+    found = computed_once(meta, {"__ld": F.when(F.col(price).isNull(), json_ld_price(html))})
+    return found.withColumns(
+        {
+            price: F.coalesce(F.col(price), F.col("__ld.price")),
+            currency: F.coalesce(F.col(currency), F.col("__ld.currency")),
+        }
+    ).drop("__ld")

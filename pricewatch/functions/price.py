@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewatch.fixed_values import (
     CURRENCY_TOKENS,
@@ -13,6 +13,7 @@ from pricewatch.fixed_values import (
     RE_NUMBER,
     UNITS_PER_EUR,
 )
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.text import blank_to_null, or_empty, strip, to_number
 
 
@@ -31,20 +32,20 @@ def _first_number(text: Column) -> Column:
 
 
 def _bare_amount(text: Column) -> Column:
-    return strip(reduce(lambda c, token: F.replace(c, F.lit(token), F.lit("")), CURRENCY_TOKENS, text))
+    """The text without currency signs and blanks."""
+    bare = reduce(lambda c, token: F.replace(c, F.lit(token), F.lit("")), CURRENCY_TOKENS, text)
+    return F.replace(strip(bare), F.lit(" "), F.lit(""))
 
 
-def price_from_text(text: Column) -> Column:
-    """``struct(price, currency)`` of the first amount in a text; null when there is none.
+def _plain_number(bare: Column, currency: Column) -> Column:
+    """The first number of a bare amount, its separators read by currency.
 
     Euro and krone amounts with both separators use the dot for thousands. A krone
     amount whose last dot is followed by exactly three characters has a thousands dot;
     a lone euro dot stays a decimal point. Pound and dollar commas are thousands.
     """
-    currency = currency_of(text)
-    bare = F.replace(_bare_amount(text), F.lit(" "), F.lit(""))
     dotted, commaed = bare.contains("."), bare.contains(",")
-    number = _first_number(
+    return _first_number(
         F.when(currency.isin("GBP", "USD"), F.translate(bare, ",", ""))
         .when(dotted & commaed, F.translate(bare, ",.", "."))
         .when(
@@ -53,19 +54,69 @@ def price_from_text(text: Column) -> Column:
         )
         .otherwise(F.translate(bare, ",", "."))
     )
-    return F.when(number.isNotNull(), F.struct(number.alias("price"), currency.alias("currency")))
+
+
+def price_from_text(text: Column) -> Column:
+    """``with_price`` as one expression, for the elements of a short array."""
+    currency = currency_of(text)
+    number = _plain_number(_bare_amount(text), currency)
+    return F.struct(number.alias("price"), F.when(number.isNotNull(), currency).alias("currency"))
 
 
 def schema_amount(amount: Column, currency: Column) -> Column:
-    """Machine-readable amount first, price text second; below 10 is not believed."""
-    text = strip(amount)
-    symbol = (
-        F.when(F.upper(currency) == "GBP", "£").when(F.upper(currency) == "USD", "$").otherwise("")
-    )
+    """``with_schema_amount`` as one expression, for the elements of a short array."""
+    text, code = strip(amount), F.upper(currency)
+    symbol = F.when(code == "GBP", "£").when(code == "USD", "$").otherwise("")
     value = F.coalesce(to_number(text), price_from_text(F.concat(symbol, text)).getField("price"))
     return F.when(value >= MIN_SCHEMA_PRICE, value)
 
 
+def with_price(rows: DataFrame, text: Column, price: str = "price", currency: str = "currency") -> DataFrame:
+    """Add the first amount of a text and its currency; both are null when there is none.
+
+    Built in steps, so that each text is cleaned once and the generated code stays small.
+    """
+    texts = computed_once(rows, {"__text": text})
+    cleaned = computed_once(
+        texts, {"__currency": currency_of(F.col("__text")), "__bare": _bare_amount(F.col("__text"))}
+    )
+    read = computed_once(cleaned, {price: _plain_number(F.col("__bare"), F.col("__currency"))})
+    return read.withColumn(
+        currency, F.when(F.col(price).isNotNull(), F.col("__currency"))
+    ).drop("__text", "__currency", "__bare")
+
+
+def with_schema_amount(rows: DataFrame, amount: Column, currency: Column, price: str = "price") -> DataFrame:
+    """Add a machine-readable amount, else one read as price text; below 10 is not believed."""
+    code = F.upper(currency)
+    symbol = F.when(code == "GBP", "£").when(code == "USD", "$").otherwise("")
+    texts = computed_once(rows, {"__amount": strip(amount), "__symbol": symbol})
+    plain = computed_once(texts, {"__plain": to_number(F.col("__amount"))})
+    unread = F.when(F.col("__plain").isNull(), F.concat("__symbol", "__amount"))
+    read = with_price(plain, unread, "__read", "__unit")
+    value = F.coalesce("__plain", "__read")
+    return computed_once(read, {price: F.when(value >= MIN_SCHEMA_PRICE, value)}).drop(
+        "__amount", "__symbol", "__plain", "__read", "__unit"
+    )
+
+
+def with_market_price(rows: DataFrame, text: Column, expected: Column) -> DataFrame:
+    """Add ``price_local``, ``currency`` and ``price_eur``.
+
+    A price in another currency than the market's keeps its code but not its amount.
+    """
+    read = with_price(computed_once(rows, {"__expected": expected}), text, "__price", "currency")
+    matches = F.col("currency") == F.col("__expected")
+    local = F.when(matches, F.round("__price", 2))
+    eur = F.when(matches, to_eur(F.col("__price"), F.col("currency")))
+    return read.select(
+        *(c for c in read.columns if c not in ("__price", "__expected", "currency", "price_local", "price_eur")),
+        local.alias("price_local"),
+        or_empty(F.col("currency")).alias("currency"),
+        eur.alias("price_eur"),
+    )
+
+
 def within(value: Column, low: float, high: float) -> Column:
     """The value when it lies in the closed range, else null."""
     return F.when(value.between(low, high), value)
@@ -84,13 +135,9 @@ def pound_amount(text: Column) -> Column:
     return _first_number(F.translate(text, "£,", ""))
 
 
-def krone_amount(text: Column) -> Column:
+def as_kroner(text: Column) -> Column:
     """Norwegian card text: the unit is known, so it is added before reading."""
-    return text_amount(F.concat(blank_to_null(text), F.lit(" NOK")))
-
-
-def text_amount(text: Column) -> Column:
-    return price_from_text(text).getField("price")
+    return F.concat(blank_to_null(text), F.lit(" NOK"))
 
 
 def to_eur(price: Column, currency: Column) -> Column:
@@ -111,15 +158,3 @@ def eur_at_rate(price: Column, units_per_eur: Column) -> Column:
     """Decimal division, rounded half up to cents."""
     amount = price.try_cast("decimal(20,6)")
     return F.round(F.try_divide(amount, units_per_eur), 2).cast("double")
-
-
-def expected_currency_price(text: Column, expected: Column) -> Column:
-    """``struct(price_local, currency, price_eur)``: another currency keeps its code but no price."""
-    parsed = price_from_text(text)
-    price, currency = parsed.getField("price"), parsed.getField("currency")
-    matches = currency == expected
-    return F.struct(
-        F.when(matches, F.round(price, 2)).alias("price_local"),
-        or_empty(currency).alias("currency"),
-        F.when(matches, to_eur(price, currency)).alias("price_eur"),
-    )

@@ -30,7 +30,20 @@ def squeeze(text: Column) -> Column:
 
 def first_group(text: Column, pattern: str, group: int = 1) -> Column:
     """The group of the first match, or null when nothing matches."""
-    return blank_to_null(F.regexp_extract(text, pattern, group))
+    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))
+
+
+def first_of_patterns(texts, patterns, group: int = 1) -> Column:
+    """The group of the first pattern that matches; every pattern tries the first text first.
+
+    A failing pattern costs one search, and nothing after the first hit is tried.
+    """
+    (text, pattern), *rest = [(t, p) for t in texts for p in patterns]
+    return reduce(
+        lambda w, tp: w.when(tp[0].rlike(tp[1]), F.regexp_extract(tp[0], tp[1], group)),
+        rest,
+        F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group)),
+    )
 
 
 def contains_any(text: Column, words) -> Column:

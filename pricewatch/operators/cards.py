@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricewatch.channels import by_channel
 from pricewatch.functions import attributes, classify
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.identity import boulanger_url, currys_url
-from pricewatch.functions.price import comma_decimal_amount, pound_amount, within
+from pricewatch.functions.price import comma_decimal_amount, pound_amount, with_price, within
 from pricewatch.functions.text import blank_to_null, or_empty, strip
 from pricewatch.fixed_values import MIN_CARD_TITLE
 from pricewatch.operators.dedup import first_seen
@@ -22,14 +23,15 @@ def card_attributes(cards: DataFrame) -> DataFrame:
     size = F.coalesce(
         attributes.size_amazon(title), attributes.size_amazon(or_empty(F.col("size_text")))
     )
-    return cards.withColumns(
+    return computed_once(
+        cards,
         {
             "asin": F.upper(strip(or_empty(F.col("product_key")))),
             "title": title,
             "brand_raw": attributes.card_brand(F.col("brand"), title),
             "size_hint_inch": size,
             "sponsored": F.coalesce(F.col("sponsored"), F.lit(False)),
-        }
+        },
     )
 
 
@@ -48,7 +50,7 @@ def card_reasons(cards: DataFrame) -> DataFrame:
     A product counts as held from its first valid card on; later cards of it are
     duplicates whatever they show. ``query_no``, ``page``, ``pos`` give capture order.
     """
-    shown = card_attributes(cards).withColumn("__own", _own_reason())
+    shown = computed_once(card_attributes(cards), {"__own": _own_reason()})
     here = F.struct(*_ORDER)
     valid = ~F.col("sponsored") & F.col("__own").isNull()
     first = shown.filter(valid).groupBy("asin").agg(F.min(here).alias("__first"))
@@ -135,9 +137,14 @@ def merge_longest_card(cards: DataFrame, keys: list[str]) -> DataFrame:
 
 def card_prices(cards: DataFrame) -> DataFrame:
     """Add ``price_local`` by the price-text rule of the card's channel."""
-    return cards.withColumn(
-        "price_local", by_channel(F.col("platform"), lambda c: c.bounded_card_price(F.col("price_text")))
-    )
+    platform, text = F.col("platform"), F.col("price_text")
+    no_text = F.lit(None).cast("string")
+    general = by_channel(platform, lambda c: c.card_text(text) if c.card_text else no_text)
+    read = with_price(cards, general, "__general", "__unit")
+    amount = by_channel(
+        platform, lambda c: c.bounded(c.card_amount(text) if c.card_amount else F.col("__general"))
+    )
+    return computed_once(read, {"price_local": amount}).drop("__general", "__unit")
 
 
 def best_titles(links: DataFrame, key: str) -> DataFrame:

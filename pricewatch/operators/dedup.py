@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.text import squeeze
 
 
@@ -26,7 +27,7 @@ def distinct_texts(rows: DataFrame, text: str, order: list[str]) -> DataFrame:
 
     Whole texts are compared by their SHA-256, so only the digest is a shuffle key.
     """
-    normal = rows.withColumn("normal_text", F.lower(squeeze(F.col(text))))
+    normal = computed_once(rows, {"normal_text": F.lower(squeeze(F.col(text)))})
     keyed = normal.filter(F.col("normal_text") != "").withColumn(
         "__digest", F.sha2(F.col("normal_text"), 256)
     )

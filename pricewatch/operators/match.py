@@ -21,6 +21,7 @@ from pricewatch.fixed_values import (
     VARIANTS_PER_SEED,
 )
 from pricewatch.functions import attributes, classify, identity, price
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.text import blank_to_null, or_empty, strip
 from pricewatch.functions.trend import trend_code
 
@@ -29,8 +30,8 @@ BATCH_KEY = ["channel", "batch_key"]
 
 def with_batch_key(links: DataFrame) -> DataFrame:
     platform = F.col("platform")
-    return links.withColumns(
-        {"channel": channel_key(platform), "batch_key": batch_key(platform, F.col("url"))}
+    return computed_once(
+        links, {"channel": channel_key(platform), "batch_key": batch_key(platform, F.col("url"))}
     )
 
 
@@ -188,12 +189,13 @@ def flag_seen(candidates: DataFrame, held: DataFrame) -> DataFrame:
 
 def family_columns(items: DataFrame) -> DataFrame:
     """Family key of an item: upper-cased brand, series and whole-inch size."""
-    return items.withColumns(
+    return computed_once(
+        items,
         {
             "brand_key": F.upper(or_empty(F.col("brand_raw"))),
             "series": attributes.series_of(F.col("brand_raw"), F.col("raw_text")),
             "size": F.coalesce(F.col("size_hint_inch"), F.lit(0.0)).cast("int"),
-        }
+        },
     )
 
 
@@ -230,7 +232,7 @@ def variant_expand(seeds: DataFrame, held: DataFrame, details: DataFrame,
     found = refs.join(details, "asin").withColumn("title", strip(or_empty(F.col("title"))))
     brand = F.coalesce(blank_to_null(attributes.brand_by_word(F.col("title"))), F.col("seed_brand"))
     size = F.coalesce(attributes.size_amazon(F.col("title")), attributes.size_amazon(F.col("ref_text")))
-    valid = found.withColumns({"brand_raw": brand, "size_hint_inch": size}).filter(
+    valid = computed_once(found, {"brand_raw": brand, "size_hint_inch": size}).filter(
         (F.col("title") != "")
         & (F.col("brand_raw") != "")
         & F.col("size_hint_inch").isNotNull()
@@ -250,13 +252,14 @@ def fill_missing_price(cards: DataFrame, details: DataFrame) -> DataFrame:
     """Cards of target brands and years without a price take the detail page's NOK price."""
     raw = F.concat_ws(" ", blank_to_null(F.col("title")), blank_to_null(F.col("text")))
     year = attributes.model_year(raw, F.col("filter_year"))
-    own = price.within(price.krone_amount(F.col("price_text")), 100, 500_000)
     wanted = (attributes.brand_elkjop(raw) != "") & year.isin(*TARGET_YEARS)
     detail = details.filter(F.col("currency") == "NOK").select(
         "product_key", price.within(F.col("price"), 100, 500_000).alias("__detail")
     )
+    own = price.with_price(cards, price.as_kroner(F.col("price_text")), "__own", "__unit")
+    read = own.withColumn("price_local", price.within(F.col("__own"), 100, 500_000)).drop("__own", "__unit")
     return (
-        cards.withColumns({"price_local": own, "__wanted": wanted})
+        computed_once(read, {"__wanted": wanted})
         .join(detail, "product_key", "left")
         .withColumn(
             "price_local",
@@ -291,12 +294,13 @@ def canary_band(observed: DataFrame, canaries: DataFrame, markets: DataFrame) ->
 
 def search_currency_canary(cards: DataFrame, markets: DataFrame) -> DataFrame:
     """Per market: does any plain TV card show a plausible price in the market's currency?"""
-    pair = price.expected_currency_price(F.col("price_text"), F.col("expected_currency"))
-    priced = cards.join(F.broadcast(markets), "market").withColumn("__p", pair)
+    priced = price.with_market_price(
+        cards.join(F.broadcast(markets), "market"), F.col("price_text"), F.col("expected_currency")
+    )
     plausible = (
         ~F.col("sponsored")
         & ~classify.is_non_tv(strip(or_empty(F.col("title"))))
-        & F.coalesce(F.col("__p.price_local").between(*SEARCH_CANARY_RANGE), F.lit(False))
+        & F.coalesce(F.col("price_local").between(*SEARCH_CANARY_RANGE), F.lit(False))
     )
     return priced.groupBy("market").agg(
         F.count("*").alias("cards"), F.bool_or(plausible).alias("passed")
@@ -312,15 +316,5 @@ def coverage_grid(brands: DataFrame, years, catalogue: DataFrame) -> DataFrame:
 
 def market_enrich(rows: DataFrame, markets: DataFrame) -> DataFrame:
     """Price rows by their market's currency; an unknown market keeps a null price."""
-    pair = price.expected_currency_price(F.col("price_text"), F.col("expected_currency"))
-    return (
-        rows.join(F.broadcast(markets.select("market", "expected_currency")), "market", "left")
-        .withColumn("__p", pair)
-        .select(
-            *rows.columns,
-            "expected_currency",
-            F.col("__p.price_local").alias("price_local"),
-            F.col("__p.currency").alias("currency"),
-            F.col("__p.price_eur").alias("price_eur"),
-        )
-    )
+    known = rows.join(F.broadcast(markets.select("market", "expected_currency")), "market", "left")
+    return price.with_market_price(known, F.col("price_text"), F.col("expected_currency"))

@@ -13,6 +13,7 @@ from pricewatch.fixed_values import (
     STATUS_OK,
 )
 from pricewatch.functions.attributes import listing_range, page_count
+from pricewatch.functions.once import computed_once
 
 
 def run_summary(results: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def invalid_hits(hits: DataFrame, require_price: bool = True) -> DataFrame:
         rule = rule.when(F.col("amount").isNotNull() & (F.col("currency") != "NOK"), "currency").when(
             F.col("amount").isNotNull() & ~F.col("amount").between(100, 500_000), "price"
         )
-    return hits.withColumn("rule", rule).filter(F.col("rule").isNotNull())
+    return computed_once(hits, {"rule": rule}).filter(F.col("rule").isNotNull())
 
 
 def page_range_check(ranges: DataFrame, cards: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pricewatch.functions.logs import (
     product_fields,
     time_of,
 )
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.trend import trend_code
 from pricewatch.operators.ordered import BLOCK, previous_row
 from pricewatch.sources.links import BRAND_KEY
@@ -30,15 +31,11 @@ KEY = list(SERIES_KEY)
 
 def log_fields(lines: DataFrame) -> DataFrame:
     """Kind, product, price and time of each line that carries any."""
-    line = F.col("line")
-    return lines.withColumns(
-        {
-            "kind": line_kind(line),
-            **product_fields(line),
-            **price_fields(line),
-            "logged_at": line_timestamp(line),
-        }
-    ).filter(F.col("kind") != "OTHER")
+    line, kind = F.col("line"), F.col("kind")
+    told = computed_once(lines, {"kind": line_kind(line)}).filter(kind != "OTHER")
+    product = {c: F.when(kind == "PRODUCT", v) for c, v in product_fields(line).items()}
+    amount = {c: F.when(kind == "PRICE", v) for c, v in price_fields(line).items()}
+    return told.withColumns({**product, **amount, "logged_at": line_timestamp(line)})
 
 
 def log_pairs(fields: DataFrame, block: int = BLOCK) -> DataFrame:

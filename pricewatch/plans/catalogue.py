@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pricewatch.fixed_values import FX_RATE_DATE
-from pricewatch.functions.price import expected_currency_price
+from pricewatch.functions.price import with_market_price
 from pricewatch.operators import cards as card_ops
 from pricewatch.operators import match, rank, reconcile
 from pricewatch.sources.api import api_hits, api_pages, hit_items
@@ -17,8 +17,9 @@ class CatalogueRejected(RuntimeError):
 
 def market_items(cards: DataFrame, currency: str) -> DataFrame:
     """Kept search cards of one market as catalogue items with family columns."""
-    pair = expected_currency_price(F.col("price_text"), F.lit(currency))
-    kept = card_ops.kept_cards(card_ops.card_reasons(cards)).withColumn("__p", pair)
+    kept = with_market_price(
+        card_ops.kept_cards(card_ops.card_reasons(cards)), F.col("price_text"), F.lit(currency)
+    )
     items = kept.select(
         "asin",
         "pos",
@@ -26,10 +27,10 @@ def market_items(cards: DataFrame, currency: str) -> DataFrame:
         F.col("title").alias("raw_text"),
         "size_hint_inch",
         "variant_hint",
-        F.col("__p.price_local").alias("price_local"),
-        F.col("__p.currency").alias("currency"),
-        F.col("__p.price_eur").alias("price_eur"),
-        F.when(~F.col("__p.currency").isin("", "EUR"), FX_RATE_DATE).alias("fx_rate_date"),
+        "price_local",
+        "currency",
+        "price_eur",
+        F.when(~F.col("currency").isin("", "EUR"), FX_RATE_DATE).alias("fx_rate_date"),
     )
     return match.family_columns(items)
 

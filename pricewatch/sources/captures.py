@@ -6,20 +6,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricewatch.channels import by_channel
 from pricewatch.functions.classify import is_blocked_page, is_dead_title, is_gone
-from pricewatch.functions.markup import structured_price
+from pricewatch.functions.markup import with_structured_price
+from pricewatch.functions.once import computed_once
 
 
 def page_prices(captures: DataFrame) -> DataFrame:
     """Add ``page_price`` and ``page_currency``; a blocked page holds no price."""
-    found = F.when(
-        ~is_blocked_page(F.col("page_title"), F.col("html")), structured_price(F.col("html"))
-    )
-    return (
-        captures.withColumn("__found", found)
-        .withColumn("page_price", F.col("__found.price"))
-        .withColumn("page_currency", F.col("__found.currency"))
-        .drop("__found")
-    )
+    blocked = is_blocked_page(F.col("page_title"), F.col("html"))
+    readable = computed_once(captures, {"__html": F.when(~blocked, F.col("html"))})
+    return with_structured_price(readable, F.col("__html"), "page_price", "page_currency").drop("__html")
 
 
 def page_states(captures: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricewatch.fixed_values import SNAPSHOT_LOOKBACK
 from pricewatch.functions.attributes import series_of
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.text import or_empty, strip
 
 
@@ -29,9 +30,9 @@ def recent_snapshots(items: DataFrame, lookback: int = SNAPSHOT_LOOKBACK) -> Dat
             & (strip(or_empty(F.col("brand_raw"))) != "")
             & (F.coalesce(F.col("size_hint_inch"), F.lit(0.0)) != 0)
         )
-        .withColumn("series", series_of(F.col("brand_raw"), F.col("raw_text")))
-        .filter(F.col("series") != "")
     )
+    series = series_of(F.col("brand_raw"), F.col("raw_text"))
+    valid = computed_once(valid, {"series": series}).filter(F.col("series") != "")
     carried = [c for c in valid.columns if c not in ("country", "asin", "snapshot_date", "pos")]
     last = F.max(F.struct("snapshot_date", "pos", *carried)).alias("__row")
     return valid.groupBy("country", "asin").agg(last).select("country", "asin", "__row.*")
