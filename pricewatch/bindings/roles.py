@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pricewatch.session import tune
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
@@ -258,6 +260,7 @@ class Roles:
     """Tables and roles of one data directory as DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, replaced: dict[str, DataFrame] | None = None):
+        tune(spark)
         self.spark = spark
         self.sf_dir = sf_dir
         self._replaced = replaced or {}

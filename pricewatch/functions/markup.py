@@ -8,9 +8,8 @@ from pricewatch.functions.once import computed_once
 from pricewatch.functions.price import schema_amount, with_schema_amount
 from pricewatch.functions.text import blank_to_null, or_empty
 
-_OFFERS = "array<struct<price:string,priceCurrency:string>>"
-_NODES = "array<struct<offers:string,`@graph`:string>>"
-_GRAPH = "array<struct<offers:string>>"
+_NODE = "offers string, `@graph` string"
+_OFFER = "price string, priceCurrency string"
 _LD_SCRIPT = r"(?is)<script\b[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 
 # Meta tags by what they hold; the first named tag of a pair wins.
@@ -45,9 +44,20 @@ def with_meta_price(rows: DataFrame, html: Column, price: str, currency: str) ->
     return priced.withColumn(currency, F.when(F.col(price).isNotNull(), unit)).drop(*named)
 
 
+def _elements(json: Column) -> Column:
+    """Elements of a JSON list as texts; any other text is a list of itself."""
+    return F.coalesce(F.from_json(json, "array<string>"), F.array(json))
+
+
+def _filled(json: Column) -> Column:
+    return F.when(~json.isin("", "{}", "[]"), json)
+
+
 def _node_offers(node: Column) -> Column:
-    graph = F.filter(F.from_json(node["@graph"], _GRAPH), lambda g: g["offers"].isNotNull())
-    return F.coalesce(node["offers"], F.get(graph, 0)["offers"])
+    """Offers of an item, else those of the first graph entry that has any."""
+    graph = F.transform(_elements(node["@graph"]), lambda g: F.from_json(g, "offers string"))
+    listed = F.filter(graph, lambda g: g["offers"].isNotNull())
+    return F.coalesce(_filled(node["offers"]), F.get(listed, 0)["offers"])
 
 
 def json_ld_offers(html: Column) -> Column:
@@ -55,14 +65,11 @@ def json_ld_offers(html: Column) -> Column:
     scripts = F.filter(
         F.regexp_extract_all(html, F.lit(_LD_SCRIPT), F.lit(1)), lambda s: s.contains('"price"')
     )
-    nodes = F.flatten(F.transform(scripts, lambda s: F.coalesce(F.from_json(s, _NODES), F.array())))
-    offers = F.flatten(
-        F.transform(
-            F.filter(nodes, lambda n: n.isNotNull()),
-            lambda n: F.coalesce(F.from_json(_node_offers(n), _OFFERS), F.array()),
-        )
+    nodes = F.transform(F.flatten(F.transform(scripts, _elements)), lambda n: F.from_json(n, _NODE))
+    offers = F.flatten(F.transform(nodes, lambda n: F.coalesce(_elements(_node_offers(n)), F.array())))
+    return F.filter(
+        F.transform(offers, lambda o: F.from_json(o, _OFFER)), lambda o: o["price"].isNotNull()
     )
-    return F.filter(offers, lambda o: o["price"].isNotNull())
 
 
 def json_ld_price(html: Column) -> Column:

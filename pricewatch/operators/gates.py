@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricewatch.channels import is_registered
 from pricewatch.fixed_values import (
     GUARD_EXTREME,
     GUARD_EXTREME_SHARE,
@@ -16,47 +17,55 @@ _SKETCH_ACCURACY = 50_000
 _BRACKET = (0.4999, 0.5001)
 
 
-def exact_median(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Exact interpolated median per group, without holding a group in one task.
+def _extreme(ratio: Column) -> Column:
+    return (ratio < GUARD_EXTREME[0]) | (ratio > GUARD_EXTREME[1])
+
 
-    A mergeable quantile sketch, whose rank error is a fifth of the margin taken,
-    brackets the median. Only values inside the bracket are then counted, by distinct
-    value, and ranked after the number of rows below the bracket.
+def median_and_counts(rows: DataFrame, key: str, value: str, **counts: Column) -> DataFrame:
+    """Exact interpolated median per group with further aggregates, for few but huge groups.
+
+    No group is held in one task. A first pass takes the aggregates and a mergeable
+    quantile sketch, whose rank error is a fifth of the margin left around the median.
+    A second pass counts, by distinct value, only the rows inside that bracket and ranks
+    them after the number of rows below it. The summary has one row per group and is
+    broadcast, so ``key`` must be bounded, as the registered channels are.
     """
-    bracket = rows.groupBy(*keys).agg(
+    summary = rows.groupBy(key).agg(
         F.count(value).alias("__n"),
-        F.percentile_approx(value, list(_BRACKET), _SKETCH_ACCURACY).alias("__q"),
+        F.percentile_approx(value, list(_BRACKET), _SKETCH_ACCURACY).alias("__bracket"),
+        *(expression.alias(name) for name, expression in counts.items()),
     )
-    joined = rows.join(bracket, keys)
-    low, high = F.col("__q")[0], F.col("__q")[1]
-    # Values below the bracket share one row per task; those above it are not needed.
-    position = F.when(F.col(value) < low, None).otherwise(F.col(value))
+    near = rows.join(F.broadcast(summary), key)
+    low, high = F.col("__bracket")[0], F.col("__bracket")[1]
+    # All values below the bracket share one row, those above it are not needed.
     counted = (
-        joined.filter(F.col(value) <= high)
-        .groupBy(*keys, position.alias("__v"))
+        near.filter(F.col(value) <= high)
+        .groupBy(key, F.when(F.col(value) >= low, F.col(value)).alias("__v"))
         .agg(F.count("*").alias("__rows"), F.max("__n").alias("__n"))
     )
-    upto = Window.partitionBy(*keys).orderBy(F.col("__v").asc_nulls_first()).rowsBetween(
+    upto = Window.partitionBy(key).orderBy(F.col("__v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     ranked = counted.withColumn("__through", F.sum("__rows").over(upto)).filter(F.col("__v").isNotNull())
     lower = F.min(F.when(F.col("__through") >= F.floor((F.col("__n") + 1) / 2), F.col("__v")))
     upper = F.min(F.when(F.col("__through") >= F.floor(F.col("__n") / 2) + 1, F.col("__v")))
-    return ranked.groupBy(*keys).agg(((lower + upper) / 2).alias("median"))
-
-
-def _extreme(ratio: Column) -> Column:
-    return (ratio < GUARD_EXTREME[0]) | (ratio > GUARD_EXTREME[1])
+    medians = ranked.groupBy(key).agg(((lower + upper) / 2).alias("median"))
+    return medians.join(F.broadcast(summary), key).select(key, "median", *counts)
 
 
 def drift_verdict(ratios: DataFrame) -> DataFrame:
     """Per channel: sample, median ratio, share of extreme ratios and the verdict."""
-    counts = ratios.groupBy("channel").agg(
-        F.count("*").alias("sample"), F.count_if(_extreme(F.col("ratio"))).alias("extreme")
+    registered = ratios.filter(is_registered(F.col("channel")))
+    measured = median_and_counts(
+        registered,
+        "channel",
+        "ratio",
+        sample=F.count("*"),
+        extreme=F.count_if(_extreme(F.col("ratio"))),
     )
     share = F.try_divide(F.col("extreme"), F.col("sample"))
     sound = F.col("median").between(*GUARD_MEDIAN) & (share <= GUARD_EXTREME_SHARE)
-    return counts.join(exact_median(ratios, ["channel"], "ratio"), "channel").select(
+    return measured.select(
         "channel",
         "sample",
         F.col("median").alias("median_ratio"),
@@ -95,11 +104,13 @@ def coverage_gate(links: DataFrame, snapshot: DataFrame, thresholds: DataFrame)
 def gated_snapshot(snapshot: DataFrame, coverage: DataFrame, drift: DataFrame) -> DataFrame:
     """Snapshot rows of the channels that passed; one failed check voids the whole channel.
 
-    A channel without a drift verdict had no comparable price, which passes.
+    A channel without a drift verdict had no comparable price, which passes. The verdicts
+    have one row per registered channel, so they are broadcast instead of shuffling the
+    snapshot by its few channels.
     """
     passed = (
         coverage.filter("passed")
         .select("channel")
         .join(drift.filter(~F.col("passed")), "channel", "left_anti")
     )
-    return snapshot.join(passed, "channel", "left_semi")
+    return snapshot.join(F.broadcast(passed), "channel", "left_semi")

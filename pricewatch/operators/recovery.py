@@ -117,9 +117,14 @@ def recompute_trends(rows: DataFrame, existing: DataFrame | None = None) -> Data
 
 
 def conflicting_rows(existing: DataFrame, target_dates: DataFrame, platforms=RECOVERY_PLATFORMS) -> DataFrame:
-    """Rows already logged on a target date and platform; any such row forbids the append."""
+    """Rows already logged on a target date and platform; any such row forbids the append.
+
+    The target dates have one row per calendar day and are broadcast, which also prunes
+    the partitions of a log that is stored by day.
+    """
+    days = target_dates.select("obs_date").distinct()
     return existing.filter(F.col("platform").isin(*platforms)).join(
-        target_dates.select("obs_date").distinct(), "obs_date", "left_semi"
+        F.broadcast(days), "obs_date", "left_semi"
     )
 
 

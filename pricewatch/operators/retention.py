@@ -18,6 +18,8 @@ def trim_window(log: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
 
     The newest date is a scalar subquery inside the plan, not a value fetched first.
     """
-    day = parsed_date(F.col("obs_date"))
+    # A real date column is compared as it is, so that partitions can be pruned.
+    is_date = dict(log.dtypes)["obs_date"] == "date"
+    day = F.col("obs_date") if is_date else parsed_date(F.col("obs_date"))
     cutoff = log.agg(F.date_sub(F.max(day), keep_days)).scalar()
     return log.filter(day.isNull() | (day >= cutoff))

@@ -28,16 +28,25 @@ class Recovered:
         return self
 
 
-def recover(lines: DataFrame, mapping: DataFrame, expected: DataFrame, existing: DataFrame) -> Recovered:
-    """Pair log lines, add brands and trends, and list every violation found on the way."""
+def recover(lines: DataFrame, mapping: DataFrame, expected: DataFrame, existing: DataFrame,
+            staging: str | None = None) -> Recovered:
+    """Pair log lines, add brands and trends, and list every violation found on the way.
+
+    With ``staging``, the parsed lines, a small part of the log, are written there first,
+    so that the log is read and searched once for all the tables returned.
+    """
     brands = brand_map(mapping)
-    pairs = steps.log_pairs(steps.log_fields(lines))
+    fields = steps.log_fields(lines)
+    if staging:
+        fields.write.mode("overwrite").parquet(staging)
+        fields = lines.sparkSession.read.parquet(staging)
+    pairs = steps.log_pairs(fields)
     branded = steps.brand_lookup(pairs, brands)
     rows = steps.recovered_rows(branded.filter(F.col("paired")))
     trended = steps.recompute_trends(rows.withColumn("seq", F.col("line_no")), existing)
     return Recovered(
         rows=trended,
-        excluded=steps.excluded_lines(lines),
+        excluded=steps.excluded_lines(fields),
         violations={
             "ambiguous_brand": brands.filter(F.col("brands") != 1),
             "unpaired_price": pairs.filter(~F.col("paired")),

@@ -11,6 +11,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -23,6 +24,12 @@ def build_session(app_name: str = "pricewatch", **overrides: str) -> SparkSessio
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Let adaptive execution split hot join keys, also where that costs a later shuffle."""
+    for key in ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+        spark.conf.set(key, "true")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor reaches; a local one only where the session names none."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

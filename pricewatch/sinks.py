@@ -21,10 +21,18 @@ def success_rows(results: DataFrame) -> DataFrame:
     return _with_columns(results.filter(F.col("status") == STATUS_OK), PRICE_LOG_COLUMNS)
 
 
+def _balanced(rows: DataFrame, *partition_columns: str) -> DataFrame:
+    """Gather each output partition into few files, and split one that is too large."""
+    return rows.hint("rebalance", *partition_columns)
+
+
+def _by_day(rows: DataFrame) -> DataFrame:
+    return _balanced(rows.withColumn("day", parsed_date(F.col("obs_date"))), "day")
+
+
 def append_success(results: DataFrame, path: str) -> None:
-    """Append the successful rows, partitioned by day; rows of one day share few files."""
-    rows = success_rows(results)
-    rows.withColumn("day", parsed_date(F.col("obs_date"))).write.mode("append").partitionBy("day").parquet(path)
+    """Append the successful rows, partitioned by day."""
+    _by_day(success_rows(results)).write.mode("append").partitionBy("day").parquet(path)
 
 
 def read_price_log(spark, path: str) -> DataFrame:
@@ -34,7 +42,7 @@ def read_price_log(spark, path: str) -> DataFrame:
 def drop_expired_days(log: DataFrame, keep_days: int, path: str) -> None:
     """Write the rolling window of a log to a new location; readers switch when it is complete."""
     kept = trim_window(log, keep_days)
-    kept.withColumn("day", parsed_date(F.col("obs_date"))).write.mode("overwrite").partitionBy("day").parquet(path)
+    _by_day(kept).write.mode("overwrite").partitionBy("day").parquet(path)
 
 
 def write_catalog(items: DataFrame, path: str) -> None:
@@ -44,10 +52,12 @@ def write_catalog(items: DataFrame, path: str) -> None:
     are replaced.
     """
     rows = _with_columns(items, CATALOG_COLUMNS).withColumn("snapshot_date", F.to_date("scraped_at"))
+    partitions = ("platform", "country", "snapshot_date")
     (
-        rows.write.mode("overwrite")
+        _balanced(rows, *partitions)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("platform", "country", "snapshot_date")
+        .partitionBy(*partitions)
         .parquet(path)
     )
 

@@ -13,8 +13,8 @@ from pricewatch.functions.text import or_empty, strip
 def recent_snapshots(items: DataFrame, lookback: int = SNAPSHOT_LOOKBACK) -> DataFrame:
     """Newest snapshot dates of each country, last valid row per ASIN.
 
-    Dates are reduced to one row each before they are ranked, and the ranked dates
-    then prune the partitions of the item table through a join.
+    Dates are reduced to one row each before they are ranked. The few newest days per
+    country are then broadcast, which prunes the partitions of a table stored by date.
     """
     dates = items.groupBy("country", "snapshot_date").agg(F.count("*").alias("__n"))
     newest = dates.groupBy("country").agg(
@@ -22,7 +22,7 @@ def recent_snapshots(items: DataFrame, lookback: int = SNAPSHOT_LOOKBACK) -> Dat
     )
     kept = newest.select("country", F.explode("__days").alias("snapshot_date"))
     valid = (
-        items.join(kept, ["country", "snapshot_date"], "left_semi")
+        items.join(F.broadcast(kept), ["country", "snapshot_date"], "left_semi")
         .withColumn("asin", F.upper(strip(or_empty(F.col("asin")))))
         .filter(
             (F.col("asin") != "")
