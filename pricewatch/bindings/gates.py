@@ -9,6 +9,7 @@ from pricewatch.bindings.registry import query
 from pricewatch.bindings.watch_list import active
 from pricewatch.channels import gate_thresholds
 from pricewatch.operators import gates
+from pricewatch.session import written
 from pricewatch.sources.price_log import latest_by
 
 _RATIOS = f"""{SNAPSHOT_SQL}, {LATEST_SQL},
@@ -33,8 +34,17 @@ _COVERAGE = """
                items >= min_items AND matched / requested >= min_coverage AS passed FROM covered)"""
 
 
+def _links(r):
+    return r.once("active", lambda: active(r))
+
+
+def _snapshot(r):
+    """The snapshot serves both checks and the result."""
+    return r.once("snapshot", lambda: written(snapshot(r), "snapshot"))
+
+
 def _drift(r):
-    return gates.drift_guard(active(r), snapshot(r), latest(r))
+    return gates.drift_guard(_links(r), _snapshot(r), written(latest(r), "latest"))
 
 
 @query("drift_guard", f"""
@@ -65,7 +75,7 @@ def drift_guard_bulk(r):
 
 
 def _coverage(r):
-    return gates.coverage_gate(active(r), snapshot(r), gate_thresholds(r.spark))
+    return gates.coverage_gate(_links(r), _snapshot(r), gate_thresholds(r.spark))
 
 
 @query("coverage_gate", f"""
@@ -81,6 +91,6 @@ def coverage_gate(r):
     FROM snapshot AS s JOIN judged AS j ON j.channel = s.channel AND j.passed
     WHERE s.channel NOT IN (SELECT channel FROM guarded WHERE NOT passed)""")
 def gated_snapshot(r):
-    return gates.gated_snapshot(snapshot(r), _coverage(r), _drift(r)).select("channel", "batch_key", "price")
+    return gates.gated_snapshot(_snapshot(r), _coverage(r), _drift(r)).select("channel", "batch_key", "price")
 
 

@@ -7,6 +7,7 @@ categorises columns. Roles may build on others. ``{name}`` stands for a table or
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -263,15 +264,22 @@ class Roles:
         tune(spark)
         self.spark = spark
         self.sf_dir = sf_dir
-        self._replaced = replaced or {}
+        self._known = dict(replaced or {})
 
     def over(self, replaced: dict[str, DataFrame]) -> "Roles":
         """The same roles with some tables read from elsewhere, such as a stream."""
         return Roles(self.spark, self.sf_dir, replaced)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in self._replaced:
-            return self._replaced[name]
+        return self.once(name, lambda: self._load(name))
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """What ``build`` returns, built at the first request only."""
+        if name not in self._known:
+            self._known[name] = build()
+        return self._known[name]
+
+    def _load(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         sql = ROLES[name]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pricewatch.channels import is_registered
 from pricewatch.fixed_values import (
     GUARD_EXTREME,
     GUARD_EXTREME_SHARE,
@@ -13,8 +12,8 @@ from pricewatch.fixed_values import (
 )
 from pricewatch.operators.match import covered_keys, guard_rows, requested_keys
 
-_SKETCH_ACCURACY = 50_000
-_BRACKET = (0.4999, 0.5001)
+_SKETCH_ACCURACY = 10_000
+_BRACKET = (0.4995, 0.5005)
 
 
 def _extreme(ratio: Column) -> Column:
@@ -55,9 +54,8 @@ def median_and_counts(rows: DataFrame, key: str, value: str, **counts: Column) -
 
 def drift_verdict(ratios: DataFrame) -> DataFrame:
     """Per channel: sample, median ratio, share of extreme ratios and the verdict."""
-    registered = ratios.filter(is_registered(F.col("channel")))
     measured = median_and_counts(
-        registered,
+        ratios,
         "channel",
         "ratio",
         sample=F.count("*"),

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pricewatch.fixed_values import KEEP_DAYS
+from pricewatch.functions.once import computed_once
 from pricewatch.functions.text import or_empty, strip
 
 
 def parsed_date(column):
     """``YYYY-M-D`` text or a date; anything else is null."""
-    return F.try_to_date(strip(or_empty(column.cast("string"))), "yyyy-M-d")
+    text = strip(or_empty(column.cast("string")))
+    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))
 
 
 def trim_window(log: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
@@ -22,4 +24,6 @@ def trim_window(log: DataFrame, keep_days: int = KEEP_DAYS) -> DataFrame:
     is_date = dict(log.dtypes)["obs_date"] == "date"
     day = F.col("obs_date") if is_date else parsed_date(F.col("obs_date"))
     cutoff = log.agg(F.date_sub(F.max(day), keep_days)).scalar()
-    return log.filter(day.isNull() | (day >= cutoff))
+    dated = log if is_date else computed_once(log, {"__day": day})
+    known = F.col("obs_date" if is_date else "__day")
+    return dated.filter(known.isNull() | (known >= cutoff)).select(*log.columns)

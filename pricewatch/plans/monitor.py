@@ -10,6 +10,7 @@ from pricewatch.channels import gate_thresholds
 from pricewatch.operators import gates, match, scope
 from pricewatch.operators.reconcile import run_summary
 from pricewatch.operators.retention import trim_window
+from pricewatch.session import written
 from pricewatch.sinks import append_success, read_price_log, success_rows
 from pricewatch.sources.captures import page_prices
 from pricewatch.sources.links import active_links
@@ -28,10 +29,14 @@ class Captured:
 
 
 def observe(run: Captured, channels: str = "") -> DataFrame:
-    """Price, status, provenance and trend of every link in scope, as one lazy plan."""
+    """Price, status, provenance and trend of every link in scope.
+
+    The latest prices serve the guard and the trends. They are written once at the start,
+    so the log is read a single time and the history is frozen for the whole run.
+    """
     spark = run.links.sparkSession
     links = scope.in_channels(active_links(run.links), channels)
-    latest = latest_prices(run.history)
+    latest = written(latest_prices(run.history), "latest")
     coverage = gates.coverage_gate(links, run.snapshot, gate_thresholds(spark))
     drift = gates.drift_guard(links, run.snapshot, latest)
     snapshot = gates.gated_snapshot(run.snapshot, coverage, drift)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -41,3 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/pricewatch/{name}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder.
+
+    For a result that several later steps read: it is computed once, and a lost executor
+    costs a re-read instead of a re-computation.
+    """
+    path = new_table_path(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
