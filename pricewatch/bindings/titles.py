@@ -60,12 +60,11 @@ def best_title(r):
 
 @query("text_dedup", rf"""
     WITH normal AS (
-        SELECT doc_id, lower(trim(regexp_replace(text, '{_SPACE}+', ' ', 'g'))) AS normal_text FROM {{documents}})
-    SELECT min(doc_id) AS doc_id, length(any_value(normal_text)) AS chars
+        SELECT doc_id, n_chars, lower(trim(regexp_replace(text, '{_SPACE}+', ' ', 'g'))) AS normal_text FROM {{documents}})
+    SELECT min(doc_id) AS doc_id, arg_min(n_chars, doc_id) AS n_chars
     FROM normal WHERE normal_text <> '' GROUP BY normal_text""")
 def text_dedup(r):
-    kept = distinct_texts(r["documents"].select("doc_id", "text"), "text", ["doc_id"])
-    return kept.select("doc_id", F.length("normal_text").cast("long").alias("chars"))
+    return distinct_texts(r["documents"], "text", ["doc_id"], keep=["n_chars"])
 
 
 @query("line_dedup", rf"""
@@ -76,7 +75,7 @@ def text_dedup(r):
     SELECT doc_id, count(*) AS first_lines FROM firsts GROUP BY doc_id""")
 def line_dedup(r):
     lines = r["documents"].select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return distinct_texts(lines, "line", ["doc_id", "pos"]).groupBy("doc_id").agg(
+    return distinct_texts(lines, "line", ["doc_id", "pos"], keep=[]).groupBy("doc_id").agg(
         F.count("*").alias("first_lines")
     )
 

@@ -50,17 +50,21 @@ def card_reasons(cards: DataFrame) -> DataFrame:
     A product counts as held from its first valid card on; later cards of it are
     duplicates whatever they show. ``query_no``, ``page``, ``pos`` give capture order.
     """
-    shown = computed_once(card_attributes(cards), {"__own": _own_reason()})
+    # Blank ids match nothing; keys of their own keep them from meeting in one task.
+    key = F.when(F.col("asin") == "", F.concat_ws(" ", F.lit("blank"), *_ORDER)).otherwise(F.col("asin"))
+    shown = computed_once(card_attributes(cards), {"__own": _own_reason(), "__key": key})
     here = F.struct(*_ORDER)
     valid = ~F.col("sponsored") & F.col("__own").isNull()
-    first = shown.filter(valid).groupBy("asin").agg(F.min(here).alias("__first"))
+    first = shown.filter(valid).groupBy("__key").agg(F.min(here).alias("__first"))
     reason = (
         F.when(F.col("sponsored"), "sponsored")
         .when(F.col("__first").isNotNull() & (here > F.col("__first")), "duplicate")
         .otherwise(F.col("__own"))
     )
     return (
-        shown.join(first, "asin", "left").withColumn("reason", reason).drop("__own", "__first")
+        shown.join(first, "__key", "left")
+        .withColumn("reason", reason)
+        .drop("__own", "__first", "__key")
     )
 
 

@@ -22,13 +22,16 @@ def last_seen(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return _pick(rows, keys, order, F.max)
 
 
-def distinct_texts(rows: DataFrame, text: str, order: list[str]) -> DataFrame:
+def distinct_texts(rows: DataFrame, text: str, order: list[str], keep: list[str] | None = None) -> DataFrame:
     """First row of each text, ignoring case and runs of white space; blank texts go.
 
-    Whole texts are compared by their SHA-256, so only the digest is a shuffle key.
+    Whole texts are compared by their SHA-256, so only the digest is a shuffle key. The
+    result has the ``order`` columns and those to ``keep``, by default all; a long text
+    that is not kept is not shuffled either.
     """
-    normal = computed_once(rows, {"normal_text": F.lower(squeeze(F.col(text)))})
-    keyed = normal.filter(F.col("normal_text") != "").withColumn(
-        "__digest", F.sha2(F.col("normal_text"), 256)
+    carried = [c for c in (rows.columns if keep is None else keep) if c not in order]
+    normal = computed_once(rows, {"__normal": F.lower(squeeze(F.col(text)))})
+    keyed = normal.filter(F.col("__normal") != "").select(
+        F.sha2("__normal", 256).alias("__digest"), *order, *carried
     )
     return first_seen(keyed, ["__digest"], order).drop("__digest")

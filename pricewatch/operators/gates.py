@@ -40,7 +40,7 @@ def median_and_counts(rows: DataFrame, key: str, value: str, **counts: Column) -
     counted = (
         near.filter(F.col(value) <= high)
         .groupBy(key, F.when(F.col(value) >= low, F.col(value)).alias("__v"))
-        .agg(F.count("*").alias("__rows"), F.max("__n").alias("__n"))
+        .agg(F.count("*").alias("__rows"), *(F.max(c).alias(c) for c in ("__n", *counts)))
     )
     upto = Window.partitionBy(key).orderBy(F.col("__v").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -48,8 +48,9 @@ def median_and_counts(rows: DataFrame, key: str, value: str, **counts: Column) -
     ranked = counted.withColumn("__through", F.sum("__rows").over(upto)).filter(F.col("__v").isNotNull())
     lower = F.min(F.when(F.col("__through") >= F.floor((F.col("__n") + 1) / 2), F.col("__v")))
     upper = F.min(F.when(F.col("__through") >= F.floor(F.col("__n") / 2) + 1, F.col("__v")))
-    medians = ranked.groupBy(key).agg(((lower + upper) / 2).alias("median"))
-    return medians.join(F.broadcast(summary), key).select(key, "median", *counts)
+    return ranked.groupBy(key).agg(
+        ((lower + upper) / 2).alias("median"), *(F.max(c).alias(c) for c in counts)
+    )
 
 
 def drift_verdict(ratios: DataFrame) -> DataFrame:
