@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewatch.bindings.registry import query
-from pricewatch.channels import batch_key
+from pricewatch.channels import batch_key, by_channel
 from pricewatch.functions.identity import boulanger_url, elkjop_url
 from pricewatch.operators import scope
 from pricewatch.sources import links as watch
@@ -63,6 +63,24 @@ def url_identity(r):
     return active(r).select("product_name", batch_key(F.col("platform"), F.col("url")).alias("batch_key"))
 
 
+@query("channel_rules", """
+    SELECT product_name, CASE platform WHEN 'Boulanger' THEN 'EUR' WHEN 'Currys' THEN 'GBP' WHEN 'Elkjop' THEN 'NOK'
+               WHEN 'Amazon' THEN 'EUR' END AS currency,
+           CASE WHEN platform <> 'Corner Shop' THEN platform IN ('Boulanger', 'Currys') END AS batch_prices,
+           CASE platform WHEN 'Boulanger' THEN string_split(url, '#')[1] WHEN 'Currys' THEN string_split(url, '?')[1]
+               WHEN 'Elkjop' THEN string_split(url, '?')[1] WHEN 'Amazon' THEN url END AS address
+    FROM {expected_links}""")
+def channel_rules(r):
+    """Registry entries applied to a whole table; an unregistered platform gets nothing."""
+    platform, url = F.col("platform"), F.col("url")
+    return active(r).select(
+        "product_name",
+        by_channel(platform, lambda c: F.lit(c.currency)).alias("currency"),
+        by_channel(platform, lambda c: F.lit(c.batch_prices)).alias("batch_prices"),
+        by_channel(platform, lambda c: c.canonical_url(url)).alias("address"),
+    )
+
+
 @query("canonical_url", r"""
     SELECT page_id, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') AS bare_url,
            string_split(url, '#')[1] AS anchorless_url

@@ -32,6 +32,7 @@ from pricewatch.functions.text import (
     or_empty,
     strip,
     to_number,
+    without_spaces,
 )
 
 
@@ -193,7 +194,7 @@ def page_count(total: Column, page_size: int) -> Column:
 def series_of(brand: Column, title: Column) -> Column:
     """Series code by ordered brand patterns, on the title and then on its letters run together."""
     text = or_empty(title)
-    joined = F.regexp_replace(text, r"(?U)\s+", "")
+    joined = without_spaces(text)
     upper_brand = F.upper(or_empty(brand))
 
     def matched(patterns) -> Column:
@@ -205,7 +206,7 @@ def series_of(brand: Column, title: Column) -> Column:
         rest,
         F.when(upper_brand == head, matched(patterns)),
     )
-    return or_empty(F.regexp_replace(F.upper(hit), r"(?U)\s+", ""))
+    return or_empty(without_spaces(F.upper(hit)))
 
 
 # --- names -------------------------------------------------------------------------

@@ -23,6 +23,10 @@ def or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def without_spaces(text: Column) -> Column:
+    return F.translate(text, WHITESPACE, "")
+
+
 def squeeze(text: Column) -> Column:
     """Trim, and turn each run of white space into one blank."""
     return F.regexp_replace(strip(text), r"(?U)\s+", " ")
