@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pricewatch.bindings.registry import query
 from pricewatch.functions import attributes, classify
 from pricewatch.functions.markup import tag_text
+from pricewatch.functions.once import computed_once
 from pricewatch.operators import cards
 from pricewatch.operators.dedup import distinct_texts
 from pricewatch.sources.captures import page_prices, page_states
@@ -54,7 +55,8 @@ _LINK_KEY = "CAST(floor(part_no / 5) AS BIGINT)"
     SELECT link_key, text AS title, CAST(score AS INT) AS score FROM scored
     QUALIFY row_number() OVER (PARTITION BY link_key ORDER BY score DESC, pos) = 1""")
 def best_title(r):
-    links = r["models"].selectExpr(f"{_LINK_KEY} AS link_key", "part_no AS pos", f"{_LINK_TEXT} AS text")
+    named = computed_once(r["models"], {"text": F.expr(_LINK_TEXT)})
+    links = named.selectExpr(f"{_LINK_KEY} AS link_key", "part_no AS pos", "text")
     return cards.best_titles(links, "link_key")
 
 

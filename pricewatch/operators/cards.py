@@ -172,8 +172,8 @@ def lowest_price(links: DataFrame, key: str) -> DataFrame:
 
 def boulanger_items(links: DataFrame) -> DataFrame:
     """Link rows to catalogue items, one per canonical address with a usable name."""
-    keyed = links.withColumn("url", boulanger_url(F.col("href"))).withColumn(
-        "text", strip(or_empty(F.col("text")))
+    keyed = computed_once(
+        links, {"url": boulanger_url(F.col("href")), "text": strip(or_empty(F.col("text")))}
     )
     named = best_titles(keyed, "url").join(lowest_price(keyed, "url"), "url")
     return named.select(
