@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,10 +31,18 @@ def tune(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor reaches; a local one only where the session names none."""
+    """The folder every executor reaches: ``spark.checkpoint.dir`` of the session.
+
+    Where the session names none, a single-machine session gets one beside its warehouse;
+    a cluster session is refused, because its executors share no local folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="pricewatch-")
+        master = spark.sparkContext.master
+        if not (master.startswith("local[") or master == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:")
+        folder = os.path.join(os.path.abspath(warehouse), "_shared")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -6,6 +6,7 @@ import pytest
 from check_queries import actual, connect, difference, expected
 
 import __spark_entry__ as entry_module
+from pricewatch.bindings import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -18,7 +19,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     got = actual(entry_module.queries()[name](spark, SF_DIR))
     assert difference(expected(con, entry_module.oracle_sql()[name]), got) is None
