@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import mixing, packing, quality, secrets, simhash
+from pricewatch.llm import html_text, lm, mixing, packing, quality, secrets, simhash
 from pricewatch.llm.columns import read
 from pricewatch.session import written
 
@@ -31,6 +31,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("row")
 
 
+@query("op3_lm_scoring")
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"))
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER)
@@ -43,6 +48,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(read(spark, sf_dir, "pages"))
+
+
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = written(quality.measured(read(spark, sf_dir, "documents"), "doc_id"), "measures")
