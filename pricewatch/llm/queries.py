@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import html_text, lm, mixing, packing, quality, secrets, simhash
+from pricewatch.llm import html_text, licenses, lm, mixing, neighbours, packing, quality, secret_scans, simhash, url_filters
 from pricewatch.llm.columns import read
 from pricewatch.session import written
 
@@ -18,14 +18,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str):
+def query(name: str, sql: str | None = None):
     def register(build):
         QUERIES[name] = build
+        if sql is not None:
+            SQL[name] = sql
         return build
 
     return register
 
 
+@query("op1_neighbours")
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query("op2_mixing")
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("row")
@@ -41,6 +48,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+@query("op5_license_scans")
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 @query("op6_simhash")
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(read(spark, sf_dir, "documents")).select(
@@ -48,6 +60,61 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Events are the list's dated changes about the page of their user's number; pages are fetched through January.
+_URL_SQL = r"""
+WITH place AS (
+  SELECT page_id, url,
+         lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: x <> '') AS parts,
+         TIMESTAMP '2024-01-01' + to_minutes((page_id * 1237) % 43200) AS fetched_at
+  FROM pages
+), entry AS (
+  SELECT CASE WHEN event_type IN ('error', 'purchase') THEN host ELSE host || '/' || parts[1] END AS key, ts AS listed_at,
+         max(CASE event_type WHEN 'error' THEN 'block' WHEN 'click' THEN 'block' WHEN 'signup' THEN 'allow' ELSE 'remove' END) AS action
+  FROM events JOIN place ON page_id = user_id WHERE len(parts) > 0 GROUP BY 1, 2
+), span AS (
+  SELECT key, action, listed_at AS active_from, lead(listed_at) OVER (PARTITION BY key ORDER BY listed_at) AS active_until FROM entry
+), label AS (
+  SELECT *, list_filter(string_split(host, '.'), lambda x: x <> '') AS labels FROM place
+), looked AS (
+  SELECT page_id, fetched_at, unnest(range(1, len(labels) + 1)) AS depth,
+         unnest(list_transform(range(1, len(labels) + 1), lambda n: array_to_string(labels[len(labels) - n + 1:], '.'))) AS key FROM label
+  UNION ALL
+  SELECT page_id, fetched_at, len(labels) + unnest(range(1, len(parts) + 1)),
+         unnest(list_transform(range(1, len(parts) + 1), lambda n: host || '/' || array_to_string(parts[:n], '/'))) FROM label
+), best AS (
+  SELECT page_id, arg_max(struct_pack(k := l.key, a := s.action, f := s.active_from, u := s.active_until), depth) AS b
+  FROM looked l JOIN span s ON l.key = s.key AND s.active_from <= fetched_at AND (s.active_until IS NULL OR fetched_at < s.active_until)
+  WHERE s.action <> 'remove' GROUP BY page_id
+)
+SELECT page_id, url, fetched_at, b.k AS entry, b.a AS action, b.f AS active_from, b.u AS active_until,
+       coalesce(b.a = 'block', false) AS blocked
+FROM place LEFT JOIN best USING (page_id)
+"""
+
+
+@query("op7_url_filters", _URL_SQL)
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = F.col("url")
+    pages = read(spark, sf_dir, "pages").select(
+        "page_id", "url", F.expr("timestamp_micros(1704067200000000 + (page_id * 1237) % 43200 * 60000000)").alias("fetched_at")
+    )
+    part = F.get(F.filter(F.split(url_filters.path(url), "/"), lambda x: x != ""), F.lit(0))
+    places = pages.select("page_id", url_filters.host(url).alias("host"), part.alias("part")).where("part IS NOT NULL")
+    action = F.expr("CASE WHEN event_type IN ('error', 'click') THEN 'block' WHEN event_type = 'signup' THEN 'allow' ELSE 'remove' END")
+    whole = F.col("event_type").isin("error", "purchase")
+    entries = (
+        read(spark, sf_dir, "events")
+        .join(places, F.col("page_id") == F.col("user_id"))
+        .select(
+            F.when(whole, F.col("host")).otherwise(F.concat_ws("/", "host", "part")).alias("key"),
+            F.col("ts").cast("timestamp").alias("listed_at"),
+            action.alias("action"),
+        )
+    )
+    return url_filters.judged(pages, entries)
+
+
 @query("op8_html_extraction")
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(read(spark, sf_dir, "pages"))
@@ -69,11 +136,11 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     def of_kind(kind: int):
         return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
 
-    return secrets.scan(read(spark, sf_dir, "documents"), "doc_id").select(
+    return secret_scans.scan(read(spark, sf_dir, "documents"), "doc_id").select(
         "doc_id",
         of_kind(0).alias("n_assign"),
         of_kind(1).alias("n_access"),
         of_kind(2).alias("n_hex"),
-        F.sha2(secrets.listed(F.filter(found, lambda s: s["kind"] <= 2)), 256).alias("base_sha256"),
-        secrets.listed(found).alias("spans"),
+        F.sha2(secret_scans.listed(F.filter(found, lambda s: s["kind"] <= 2)), 256).alias("base_sha256"),
+        secret_scans.listed(found).alias("spans"),
     )

@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from pricewatch.llm.columns import numbered
 from pricewatch.llm.components import components
@@ -57,7 +58,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def fingerprints(texts: pd.Series) -> pd.Series:
     return pd.Series(np.fromiter((fingerprint(t) for t in texts), "u8", len(texts)).view("i8"))
 
@@ -232,7 +233,7 @@ def near(fps: DataFrame, per_node: int = PER_NODE, chunk: int = CHUNK) -> DataFr
 
 
 def grouped(documents: DataFrame, *keep: str) -> DataFrame:
-    """The named columns, ``fp`` and ``component_id`` of every document."""
+    """The named columns, ``fp``, ``root`` (a fingerprint of the component) and ``component_id`` of every document."""
     rows = written(documents.select("doc_id", *(k for k in keep if k != "doc_id"), fingerprints("text").alias("fp")), "fingerprints")
     texts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "distinct-fingerprints")
     roots = components(near(texts.select("fp")), "a", "b")
@@ -243,7 +244,7 @@ def grouped(documents: DataFrame, *keep: str) -> DataFrame:
         "roots",
     )
     ids = known.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    by_fp = written(known.join(ids, "root").select("fp", "component_id"), "component-ids")
+    by_fp = written(known.join(ids, "root").select("fp", "root", "component_id"), "component-ids")
     return rows.join(by_fp, "fp")
 
 
@@ -253,9 +254,9 @@ def hexadecimal(fp: Column) -> Column:
 
 def deduplicated(documents: DataFrame) -> DataFrame:
     """One document of each component: the smallest doc_id, nulls last, and of equal ones the first row."""
-    rows = numbered(documents)
-    groups = written(grouped(rows, "row"), "near-duplicates")
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row"))
-    kept = groups.groupBy("component_id").agg(F.min(first).alias("first")).select(F.col("first.row").alias("kept_row"))
-    dropped = written(groups.join(kept, F.col("row") == F.col("kept_row"), "left_anti").select("row"), "dropped-rows")
-    return rows.join(dropped, "row", "left_anti").drop("row")
+    rows = numbered(documents, "__row")
+    groups = written(grouped(rows, "__row"), "near-duplicates")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("__row"))
+    kept = groups.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.__row").alias("__kept"))
+    dropped = written(groups.join(kept, F.col("__row") == F.col("__kept"), "left_anti").select("__row"), "dropped-rows")
+    return rows.join(dropped, "__row", "left_anti").drop("__row")

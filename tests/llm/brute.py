@@ -30,7 +30,7 @@ def base_secrets(text):
     found = []
     assign = r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
     assign = re.sub("[a-z]", lambda m: f"[{m[0]}{m[0].upper()}]", assign.replace(r"\x20", " "))
-    for m in re.finditer(assign.replace("?:", "?:") + "([A-Za-z0-9+/_.=-]+)", text):
+    for m in re.finditer(assign + "([A-Za-z0-9+/_.=-]+)", text):
         if len(m[1]) >= 6:
             found.append((m.start(), 0, m.end()))
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
@@ -57,3 +57,46 @@ def targets(sizes, weights=(5, 2, 1), share=1.5):
         left -= sum(2 * sizes[s] for s in over)
         open_sources = [s for s in open_sources if s not in over]
     return out
+
+
+def simhash(text):
+    from xxhash import xxh64_intdigest
+
+    w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in words(text)]
+    grams = [" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([" ".join(w)] if w else [])
+    h = [xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
+
+
+def joined(values, pairs):
+    """The partition of values that the pairs make, as a set of frozensets."""
+    root = {v: v for v in values}
+
+    def find(v):
+        while root[v] != v:
+            root[v] = root[root[v]]
+            v = root[v]
+        return v
+
+    for a, b in pairs:
+        root[find(a)] = find(b)
+    groups = {}
+    for v in values:
+        groups.setdefault(find(v), set()).add(v)
+    return {frozenset(g) for g in groups.values()}
+
+
+def partition(rows, budget=4):
+    """Fingerprints by components of links of up to ``budget`` bits."""
+    values = sorted({v for _, v in rows})
+    return joined(values, [(a, b) for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= budget])
+
+
+def components(rows):
+    """(doc_id, smallest doc_id of its component) for (doc_id, fingerprint)."""
+    group = {v: g for g in partition(rows) for v in g}
+    low = {}
+    for doc_id, v in rows:
+        if doc_id is not None:
+            low[group[v]] = min(doc_id, low.get(group[v], doc_id))
+    return [(doc_id, low.get(group[v])) for doc_id, v in rows]
