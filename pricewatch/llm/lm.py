@@ -47,7 +47,7 @@ SIZE = 16
 FREQUENT = 250_000
 DISCOUNT = 0.75
 SMOOTH = 0.1
-NOISE, BATCH, RATE = 64, 8192, 0.15
+NOISE, BATCH, RATE = 64, 1024, 0.1
 AT_ONCE = 200_000
 _BINS_PER_OCTAVE = 8
 

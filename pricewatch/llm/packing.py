@@ -159,25 +159,33 @@ def fitted(histogram: np.ndarray, sets: np.ndarray, rounds: int = 200) -> np.nda
 
 
 def plan(histogram: np.ndarray, length: int = LENGTH) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths, repeats): patterns that use every entry of the histogram once."""
+    """(lengths, repeats): patterns that use every entry of the histogram once.
+
+    Of the fit with pairs and triples, the fit with pairs, and no fit at all (every entry is
+    a residual), the plan with the fewest sequences is taken, in this order if equal.
+    """
+    sets = patterns(length)
+    plans = [_planned(histogram, length, chosen) for chosen in (sets, sets[sets[:, 2] == 0], sets[:0])]
+    return min(plans, key=lambda p: sum(repeats for _, repeats in p))
+
+
+def _planned(histogram: np.ndarray, length: int, sets: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
     left = histogram.astype(np.int64).copy()
     done: list[tuple[tuple[int, ...], int]] = []
     if left[length]:
         done.append(((length,), int(left[length])))
         left[length] = 0
-    if left.any():
-        sets = patterns(length)
-        x = fitted(left, sets)
-        for k in np.argsort(-x, kind="stable"):
-            repeats = int(x[k] + 0.5)
-            if repeats < 1:
-                break
-            lengths = tuple(int(v) for v in sets[k] if v)
-            repeats = min(repeats, *(int(left[v]) // lengths.count(v) for v in lengths))
-            if repeats > 0:
-                done.append((lengths, repeats))
-                for v in lengths:
-                    left[v] -= repeats
+    x = fitted(left, sets) if left.any() else np.zeros(len(sets))
+    for k in np.argsort(-x, kind="stable"):
+        repeats = int(x[k] + 0.5)
+        if repeats < 1:
+            break
+        lengths = tuple(int(v) for v in sets[k] if v)
+        repeats = min(repeats, *(int(left[v]) // lengths.count(v) for v in lengths))
+        if repeats > 0:
+            done.append((lengths, repeats))
+            for v in lengths:
+                left[v] -= repeats
     while True:
         present = np.flatnonzero(left)
         if not len(present):
