@@ -8,7 +8,7 @@ from pricewatch.bindings.registry import query
 from pricewatch.functions.logs import time_of
 from pricewatch.operators import reconcile, recovery
 from pricewatch.session import new_table_path
-from pricewatch.sinks import append_recovered, write_recovery
+from pricewatch.sinks import append_recovered, read_price_log, write_log, write_recovery
 from pricewatch.sources.links import brand_map as read_brands
 from pricewatch.sources.run_logs import log_lines as number_lines
 
@@ -107,8 +107,7 @@ def expected_counts(r):
 
 def recovered(r):
     rows = recovery.recovered_rows(branded(r))
-    seq = F.col("run_id").cast("long") * 1000 + F.col("line_no")
-    return recovery.recompute_trends(rows.withColumn("seq", seq))
+    return recovery.recompute_trends(rows, order=recovery.line_order())
 
 
 @query("recovered_trends", f"""
@@ -124,9 +123,12 @@ def recovered_trends(r):
 
 
 @query("manifest_counts", """
-    SELECT obs_date, platform, count(*) AS recovered_rows,
-           CAST(sum(CAST(concat('0x', substr(sha256(concat(CAST(seq AS STRING), chr(31), product_name, chr(31), country)), 1, 12)) AS HUGEINT)) AS STRING) AS digest
-    FROM {price_log} WHERE status = 'Success' GROUP BY obs_date, platform""")
+    WITH hashed AS (SELECT obs_date, platform, sha256(concat('v', CAST(seq AS STRING), chr(31), 'v', product_name, chr(31), 'v', country)) AS h
+                    FROM {price_log} WHERE status = 'Success')
+    SELECT obs_date, platform, count(*) AS recovered_rows, concat_ws(':',
+           CAST(sum(CAST(concat('0x', substr(h, 1, 16)) AS HUGEINT)) AS STRING), CAST(sum(CAST(concat('0x', substr(h, 17, 16)) AS HUGEINT)) AS STRING),
+           CAST(sum(CAST(concat('0x', substr(h, 33, 16)) AS HUGEINT)) AS STRING), CAST(sum(CAST(concat('0x', substr(h, 49, 16)) AS HUGEINT)) AS STRING)) AS digest
+    FROM hashed GROUP BY obs_date, platform""")
 def manifest_counts(r):
     log = r["price_log"].filter("status = 'Success'")
     return reconcile.manifest_counts(log, ["seq", "product_name", "country"])
@@ -152,12 +154,12 @@ def _existing(r):
 @query("conflict_gate", """
     SELECT platform, obs_date, count(*) AS conflicts FROM {price_log}
     WHERE platform IN ('Boulanger', 'Currys')
-      AND obs_date IN (SELECT obs_date FROM {price_log} WHERE status <> 'Success'
-                       GROUP BY obs_date HAVING max(price) > 200) GROUP BY ALL""")
+      AND obs_date IN (SELECT concat('2024-01', substr(run_date, 8)) FROM {run_log} WHERE role = 'assistant') GROUP BY ALL""")
 def conflict_gate(r):
-    """Log rows on the days whose failed attempts show a price above 200."""
-    failed = r["price_log"].filter("status <> 'Success'").groupBy("obs_date").agg(F.max("price").alias("top"))
-    return recovery.conflicting_rows(r["price_log"], failed.filter("top > 200")).groupBy(
+    """Log rows on the recovered days, moved into the month that the log covers."""
+    moved = F.concat(F.lit("2024-01"), F.substring("obs_date", 8, 3))
+    days = recovery.recovered_rows(branded(r)).select(moved.alias("obs_date"))
+    return recovery.conflicting_rows(r["price_log"], days).groupBy(
         "platform", "obs_date"
     ).agg(F.count("*").alias("conflicts"))
 
@@ -167,7 +169,8 @@ def conflict_gate(r):
         SELECT platform, status FROM {{price_log}} UNION ALL SELECT platform, 'Success' FROM pairs WHERE paired)
     SELECT platform, status, count(*) AS log_rows FROM both_logs GROUP BY ALL""")
 def recovery_append(r):
-    """Existing and recovered rows written together; the gate finds no common day."""
+    """Recovered days added to the log; the gate finds no common day."""
     path = new_table_path(r.spark, "recovered-log")
-    append_recovered(_existing(r), recovered(r), path, write=True)
-    return r.spark.read.parquet(path).groupBy("platform", "status").agg(F.count("*").alias("log_rows"))
+    write_log(_existing(r), path, "existing")
+    append_recovered(read_price_log(r.spark, path), recovered(r), path, "recovered", write=True)
+    return read_price_log(r.spark, path).groupBy("platform", "status").agg(F.count("*").alias("log_rows"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricewatch.bindings.joins import _CASCADE, LATEST_SQL, _api, _pages, latest, snapshot
+from pricewatch.bindings.log_recovery import _PAIRS, recovered
 from pricewatch.bindings.prices import RUN_START, _TREND
 from pricewatch.bindings.registry import query
 from pricewatch.bindings.watch_list import active
 from pricewatch.operators import match
 from pricewatch.operators.reconcile import run_summary
 from pricewatch.session import new_table_path
-from pricewatch.sinks import append_success, drop_expired_days, read_price_log
+from pricewatch.sinks import append_recovered, append_success, drop_expired_days, read_price_log, write_log
 from pricewatch.sources.price_log import latest_prices, successful
 from pricewatch.streaming import results as streaming
 
@@ -32,11 +33,12 @@ def daily_run(r):
     SELECT obs_date, platform, count(*) AS log_rows, max(price) AS highest FROM {price_log}
     WHERE status = 'Success' GROUP BY obs_date, platform""")
 def append_log(r):
-    """Successful rows appended to a partitioned log in two runs, and read back."""
+    """Successful rows appended to a partitioned log in two runs, one of them repeated, and read back."""
     path = new_table_path(r.spark, "log")
     results = r["price_log"].withColumn("trend", F.lit("-"))
-    append_success(results.filter(F.col("obs_date") < RUN_START), path)
-    append_success(results.filter(F.col("obs_date") >= RUN_START), path)
+    append_success(results.filter(F.col("obs_date") < RUN_START), path, "first")
+    append_success(results.filter(F.col("obs_date") >= RUN_START), path, "second")
+    append_success(results.filter(F.col("obs_date") >= RUN_START), path, "second")  # repeated
     return read_price_log(r.spark, path).groupBy("obs_date", "platform").agg(
         F.count("*").alias("log_rows"), F.max("price").alias("highest")
     )
@@ -47,7 +49,8 @@ def append_log(r):
     WHERE CAST(obs_date AS DATE) >= (SELECT max(CAST(obs_date AS DATE)) - 10 FROM {price_log}) GROUP BY obs_date""")
 def retention_rewrite(r):
     path = new_table_path(r.spark, "window")
-    drop_expired_days(r["price_log"].withColumn("trend", F.lit("-")), 10, path)
+    write_log(r["price_log"].withColumn("trend", F.lit("-")), path, "all")
+    drop_expired_days(r.spark, path, 10)
     return read_price_log(r.spark, path).groupBy("obs_date").agg(F.count("*").alias("log_rows"))
 
 
@@ -75,8 +78,28 @@ def progress_checkpoint(r):
     SELECT obs_date, count(*) AS promoted FROM {price_log} WHERE status = 'Success' GROUP BY obs_date""")
 def incremental_results(r):
     base, schema = _staged(r, "incremental")
-    streaming.promote(r.spark, f"{base}/staging", schema, f"{base}/log")
-    return r.spark.read.parquet(f"{base}/log").groupBy("obs_date").agg(F.count("*").alias("promoted"))
+    streaming.promote(r.spark, f"{base}/staging", schema, f"{base}/log", "stream")
+    return read_price_log(r.spark, f"{base}/log").groupBy("obs_date").agg(F.count("*").alias("promoted"))
+
+
+@query("price_log_cycle", f"""
+    WITH {_PAIRS},
+    log AS (SELECT obs_date, platform FROM {{price_log}} WHERE status = 'Success'
+            UNION ALL SELECT run_date, platform FROM pairs WHERE paired)
+    SELECT obs_date, platform, count(*) AS log_rows FROM log
+    WHERE CAST(obs_date AS DATE) >= (SELECT max(CAST(obs_date AS DATE)) - 930 FROM log) GROUP BY ALL""")
+def price_log_cycle(r):
+    """One log through its life: a run, the same run again, streamed results, recovery, retention."""
+    base, schema = _staged(r, "cycle")
+    log = f"{base}/log"
+    early = r["price_log"].withColumn("trend", F.lit("-")).filter(F.col("obs_date") < RUN_START)
+    append_success(early, log, "daily")
+    append_success(early, log, "daily")
+    staged = r.spark.read.schema(schema).parquet(f"{base}/staging").filter(F.col("obs_date") >= RUN_START)
+    append_success(staged, log, "stream")
+    append_recovered(read_price_log(r.spark, log), recovered(r), log, "recovery", write=True)
+    drop_expired_days(r.spark, log, 930)
+    return read_price_log(r.spark, log).groupBy("obs_date", "platform").agg(F.count("*").alias("log_rows"))
 
 
 @query("stream_trend", f"""

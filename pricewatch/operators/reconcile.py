@@ -156,16 +156,19 @@ def expected_counts(recovered: DataFrame, expected: DataFrame) -> DataFrame:
 def content_digest(rows: DataFrame, columns: list[str]):
     """Aggregate expression: a digest of the row set that no row order changes.
 
-    Each row is hashed on its own and the hashes are summed, so the digest is combined
-    on the map side instead of streaming the whole table through one task.
+    Each row is hashed on its own and all 256 bits are summed in four parts, so the digest
+    is combined on the map side instead of streaming the whole table through one task. A
+    null differs from an empty value.
     """
-    row = F.sha2(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), 256)
-    return F.sum(F.conv(F.substring(row, 1, 12), 16, 10).cast("decimal(38,0)"))
+    cells = (F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns)
+    row = F.sha2(F.concat_ws("\x1f", *cells), 256)
+    parts = (F.conv(F.substring(row, 1 + 16 * i, 16), 16, 10).cast("decimal(38,0)") for i in range(4))
+    return F.concat_ws(":", *(F.sum(part).cast("string") for part in parts))
 
 
 def manifest_counts(recovered: DataFrame, columns: list[str]) -> DataFrame:
     """Rows and digest per date and platform."""
     return recovered.groupBy("obs_date", "platform").agg(
         F.count("*").alias("recovered_rows"),
-        content_digest(recovered, columns).cast("string").alias("digest"),
+        content_digest(recovered, columns).alias("digest"),
     )

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricewatch.fixed_values import (
     EXCLUDED_REASON,
     FROM_BATCH,
-    PRICE_LOG_COLUMNS,
     RECOVERY_METHOD,
     RECOVERY_PLATFORMS,
     SERIES_KEY,
@@ -92,20 +91,28 @@ def recovered_rows(branded: DataFrame) -> DataFrame:
     )
 
 
-def recompute_trends(rows: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+def line_order() -> list[Column]:
+    """Order of recovered rows: run, then line. Shorter run ids come first, so numbers sort as numbers."""
+    run = F.col("run_id").cast("string")
+    return [F.length(run), run, F.col("line_no")]
+
+
+def recompute_trends(
+    rows: DataFrame, existing: DataFrame | None = None, order: list[Column] | None = None
+) -> DataFrame:
     """Trend of each row against the last price of an earlier day.
 
     All rows of a day compare with the state before that day. Rows are first reduced to
     one closing price per series and day; only those are windowed, and the baseline then
-    joins back, so the work of a busy series is spread over its days.
+    joins back, so the work of a busy series is spread over its days. ``order`` ranks the
+    rows of a day, by default ``seq``; an existing log needs no sequence.
     """
-    closing = latest_by(rows, [*KEY, "obs_date"], [F.col("seq")], "price", "closing")
+    closing = latest_by(rows, [*KEY, "obs_date"], order or [F.col("seq")], "price", "closing")
     if existing is not None:
         first_day = rows.agg(F.min("obs_date")).scalar()
         earlier = successful(existing).filter(F.col("obs_date") < first_day)
-        before = latest_by(
-            earlier, [*KEY, "obs_date"], [F.col("obs_time"), F.col("seq")], "price", "closing"
-        )
+        times = [F.col(c) for c in ("obs_time", "seq") if c in existing.columns]
+        before = latest_by(earlier, [*KEY, "obs_date"], times, "price", "closing")
         days = closing.unionByName(before)
     else:
         days = closing
@@ -119,15 +126,9 @@ def recompute_trends(rows: DataFrame, existing: DataFrame | None = None) -> Data
 def conflicting_rows(existing: DataFrame, target_dates: DataFrame, platforms=RECOVERY_PLATFORMS) -> DataFrame:
     """Rows already logged on a target date and platform; any such row forbids the append.
 
-    The target dates have one row per calendar day and are broadcast, which also prunes
-    the partitions of a log that is stored by day.
+    The target dates are distinct days; the planner decides how to join them.
     """
     days = target_dates.select("obs_date").distinct()
     return existing.filter(F.col("platform").isin(*platforms)).join(
-        F.broadcast(days), "obs_date", "left_semi"
+        days, "obs_date", "left_semi"
     )
-
-
-def combined_log(existing: DataFrame, recovered: DataFrame) -> DataFrame:
-    columns = list(PRICE_LOG_COLUMNS)
-    return existing.select(*columns).unionByName(recovered.select(*columns))

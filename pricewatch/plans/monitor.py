@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from pricewatch.channels import gate_thresholds
+from pricewatch.fixed_values import KEEP_DAYS
 from pricewatch.operators import gates, match, scope
 from pricewatch.operators.reconcile import run_summary
-from pricewatch.operators.retention import trim_window
 from pricewatch.session import written
-from pricewatch.sinks import append_success, read_price_log, success_rows
+from pricewatch.sinks import append_success, drop_expired_days
 from pricewatch.sources.captures import page_prices
 from pricewatch.sources.links import active_links
 from pricewatch.sources.price_log import latest_prices
@@ -44,17 +44,22 @@ def observe(run: Captured, channels: str = "") -> DataFrame:
     return match.trend_join(match.price_cascade(links, snapshot, run.api, outcomes), latest)
 
 
-def monitor(run: Captured, stamped, staging: str, log: str, channels: str = "") -> DataFrame:
-    """Run once: stage all results, append the successes to the log, return the summary.
+def run_name(channels: str) -> str:
+    """Name of the daily run's slice of the log."""
+    wanted = sorted(c for c in (part.strip().lower() for part in channels.split(",")) if c)
+    return "daily-" + ("_".join(wanted) or "all")
+
+
+def monitor(run: Captured, stamped, staging: str, log: str, channels: str = "", keep_days: int = KEEP_DAYS) -> DataFrame:
+    """Run once: stage all results, add the successes to the log, trim it, return the summary.
 
     ``stamped`` adds ``obs_date`` and ``obs_time``. Staging is written first and read back,
-    so log and summary see the same results and neither recomputes the joins.
+    so log and summary see the same results and neither recomputes the joins. A run that
+    is repeated for the same channels replaces its rows of the day.
     """
     spark = run.links.sparkSession
     stamped(observe(run, channels)).write.mode("overwrite").parquet(staging)
     results = spark.read.parquet(staging)
-    append_success(results, log)
+    append_success(results, log, run_name(channels))
+    drop_expired_days(spark, log, keep_days)
     return run_summary(results)
-
-
-__all__ = ["Captured", "observe", "monitor", "trim_window", "read_price_log", "success_rows"]

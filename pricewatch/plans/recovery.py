@@ -43,7 +43,7 @@ def recover(lines: DataFrame, mapping: DataFrame, expected: DataFrame, existing:
     pairs = steps.log_pairs(fields)
     branded = steps.brand_lookup(pairs, brands)
     rows = steps.recovered_rows(branded.filter(F.col("paired")))
-    trended = steps.recompute_trends(rows.withColumn("seq", F.col("line_no")), existing)
+    trended = steps.recompute_trends(rows, existing, steps.line_order())
     return Recovered(
         rows=trended,
         excluded=steps.excluded_lines(fields),

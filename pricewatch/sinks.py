@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
-from pricewatch.fixed_values import CATALOG_COLUMNS, PRICE_LOG_COLUMNS, STATUS_OK
+from pricewatch.fixed_values import CATALOG_COLUMNS, KEEP_DAYS, PRICE_LOG_COLUMNS, STATUS_OK
 from pricewatch.operators.reconcile import manifest_counts
-from pricewatch.operators.recovery import combined_log, conflicting_rows
-from pricewatch.operators.retention import parsed_date, trim_window
+from pricewatch.operators.recovery import conflicting_rows
+from pricewatch.operators.retention import parsed_date
 
 
 def _with_columns(rows: DataFrame, columns) -> DataFrame:
@@ -26,23 +29,54 @@ def _balanced(rows: DataFrame, *partition_columns: str) -> DataFrame:
     return rows.hint("rebalance", *partition_columns)
 
 
-def _by_day(rows: DataFrame) -> DataFrame:
-    return _balanced(rows.withColumn("day", parsed_date(F.col("obs_date"))), "day")
+def write_log(rows: DataFrame, path: str, run: str) -> None:
+    """Write a run's rows to the price log, one folder per day and run.
+
+    The one writer of the log. A run that is repeated replaces what it wrote to the same
+    days before, and touches no other run's rows.
+    """
+    placed = _with_columns(rows, PRICE_LOG_COLUMNS).withColumns(
+        {"day": parsed_date(F.col("obs_date")), "run": F.lit(run)}
+    )
+    (
+        _balanced(placed, "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "run")
+        .parquet(path)
+    )
 
 
-def append_success(results: DataFrame, path: str) -> None:
-    """Append the successful rows, partitioned by day."""
-    _by_day(success_rows(results)).write.mode("append").partitionBy("day").parquet(path)
+def append_success(results: DataFrame, path: str, run: str) -> None:
+    """Write the successful rows of a run to the log."""
+    write_log(success_rows(results), path, run)
 
 
-def read_price_log(spark, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*PRICE_LOG_COLUMNS)
+def read_price_log(spark, path: str, since: str | None = None) -> DataFrame:
+    """The log; ``since`` reads only the folders of that day and later, and of undated rows."""
+    log = spark.read.parquet(path)
+    if since is not None:
+        log = log.filter(F.col("day").isNull() | (F.col("day") >= F.lit(since).cast("date")))
+    return log.select(*PRICE_LOG_COLUMNS)
 
 
-def drop_expired_days(log: DataFrame, keep_days: int, path: str) -> None:
-    """Write the rolling window of a log to a new location; readers switch when it is complete."""
-    kept = trim_window(log, keep_days)
-    _by_day(kept).write.mode("overwrite").partitionBy("day").parquet(path)
+def drop_expired_days(spark, path: str, keep_days: int = KEEP_DAYS) -> list[str]:
+    """Remove the day folders before the rolling window and return their days.
+
+    Days are known from the folder names, so no row is read or written. Undated rows stay.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    days = {}
+    for entry in files.listStatus(folder) if files.exists(folder) else []:
+        found = re.fullmatch(r"day=(\d{4}-\d{2}-\d{2})", entry.getPath().getName())
+        if found:
+            days[date.fromisoformat(found[1])] = entry.getPath()
+    expired = sorted(day for day in days if day < max(days) - timedelta(days=keep_days))
+    for day in expired:
+        files.delete(days[day], True)
+    spark.catalog.refreshByPath(path)
+    return [day.isoformat() for day in expired]
 
 
 def write_catalog(items: DataFrame, path: str) -> None:
@@ -75,13 +109,13 @@ class RecoveryConflict(RuntimeError):
     """The log already holds rows of the recovered days."""
 
 
-def append_recovered(existing: DataFrame, recovered: DataFrame, path: str, write: bool = False) -> bool:
-    """Write existing and recovered rows together; refuse when a target day is already logged."""
+def append_recovered(existing: DataFrame, recovered: DataFrame, path: str, run: str, write: bool = False) -> bool:
+    """Add the recovered rows' days to the log; refuse when a target day is already logged."""
     if not write:
         return False
     if not conflicting_rows(existing, recovered).isEmpty():
         raise RecoveryConflict("the log already holds rows of the recovered dates and platforms")
-    combined_log(existing, recovered).write.mode("overwrite").parquet(path)
+    write_log(recovered, path, run)
     return True
 
 

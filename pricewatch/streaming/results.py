@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pricewatch.operators.match import trend_join
-from pricewatch.sinks import success_rows
+from pricewatch.sinks import append_success
 
 
 def result_stream(spark: SparkSession, schema, path: str, files: str = "*.parquet",
@@ -50,9 +50,9 @@ def staged(spark: SparkSession, staging: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(staging)
 
 
-def promote(spark: SparkSession, staging: str, schema, log: str) -> None:
-    """Append the successful staged rows to the log, once the stream has ended."""
-    success_rows(staged(spark, staging, schema)).write.mode("append").parquet(log)
+def promote(spark: SparkSession, staging: str, schema, log: str, run: str) -> None:
+    """Write the successful staged rows to the log, once the stream has ended."""
+    append_success(staged(spark, staging, schema), log, run)
 
 
 def stream_trends(arriving: DataFrame, latest: DataFrame) -> DataFrame:

@@ -16,12 +16,18 @@ from pricewatch.streaming import results as streaming
 def test_append_and_trim(spark, tmp_path):
     log = str(tmp_path / "log")
     rows = spark.createDataFrame([log_row(1, "2026-08-01", "A", 1.0), log_row(2, "2026-08-01", "B", None, "Failed: Dead Link")], LOG)
-    sinks.append_success(rows, log)
-    sinks.append_success(rows.withColumn("obs_date", F.lit("2026-08-02")).drop("trend"), log)
+    sinks.append_success(rows, log, "a")
+    for _ in range(2):  # a repeated run replaces its rows
+        sinks.append_success(rows.withColumn("obs_date", F.lit("2026-08-02")).drop("trend"), log, "b")
+    sinks.append_success(rows.withColumn("obs_date", F.lit("no date")), log, "c")
     back = sinks.read_price_log(spark, log)
-    assert sorted((r.obs_date, r.product_name, r.trend) for r in back.collect()) == [("2026-08-01", "A", "-"), ("2026-08-02", "A", None)]
-    sinks.drop_expired_days(back, 0, str(tmp_path / "kept"))
-    assert [r.obs_date for r in sinks.read_price_log(spark, str(tmp_path / "kept")).collect()] == ["2026-08-02"]
+    assert sorted((r.obs_date, r.product_name, r.trend) for r in back.collect()) == [("2026-08-01", "A", "-"), ("2026-08-02", "A", None), ("no date", "A", "-")]
+    assert sorted(r.obs_date for r in sinks.read_price_log(spark, log, since="2026-08-02").collect()) == ["2026-08-02", "no date"]
+    assert sinks.drop_expired_days(spark, log, 1) == []
+    assert sinks.drop_expired_days(spark, log, 0) == ["2026-08-01"]
+    assert sinks.drop_expired_days(spark, str(tmp_path / "none"), 0) == []
+    back = sinks.read_price_log(spark, log)
+    assert sorted(r.obs_date for r in back.collect()) == ["2026-08-02", "no date"]
     sinks.export_csv(back, str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 2
 
@@ -57,12 +63,14 @@ def test_recovered_rows_are_appended_once(spark, tmp_path):
     existing = spark.createDataFrame([log_row(1, "2026-07-31", "A", 1.0)], LOG)
     recovered = spark.createDataFrame([log_row(2, "2026-08-01", "A", 2.0)], LOG)
     path = str(tmp_path / "log")
-    assert not sinks.append_recovered(existing, recovered, path)
-    assert sinks.append_recovered(existing, recovered, path, write=True)
-    combined = spark.read.parquet(path)
+    sinks.write_log(existing, path, "daily")
+    existing = sinks.read_price_log(spark, path)
+    assert not sinks.append_recovered(existing, recovered, path, "recovery")
+    assert sinks.append_recovered(existing, recovered, path, "recovery", write=True)
+    combined = sinks.read_price_log(spark, path)
     assert combined.count() == 2
     with pytest.raises(sinks.RecoveryConflict):
-        sinks.append_recovered(combined, recovered, str(tmp_path / "again"), write=True)
+        sinks.append_recovered(combined, recovered, path, "again", write=True)
     sinks.write_recovery(recovered, existing.limit(0), str(tmp_path / "audit"))
     assert spark.read.json(str(tmp_path / "audit" / "manifest")).first().recovered_rows == 1
 
@@ -85,8 +93,10 @@ def test_results_are_staged_and_promoted(spark, tmp_path):
     run()
     done = streaming.staged(spark, staging, full)
     assert (done.count(), done.filter("obs_date IS NULL OR obs_time IS NULL").count()) == (12, 0)
-    streaming.promote(spark, staging, full, log)
-    assert spark.read.parquet(log).count() == 6
+    sinks.append_success(done.withColumn("obs_date", F.lit("2026-08-01")), log, "daily")
+    for _ in range(2):
+        streaming.promote(spark, staging, full, log, "stream")
+    assert sinks.read_price_log(spark, log).count() == 12
 
 
 def test_scopes(spark):

@@ -61,6 +61,24 @@ def test_pairing_matches_a_loop(spark, seed):
     assert [(p.price, p.product_name) for p in pairs] == want
 
 
+def test_recovery_on_a_written_log(spark, tmp_path):
+    """Runs with textual ids and lines above 1000, against the log as the library writes it."""
+    from pricewatch import sinks
+
+    log = str(tmp_path / "log")
+    sinks.write_log(spark.createDataFrame([log_row(1, "2026-07-31", "A", 100.0)], LOG), log, "daily")
+    noise = ["noise"] * 1500
+    runs = [("run-9", "2026-08-01", [*noise, product("A"), price("90.0")]), ("run-10", "2026-08-01", [product("A"), price("95.0")]),
+            ("run-11", "2026-08-02", [product("A"), price("95.0")])]
+    rows = [(run, "head", day, i, line) for run, day, lines in runs for i, line in enumerate(lines, 1)]
+    mapping = spark.createDataFrame([("head", "A", "", "GB", "Currys", "LG", "true")], "revision string, sku string, model string, country string, platform string, brand string, active string")
+    expected = spark.createDataFrame([(run, "Currys", 1) for run, _, _ in runs], "run_id string, platform string, expected long")
+    found = recover(spark.createDataFrame(rows, LINES), mapping, expected, sinks.read_price_log(spark, log)).checked()
+    assert {r.run_id: (r.old_price, r.trend) for r in found.rows.collect()} == {"run-9": (100.0, "DOWN"), "run-10": (100.0, "DOWN"), "run-11": (95.0, "FLAT")}
+    assert sinks.append_recovered(sinks.read_price_log(spark, log), found.rows, log, "recovery", write=True)
+    assert sinks.read_price_log(spark, log).count() == 4
+
+
 def test_times(column_of):
     from pricewatch.functions.logs import line_timestamp, time_of
 
