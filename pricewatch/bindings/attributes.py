@@ -71,16 +71,16 @@ def series_detect(r):
     return r["items"].select("part_no", "brand_raw", series.alias("series"))
 
 
-@query("series_detect_sku", "SELECT part_no, CASE brand_raw WHEN 'Samsung' THEN 'S95H' WHEN 'LG' THEN 'C6' WHEN 'TCL' THEN 'C8L' WHEN 'Hisense' THEN 'U7QPRO' WHEN 'Sony' THEN 'BRAVIA8II' ELSE '' END AS series FROM {items}")
+@query("series_detect_sku", "SELECT part_no, CASE brand_raw WHEN 'Samsung' THEN 'S90F' WHEN 'LG' THEN 'G5' WHEN 'TCL' THEN 'P7K' WHEN 'Hisense' THEN 'E7S' WHEN 'Sony' THEN 'XR70' ELSE '' END AS series FROM {items}")
 def series_detect_sku(r):
     """Series inside model numbers, where the size runs into the code."""
     size = F.col("inches").cast("string")
     code = (
-        F.when(F.col("brand_raw") == "Samsung", F.concat(F.lit("QE"), size, F.lit("S95HATXXU OLED TV")))
-        .when(F.col("brand_raw") == "LG", F.concat(F.lit("OLED"), size, F.lit("C6ELA OLED evo")))
-        .when(F.col("brand_raw") == "TCL", F.concat(size, F.lit("C8L Premium")))
-        .when(F.col("brand_raw") == "Hisense", F.concat(size, F.lit("U7Q PRO Mini LED")))
-        .otherwise(F.concat(F.lit("K-"), size, F.lit("XR80M2 BRAVIA 8 II")))
+        F.when(F.col("brand_raw") == "Samsung", F.concat(F.lit("On the wall: TQ"), size, F.lit("S90FAEXXC")))
+        .when(F.col("brand_raw") == "LG", F.concat(F.lit("Offer OLED"), size, F.lit("G5XYZ")))
+        .when(F.col("brand_raw") == "TCL", F.concat(F.lit("Kitchen set "), size, F.lit("P7K")))
+        .when(F.col("brand_raw") == "Hisense", F.concat(F.lit("Television "), size, F.lit("E7S black")))
+        .otherwise(F.concat(F.lit("Screen XR70 "), size))
     )
     return r["items"].select("part_no", at.series_of(F.col("brand_raw"), code).alias("series"))
 
@@ -129,10 +129,11 @@ def raw_text_concat(r):
            CASE WHEN event_type = 'view' THEN NULL ELSE event_type END AS kind
     FROM {events}""")
 def attribute_first(r):
-    """A map of list attributes built from the event properties."""
+    """A map of list and plain attributes built from the event properties."""
+    k = F.get_json_object("props", "$.k")
     bag = F.create_map(
-        F.lit("k"), F.array(F.get_json_object("props", "$.k"), F.lit("0")),
-        F.lit("kind"), F.when(F.col("event_type") == "view", F.array().cast("array<string>")).otherwise(F.array("event_type")),
+        F.lit("k"), F.when(F.col("event_id") % 2 == 0, k).otherwise(F.to_json(F.array(k, F.lit("0")))),
+        F.lit("kind"), F.when(F.col("event_type") == "view", "[]").otherwise(F.to_json(F.array("event_type"))),
     )
     return r["events"].select("event_id", bag.alias("bag")).select(
         "event_id",

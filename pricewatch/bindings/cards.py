@@ -131,10 +131,13 @@ def last(r):
 
 
 @query("price_coverage", """
-    SELECT brand_raw, count(*) AS items, count(price_local) AS priced, 0 AS nameless
+    SELECT brand_raw, count(*) FILTER (p_size % 6 <> 1) AS items, count(price_local) FILTER (p_size % 6 <> 1) AS priced,
+           count(*) FILTER (p_size % 6 = 1) AS nameless
     FROM {items} GROUP BY brand_raw""")
 def coverage(r):
-    return price_coverage(r["items"], ["brand_raw"])
+    """Some items lack a text, as null or empty."""
+    text = F.expr("CASE p_size % 12 WHEN 1 THEN '' WHEN 7 THEN CAST(NULL AS STRING) ELSE raw_text END")
+    return price_coverage(r["items"].withColumn("raw_text", text), ["brand_raw"])
 
 
 # --- paging ------------------------------------------------------------------------

@@ -62,13 +62,16 @@ def already_seen_hints(r):
 
 
 @query("coverage_grid", """
-    WITH grid AS (SELECT DISTINCT p_brand AS brand, year FROM {part}, (VALUES (2025), (2026)) AS y(year))
+    WITH named AS (SELECT p_brand AS brand FROM {part} UNION SELECT concat('Range ', CAST(p_size AS STRING), ' ', p_brand) FROM {part}),
+    grid AS (SELECT brand, year FROM named, (VALUES (2025), (2026)) AS y(year))
     SELECT brand, year FROM grid EXCEPT
-    SELECT p_brand, CASE WHEN p_size % 2 = 0 THEN 2025 ELSE 2026 END FROM {part} WHERE p_type = 'PROMO' AND p_size > 40""")
+    (SELECT p_brand, CASE WHEN p_size % 2 = 0 THEN 2025 ELSE 2026 END FROM {part}
+     UNION ALL SELECT concat('Range ', CAST(p_size AS STRING), ' ', p_brand), CASE WHEN p_size % 2 = 0 THEN 2025 ELSE 2026 END FROM {part})""")
 def coverage_grid(r):
-    parts = r["part"]
+    """Brands and their ranges by size; a range exists in one year only."""
+    parts = r["part"].withColumn("p_brand", F.explode(F.array("p_brand", F.concat_ws(" ", F.lit("Range"), "p_size", "p_brand"))))
     brands = parts.select(F.col("p_brand").alias("brand")).distinct()
-    held = parts.filter("p_type = 'PROMO' AND p_size > 40").selectExpr(
+    held = parts.selectExpr(
         "p_brand AS brand", "CASE WHEN p_size % 2 = 0 THEN 2025 ELSE 2026 END AS year"
     )
     return match.coverage_grid(brands, (2025, 2026), held)
@@ -125,28 +128,28 @@ def facet_filter(r):
 
 @query("variant_expand", """
     WITH refs AS (
-        SELECT l_orderkey AS seed_pos, l_linenumber - 1 AS pos, l_partkey,
-               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice) AS ref_no
-        FROM {lineitem}),
-    seeds AS (SELECT o_orderkey AS seed_pos FROM {orders}),
+        SELECT o_custkey AS seed_pos, l_partkey,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS ref_no
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey),
     valid AS (
         SELECT seed_pos, ref_no, asin, brand_raw, raw_text, size_hint_inch
-        FROM refs JOIN seeds USING (seed_pos) JOIN {items} AS i ON i.part_no = refs.l_partkey
-        WHERE ref_no <= 3 AND i.p_size > 25)
+        FROM refs JOIN {items} AS i ON i.part_no = refs.l_partkey
+        WHERE ref_no <= 10 AND i.p_size > 25)
     SELECT asin, brand_raw, raw_text, size_hint_inch FROM valid GROUP BY ALL""")
 def variant_expand(r):
-    """Orders as seeds with their line items as references, at most three per seed."""
-    refs = r["lineitem"].groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_extendedprice"))).alias("lines")
+    """Customers as seeds with all that they ordered as references."""
+    lines = r["lineitem"].join(r["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    seeds = lines.groupBy("o_custkey").agg(
+        F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"))).alias("lines")
     )
     asin = "lower(concat('B', lpad(CAST(x.l_partkey AS STRING), 9, '0')))"
-    seeds = refs.join(r["orders"], F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("o_orderkey").alias("seed_pos"),
+    seeds = seeds.select(
+        F.col("o_custkey").alias("seed_pos"),
         F.lit("Seed").alias("brand_raw"),
         F.expr(f"transform(lines, x -> named_struct('asin', {asin}, 'text', '55 inch'))").alias("refs"),
     )
     details = r["items"].select("asin", F.col("raw_text").alias("title"), F.lit("£1").alias("price_text"))
-    return match.variant_expand(seeds, today(r), details, per_seed=3).select(
+    return match.variant_expand(seeds, today(r), details).select(
         "asin", "brand_raw", "raw_text", "size_hint_inch"
     )
 

@@ -72,9 +72,10 @@ def guard_join(r):
 
 
 def _api(r):
-    """Direct prices for the larger Elkjop parts."""
-    return r["part"].filter("p_size > 25").selectExpr(
-        "CAST(100000 + p_partkey AS STRING) AS sku", "p_retailprice * 10 AS price", "'NOK' AS currency"
+    """Direct prices for the larger Elkjop parts, captured twice; the first capture was half as high."""
+    parts = r["part"].filter("p_size > 25").withColumn("captured_at", F.explode(F.array(F.lit(1), F.lit(2))))
+    return parts.selectExpr(
+        "CAST(100000 + p_partkey AS STRING) AS sku", "p_retailprice * 5 * captured_at AS price", "'NOK' AS currency", "captured_at"
     )
 
 
@@ -90,6 +91,7 @@ def _pages(r):
         "p_retailprice + 1000 AS page_price",
         "CASE WHEN p_size % 3 = 0 THEN 'NOK' WHEN p_size % 3 = 1 THEN 'EUR' ELSE 'GBP' END AS page_currency",
         "p_size AS captured_at",
+        "p_size % 11 = 6 AS blocked",
     )
     return match.page_outcomes(captures)
 
@@ -101,13 +103,13 @@ _CASCADE = f"""
                CASE WHEN channel = 'elkjop' AND p_size > 25 THEN p_retailprice * 10 END AS api_price,
                p_size <= 10 AS uncaptured,
                p_size = 30 OR (channel = 'currys' AND p_size % 5 = 2) AS gone,
-               channel = 'boulanger' AND p_size % 5 = 3 AS dead,
+               p_size % 11 = 6 AS blocked, channel = 'boulanger' AND p_size % 5 = 3 AS dead,
                CASE WHEN p_size % 3 = 0 THEN 'NOK' WHEN p_size % 3 = 1 THEN 'EUR' ELSE 'GBP' END AS page_currency
         FROM requested AS r JOIN {{part}} ON p_partkey = part_no),
     stepped AS (
         SELECT *, CASE WHEN platform = 'Corner Shop' THEN 'unsupported' WHEN batch_price IS NOT NULL THEN 'batch'
             WHEN api_price IS NOT NULL THEN 'api' WHEN uncaptured THEN 'navigation' WHEN gone THEN 'gone'
-            WHEN dead THEN 'dead' WHEN channel = 'amazon' AND page_currency <> 'EUR' THEN 'none'
+            WHEN blocked THEN 'navigation' WHEN dead THEN 'dead' WHEN channel = 'amazon' AND page_currency <> 'EUR' THEN 'none'
             WHEN channel = 'elkjop' AND page_currency <> 'NOK' THEN 'none' ELSE 'page' END AS step
         FROM facts)
     SELECT product_name, platform,

@@ -238,13 +238,13 @@ def fx_rate_join(r):
 
 @query("structured_page_price", """
     SELECT page_id,
-           CASE WHEN page_id % 7 IN (5, 6) THEN NULL ELSE page_id + 20.5 END::DOUBLE AS price,
-           CASE WHEN page_id % 7 IN (5, 6) THEN NULL WHEN page_id % 7 IN (0, 3) THEN 'GBP'
-                WHEN page_id % 7 = 4 THEN 'NOK' ELSE 'EUR' END AS currency
+           CASE WHEN page_id % 10 IN (5, 6) THEN NULL ELSE page_id + 20.5 END::DOUBLE AS price,
+           CASE WHEN page_id % 10 IN (5, 6) THEN NULL WHEN page_id % 10 IN (0, 3) THEN 'GBP'
+                WHEN page_id % 10 = 4 THEN 'NOK' ELSE 'EUR' END AS currency
     FROM {pages}""")
 def structured_page_price(r):
-    """Whole captured pages with the markup of seven page styles in front."""
-    n, style = F.concat((F.col("page_id") + 20).cast("string"), F.lit(".5")), F.col("page_id") % 7
+    """Whole captured pages with the markup of ten page styles in front."""
+    n, style = F.concat((F.col("page_id") + 20).cast("string"), F.lit(".5")), F.col("page_id") % 10
     ld = '<script type="application/ld+json">%s</script>'
 
     def markup(template: str):
@@ -260,6 +260,11 @@ def structured_page_price(r):
             ld % "not json" + ld % '[{"name":"x"},{"offers":[{"price":"5"},{"price":#,"priceCurrency":"GBP"}]}]'))
         .when(style == 4, markup(ld % '{"@graph":[{"@id":1},{"offers":{"price":#,"priceCurrency":"NOK"}}]}'))
         .when(style == 5, F.lit('<meta itemprop="price" content="7.99">'))
+        .when(style == 7, markup('<!-- <meta itemprop="price" content="999"> --><meta itemprop=price content=#>'))
+        .when(style == 8, markup('<meta itemprop="price" content="&nbsp;#"><meta itemprop="priceCurrency" content=EUR />'))
+        .when(style == 9, markup(
+            "<script>var tag = '<meta itemprop=\"price\" content=\"999\">';</script><meta data-itemprop='price' content=5>"
+            "<meta content=\"#\" itemprop='price'>"))
         .otherwise(F.lit(""))
     )
     marked = computed_once(r["pages"].select("page_id", "html"), {"html": F.concat(prefix, F.col("html"))})

@@ -188,14 +188,14 @@ def required_brands(r):
 
 
 @query("missing_required", f"""
-    WITH {_FLAT},
-    widest AS (SELECT * FROM hits WHERE raw_text LIKE '% 129"%')
-    SELECT b AS brand FROM (VALUES ('hisense'), ('lg'), ('samsung'), ('sony'), ('tcl')) AS v(b)
-    WHERE b NOT IN (SELECT lower(source_brand) FROM widest WHERE source_brand IS NOT NULL)""")
+    WITH {_FLAT}
+    SELECT b AS brand FROM (VALUES ('grundig'), ('hisense'), ('lg'), ('samsung'), ('sony'), ('tcl')) AS v(b)
+    WHERE b NOT IN (SELECT lower(source_brand) FROM hits WHERE source_brand IS NOT NULL)""")
 def missing_required(r):
-    """Required brands without one of the widest products."""
-    widest = hits(r).filter(F.col("raw_text").contains(' 129"'))
-    return reconcile.missing_brands(widest, reconcile.required_brands(r.spark))
+    """Required brands and one that no response holds."""
+    required = reconcile.required_brands(r.spark)
+    absent = r.spark.createDataFrame([("grundig",)], required.schema)
+    return reconcile.missing_brands(hits(r), required.union(absent))
 
 
 @query("page_range_check", f"""

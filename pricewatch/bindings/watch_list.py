@@ -23,10 +23,15 @@ def active_links(r):
 @query("links_audit", """
     SELECT count(*) AS total_rows, count(*) FILTER (active <> 'no') AS active_rows,
            count(*) FILTER (active <> 'no' AND url = ' ') AS active_without_url,
-           count(*) FILTER (active <> 'no' AND url <> ' ') AS usable_rows, true AS usable_ok
-    FROM {links}""")
+           count(*) FILTER (active <> 'no' AND url <> ' ') AS usable_rows,
+           count(*) FILTER (active <> 'no' AND url <> ' ') > 0 OR count(*) FILTER (active <> 'no') = 0 AS usable_ok
+    FROM {links}
+    UNION ALL
+    SELECT count(*), count(*) FILTER (active <> 'no'), count(*) FILTER (active <> 'no'), 0, count(*) FILTER (active <> 'no') = 0
+    FROM {links} WHERE url = ' '""")
 def links_audit(r):
-    return watch.links_audit(r["links"])
+    """The whole list, and the rows without an address, which alone are no usable list."""
+    return watch.links_audit(r["links"]).union(watch.links_audit(r["links"].filter("url = ' '")))
 
 
 @query("channel_scope", """

@@ -163,8 +163,10 @@ def model_year(text: Column, facet_year: Column) -> Column:
 
 
 def attribute_first(attributes: Column, key: str) -> Column:
-    """First value of a list attribute, null when the key or the list is missing."""
-    return F.get(F.try_element_at(attributes, F.lit(key)), F.lit(0))
+    """An attribute's value, or the first of a list as JSON; null when the key or the list is missing."""
+    value = F.try_element_at(attributes, F.lit(key))
+    listed = F.get(F.from_json(value, "array<string>"), F.lit(0))
+    return F.when(value.startswith("["), listed).otherwise(value)
 
 
 def facet_year(attributes: Column) -> Column:

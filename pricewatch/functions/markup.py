@@ -12,6 +12,17 @@ _NODE = "offers string, `@graph` string"
 _OFFER = "price string, priceCurrency string"
 _LD_SCRIPT = r"(?is)<script\b[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
 
+_REFERENCES = (
+    (r"(?i)&(?:nbsp|#0*160|#x0*a0);", "\u00a0"),
+    (r"(?i)&(?:euro|#0*8364|#x0*20ac);", "€"),
+    (r"(?i)&(?:pound|#0*163|#x0*a3);", "£"),
+    (r"(?i)&(?:apos|#0*39|#x0*27);", "'"),
+    (r"(?i)&(?:quot|#0*34|#x0*22);", '"'),
+    (r"(?i)&(?:comma|#0*44|#x0*2c);", ","),
+    (r"(?i)&(?:period|#0*46|#x0*2e);", "."),
+    (r"(?i)&(?:amp|#0*38|#x0*26);", "&"),
+)
+
 # Meta tags by what they hold; the first named tag of a pair wins.
 _AMOUNT_TAGS = (("property", "product:price:amount"), ("itemprop", "price"))
 _CURRENCY_TAGS = (("property", "product:price:currency"), ("itemprop", "priceCurrency"))
@@ -21,13 +32,33 @@ def tag_text(html: Column, tag: str) -> Column:
     return or_empty(F.regexp_extract(html, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1))
 
 
+def without_comments(html: Column) -> Column:
+    """The page without comments; what looks like one inside a script stays."""
+    return F.regexp_replace(html, r"(?is)(<script\b.*?</script>)|<!--.*?(?:-->|\z)", "$1")
+
+
+def without_scripts(html: Column) -> Column:
+    return F.regexp_replace(html, r"(?is)<script\b.*?(?:</script>|\z)", "")
+
+
 def meta_tag(html: Column, attribute: str, name: str) -> Column:
     """The first meta tag with the given attribute value, empty when there is none."""
-    return F.regexp_extract(html, rf"(?is)<meta\b[^>]*\b{attribute}\s*=\s*[\"']{name}[\"'][^>]*>", 0)
+    value = rf"(?:\"{name}\"|'{name}'|{name}(?=[\s/>]))"
+    return F.regexp_extract(html, rf"(?is)<meta\b[^>]*(?<=[\s\"'/]){attribute}\s*=\s*{value}[^>]*>", 0)
 
 
 def tag_content(tag: Column) -> Column:
-    return F.regexp_extract(tag, r"(?is)\bcontent\s*=\s*[\"']([^\"']*)[\"']", 1)
+    """The content attribute, quoted or not, with the usual character references decoded."""
+    pattern = r"(?is)(?<=[\s\"'/])content\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    return decoded(F.concat(*(F.regexp_extract(tag, pattern, group) for group in (1, 2, 3))))
+
+
+def decoded(text: Column) -> Column:
+    """Character references that occur in prices and currencies."""
+    plain = text
+    for pattern, character in _REFERENCES:
+        plain = F.regexp_replace(plain, pattern, character)
+    return F.when(text.contains("&"), plain).otherwise(text)
 
 
 def with_meta_price(rows: DataFrame, html: Column, price: str, currency: str) -> DataFrame:
@@ -90,11 +121,14 @@ def with_structured_price(rows: DataFrame, html: Column, price: str = "price",
     Each page is searched where it lies: nothing is shuffled, and only pages without a
     meta price are searched for scripts.
     """
-    meta = with_meta_price(rows, html, price, currency)
-    found = computed_once(meta, {"__ld": F.when(F.col(price).isNull(), json_ld_price(html))})
+    page = F.col("__page")
+    clean = computed_once(rows, {"__page": without_comments(html)})
+    tags = computed_once(clean, {"__tags": without_scripts(page)})
+    meta = with_meta_price(tags, F.col("__tags"), price, currency)
+    found = computed_once(meta, {"__ld": F.when(F.col(price).isNull(), json_ld_price(page))})
     return found.withColumns(
         {
             price: F.coalesce(F.col(price), F.col("__ld.price")),
             currency: F.coalesce(F.col(currency), F.col("__ld.currency")),
         }
-    ).drop("__ld")
+    ).drop("__ld", "__page", "__tags")

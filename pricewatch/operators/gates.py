@@ -12,8 +12,9 @@ from pricewatch.fixed_values import (
 )
 from pricewatch.operators.match import covered_keys, guard_rows, requested_keys
 
-_SKETCH_ACCURACY = 10_000
-_BRACKET = (0.4995, 0.5005)
+_SKETCH_ACCURACY = 200_000
+#: Quantiles around the median: its bracket, and the cuts that split the bracket.
+_BRACKET = [0.4995 + 0.00001 * i for i in range(101)]
 
 
 def _extreme(ratio: Column) -> Column:
@@ -24,33 +25,43 @@ def median_and_counts(rows: DataFrame, key: str, value: str, **counts: Column) -
     """Exact interpolated median per group with further aggregates, for few but huge groups.
 
     No group is held in one task. A first pass takes the aggregates and a mergeable
-    quantile sketch, whose rank error is a fifth of the margin left around the median.
-    A second pass counts, by distinct value, only the rows inside that bracket and ranks
-    them after the number of rows below it. The summary has one row per group and is
-    broadcast, so ``key`` must be bounded, as the registered channels are.
+    quantile sketch, whose rank error is a hundredth of the margin left around the median.
+    A second pass counts, by distinct value, only the rows inside that bracket. The
+    bracket is cut into a hundred parts; parts are ranked by their totals and values
+    inside their part, so no task orders more than a part. Nulls do not count, and a group
+    without a value has a null median. The summary has one row per group.
     """
     summary = rows.groupBy(key).agg(
         F.count(value).alias("__n"),
-        F.percentile_approx(value, list(_BRACKET), _SKETCH_ACCURACY).alias("__bracket"),
+        F.percentile_approx(value, _BRACKET, _SKETCH_ACCURACY).alias("__cuts"),
         *(expression.alias(name) for name, expression in counts.items()),
     )
-    near = rows.join(F.broadcast(summary), key)
-    low, high = F.col("__bracket")[0], F.col("__bracket")[1]
+    near = rows.join(summary.select(key, "__n", "__cuts"), key)
+    cuts = F.col("__cuts")
     # All values below the bracket share one row, those above it are not needed.
     counted = (
-        near.filter(F.col(value) <= high)
-        .groupBy(key, F.when(F.col(value) >= low, F.col(value)).alias("__v"))
-        .agg(F.count("*").alias("__rows"), *(F.max(c).alias(c) for c in ("__n", *counts)))
+        near.filter(F.col(value) <= F.element_at(cuts, -1))
+        .groupBy(
+            key,
+            F.size(F.filter(cuts, lambda cut: cut < F.col(value))).alias("__part"),
+            F.when(F.col(value) >= F.get(cuts, 0), F.col(value)).alias("__v"),
+        )
+        .agg(F.count("*").alias("__rows"), F.max("__n").alias("__n"))
     )
-    upto = Window.partitionBy(key).orderBy(F.col("__v").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    totals = counted.groupBy(key, "__part", F.col("__v").isNull().alias("__below")).agg(F.sum("__rows").alias("__rows"))
+    earlier = Window.partitionBy(key).orderBy(~F.col("__below"), "__part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0))).filter(~F.col("__below"))
+    upto = Window.partitionBy(key, "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (
+        counted.filter(F.col("__v").isNotNull())
+        .withColumn("__in", F.sum("__rows").over(upto))
+        .join(before.select(key, "__part", "__before"), [key, "__part"])
+        .withColumn("__through", F.col("__in") + F.col("__before"))
     )
-    ranked = counted.withColumn("__through", F.sum("__rows").over(upto)).filter(F.col("__v").isNotNull())
     lower = F.min(F.when(F.col("__through") >= F.floor((F.col("__n") + 1) / 2), F.col("__v")))
     upper = F.min(F.when(F.col("__through") >= F.floor(F.col("__n") / 2) + 1, F.col("__v")))
-    return ranked.groupBy(key).agg(
-        ((lower + upper) / 2).alias("median"), *(F.max(c).alias(c) for c in counts)
-    )
+    medians = ranked.groupBy(key).agg(((lower + upper) / 2).alias("median"))
+    return summary.select(key, *counts).join(medians, key, "left").select(key, "median", *counts)
 
 
 def drift_verdict(ratios: DataFrame) -> DataFrame:
@@ -59,7 +70,7 @@ def drift_verdict(ratios: DataFrame) -> DataFrame:
         ratios,
         "channel",
         "ratio",
-        sample=F.count("*"),
+        sample=F.count("ratio"),
         extreme=F.count_if(_extreme(F.col("ratio"))),
     )
     share = F.try_divide(F.col("extreme"), F.col("sample"))
@@ -69,7 +80,7 @@ def drift_verdict(ratios: DataFrame) -> DataFrame:
         "sample",
         F.col("median").alias("median_ratio"),
         share.alias("extreme_share"),
-        ((F.col("sample") < GUARD_MIN_SAMPLE) | sound).alias("passed"),
+        ((F.col("sample") < GUARD_MIN_SAMPLE) | F.coalesce(sound, F.lit(False))).alias("passed"),
     )
 
 
@@ -103,13 +114,15 @@ def coverage_gate(links: DataFrame, snapshot: DataFrame, thresholds: DataFrame)
 def gated_snapshot(snapshot: DataFrame, coverage: DataFrame, drift: DataFrame) -> DataFrame:
     """Snapshot rows of the channels that passed; one failed check voids the whole channel.
 
-    A channel without a drift verdict had no comparable price, which passes. The verdicts
-    have one row per registered channel, so they are broadcast instead of shuffling the
-    snapshot by its few channels.
+    Only a true verdict passes. A channel that the guard does not list had no comparable
+    price at all, which is no reason to stop it; a listed one without a verdict is stopped.
+    The verdicts have one row per registered channel, so they are broadcast instead of
+    shuffling the snapshot by its few channels.
     """
+    stopped = drift.filter(~F.coalesce(F.col("passed"), F.lit(False)))
     passed = (
-        coverage.filter("passed")
+        coverage.filter(F.coalesce(F.col("passed"), F.lit(False)))
         .select("channel")
-        .join(drift.filter(~F.col("passed")), "channel", "left_anti")
+        .join(stopped, "channel", "left_anti")
     )
     return snapshot.join(F.broadcast(passed), "channel", "left_semi")

@@ -65,7 +65,9 @@ def snapshot_match(links: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 def page_outcomes(captures: DataFrame) -> DataFrame:
     """Latest capture of each address, for the page step of the cascade."""
-    wanted = ("http_status", "final_url", "page_title", "page_price", "page_currency")
+    wanted = ("http_status", "final_url", "page_title", "page_price", "page_currency", "blocked")
+    if "blocked" not in captures.columns:
+        captures = captures.withColumn("blocked", F.lit(False))
     latest = F.max(F.struct("captured_at", *wanted)).alias("__c")
     return (
         captures.groupBy(F.col("requested_url").alias("url"))
@@ -79,10 +81,11 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
     batch = snapshot.select(
         *BATCH_KEY, F.col("price").alias("batch_price"), F.col("currency").alias("batch_currency")
     )
-    direct = api.select(
-        F.col("sku").alias("api_sku"),
-        F.col("price").alias("api_price"),
-        F.col("currency").alias("api_currency"),
+    # One row for each SKU, or a repeated capture would repeat the link: the latest one.
+    order = [F.col("captured_at")] if "captured_at" in api.columns else []
+    newest = F.max(F.struct(*order, "price", "currency"))
+    direct = api.groupBy(F.col("sku").alias("api_sku")).agg(newest.alias("__a")).select(
+        "api_sku", F.col("__a.price").alias("api_price"), F.col("__a.currency").alias("api_currency")
     )
     platform, url = F.col("platform"), F.col("url")
     # Links without an API keep a key of their own: null keys would all meet in one task.
@@ -108,7 +111,7 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
         lambda c: F.upper("page_currency") == c.currency if c.key in ("amazon", "elkjop") else F.lit(True),
         F.lit(False),
     )
-    page_price = F.when(~gone & ~dead & only, F.col("page_price"))
+    page_price = F.when(~gone & ~dead & ~F.col("blocked") & only, F.col("page_price"))
     batch_hit, api_hit = F.col("batch_price").isNotNull(), F.col("api_price").isNotNull()
     page_hit = F.col("__page_price").isNotNull()
     settled = joined.withColumns(
@@ -118,7 +121,9 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
         F.when(~F.col("__known"), STATUS_UNSUPPORTED)
         .when(batch_hit | api_hit, STATUS_OK)
         .when(F.col("captured").isNull(), STATUS_NAVIGATION)
-        .when(F.col("__gone") | F.col("__dead"), STATUS_DEAD)
+        .when(F.col("__gone"), STATUS_DEAD)
+        .when(F.col("blocked"), STATUS_NAVIGATION)
+        .when(F.col("__dead"), STATUS_DEAD)
         .when(page_hit, STATUS_OK)
         .otherwise(STATUS_NO_PRICE)
     )
@@ -127,6 +132,7 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
         .when(batch_hit, FROM_BATCH)
         .when(api_hit, FROM_API)
         .when(F.col("__gone"), F.concat(F.lit("HTTP "), "http_status", F.lit(" → "), "final_url"))
+        .when(F.col("blocked"), "")
         .when(F.col("__dead") | page_hit, or_empty(F.col("page_title")))
         .otherwise("")
     )
@@ -251,7 +257,7 @@ def variant_expand(seeds: DataFrame, held: DataFrame, details: DataFrame,
 def fill_missing_price(cards: DataFrame, details: DataFrame) -> DataFrame:
     """Cards of target brands and years without a price take the detail page's NOK price."""
     raw = F.concat_ws(" ", blank_to_null(F.col("title")), blank_to_null(F.col("text")))
-    year = attributes.model_year(raw, F.col("filter_year"))
+    year = F.coalesce(F.nullif(F.col("filter_year"), F.lit(0)), attributes.year_in(raw))
     wanted = (attributes.brand_elkjop(raw) != "") & year.isin(*TARGET_YEARS)
     detail = details.filter(F.col("currency") == "NOK").select(
         "product_key", price.within(F.col("price"), 100, 500_000).alias("__detail")

@@ -37,7 +37,7 @@ RUN_LOGS = "run_id string, revision string, run_date date, line_no long, line st
 HIT = (
     "struct<articleNumber:string,objectID:string,brand:string,title:string,name:string,"
     "manufacturerArticleNumber:string,productUrl:string,urlB2C:string,"
-    "price:struct<amount:string,currency:string>,attributes:map<string,array<string>>,"
+    "price:struct<amount:string,currency:string>,attributes:map<string,string>,"
     "shortDescription:string,isOnline:boolean,isBuyableOnline:boolean,onlineSalesStatus:string>"
 )
 SEARCH_RESPONSE = f"struct<results:array<struct<nbHits:int,nbPages:int,hits:array<{HIT}>>>>"

@@ -78,7 +78,8 @@ def hit_items(hits: DataFrame) -> DataFrame:
 def api_prices(responses: DataFrame) -> DataFrame:
     """Product price responses to ``(sku, price, currency)``; null unless sellable, in NOK and range."""
     data = F.from_json("body", PRICE_RESPONSE)
-    parsed = responses.select("sku", F.get(data, F.lit(0))["result"]["data"].alias("d"))
+    kept = [c for c in ("captured_at",) if c in responses.columns]
+    parsed = responses.select("sku", *kept, F.get(data, F.lit(0))["result"]["data"].alias("d"))
     value = to_number(F.get(F.col("d.price.current"), F.lit(0)))
     blocked = F.coalesce(F.col("d.sellability.isDisabled"), F.lit(False)) | F.coalesce(
         F.col("d.sellability.isDiscontinued"), F.lit(False)
@@ -86,5 +87,5 @@ def api_prices(responses: DataFrame) -> DataFrame:
     sellable = (F.upper(or_empty(F.col("d.price.currency"))) == "NOK") & ~blocked
     price = F.when(sellable, within(value, *API_PRICE_RANGE))
     return parsed.select(
-        "sku", price.alias("price"), F.when(price.isNotNull(), "NOK").alias("currency")
+        "sku", *kept, price.alias("price"), F.when(price.isNotNull(), "NOK").alias("currency")
     )

@@ -11,9 +11,10 @@ from pricewatch.functions.once import computed_once
 
 
 def page_prices(captures: DataFrame) -> DataFrame:
-    """Add ``page_price`` and ``page_currency``; a blocked page holds no price."""
+    """Add ``blocked``, ``page_price`` and ``page_currency``; a blocked page holds no price."""
     blocked = is_blocked_page(F.col("page_title"), F.col("html"))
-    readable = computed_once(captures, {"__html": F.when(~blocked, F.col("html"))})
+    checked = computed_once(captures, {"blocked": blocked})
+    readable = checked.withColumn("__html", F.when(~F.col("blocked"), F.col("html")))
     return with_structured_price(readable, F.col("__html"), "page_price", "page_currency").drop("__html")
 
 

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pricewatch.fixed_values import ACTIVE_WORDS, DEFAULT_COUNTRY
 from pricewatch.functions.text import blank_to_null, or_empty, strip
+from pricewatch.sources.csv_files import read_csv_by_header
 
 _TEXT_COLUMNS = ("brand", "sku", "model", "country", "platform", "url")
 
 
 def read_links(spark: SparkSession, path: str) -> DataFrame:
     """Header-driven CSV; every column is text and the byte-order mark is dropped."""
-    return spark.read.csv(path, header=True, escape='"')
+    return read_csv_by_header(spark, path).drop("file_mtime")
 
 
 def _is_active(df: DataFrame) -> Column:

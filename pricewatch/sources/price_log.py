@@ -6,15 +6,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pricewatch.fixed_values import PRICE_LOG_CSV_HEADER, SERIES_KEY, STATUS_OK
 from pricewatch.functions.text import to_number
+from pricewatch.sources.csv_files import read_csv_by_header
 
 RECENCY = ("file_mtime", "obs_date", "obs_time", "seq")
 
 
 def read_price_csvs(spark: SparkSession, glob: str) -> DataFrame:
     """Every price CSV of the pattern under our column names, with the file's time."""
-    raw = spark.read.csv(glob, header=True, escape='"')
-    renamed = [F.col(f"`{theirs}`").alias(ours) for ours, theirs in PRICE_LOG_CSV_HEADER.items()]
-    return raw.select(*renamed, F.col("_metadata.file_modification_time").alias("file_mtime"))
+    raw = read_csv_by_header(spark, glob)
+    renamed = [
+        (F.col(f"`{theirs}`") if theirs in raw.columns else F.lit(None).cast("string")).alias(ours)
+        for ours, theirs in PRICE_LOG_CSV_HEADER.items()
+    ]
+    return raw.select(*renamed, "file_mtime")
 
 
 def successful(log: DataFrame) -> DataFrame:

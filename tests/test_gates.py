@@ -115,3 +115,13 @@ def test_digest_ignores_order_and_sees_changes(spark):
     b = reconcile.manifest_counts(spark.createDataFrame(rows[::-1], schema).repartition(5), ["n", "name"]).first()
     c = reconcile.manifest_counts(spark.createDataFrame(rows[:-1] + [("2026-08-01", "Currys", 49, "x")], schema), ["n", "name"]).first()
     assert a == b and a.digest != c.digest and a.recovered_rows == 50
+
+
+def test_gates_fail_closed(spark):
+    snapshot = spark.createDataFrame([("currys", "1", 1.0, "GBP"), ("boulanger", "2", 2.0, "EUR"), ("amazon", "3", 3.0, "EUR")], "channel string, batch_key string, price double, currency string")
+    coverage = spark.createDataFrame([("currys", True), ("boulanger", True), ("amazon", None)], "channel string, passed boolean")
+    drift = spark.createDataFrame([("currys", None)], "channel string, passed boolean")
+    assert [r.channel for r in gates.gated_snapshot(snapshot, coverage, drift).collect()] == ["boulanger"]
+    ratios = spark.createDataFrame([("currys", None)] * 30 + [("boulanger", 1.0)] * 25 + [("boulanger", None)] * 30, "channel string, ratio double")
+    got = {r.channel: (r.sample, r.median_ratio, r.passed) for r in gates.drift_verdict(ratios).collect()}
+    assert got == {"currys": (0, None, True), "boulanger": (25, 1.0, True)}

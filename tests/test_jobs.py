@@ -119,6 +119,7 @@ def captured(spark, price=100.0):
         ("LG", "X", "E2", "NO", "Elkjop", "https://www.elkjop.no/product/100002", "true"),
         ("LG", "C1", "", "GB", "Currys", "https://www.currys.co.uk/products/c-10000001.html", "true"),
         ("LG", "C2", "", "GB", "Currys", "https://www.currys.co.uk/products/c-10000002.html", "true"),
+        ("LG", "C3", "", "GB", "Currys", "https://www.currys.co.uk/products/c-10000003.html", "true"),
         ("LG", "A1", "", "DE", "Amazon", "https://www.amazon.de/dp/B000000001", "true"),
         ("LG", "N1", "", "DE", "Nowhere", "https://x", "true"),
         ("LG", "N2", "", "DE", "Currys", "https://y", "no"),
@@ -129,6 +130,7 @@ def captured(spark, price=100.0):
         ("https://www.currys.co.uk/products/c-10000001.html", 404, meta % ("500", "GBP"), "TV"),
         ("https://www.currys.co.uk/products/c-10000002.html", 200, "<p>no price</p>", "TV"),
         ("https://www.amazon.de/dp/B000000001", 200, meta % ("500", "GBP"), "TV"),
+        ("https://www.currys.co.uk/products/c-10000003.html", 200, meta % ("500", "GBP"), "Just a moment..."),
     ]
     pages = spark.createDataFrame([(u, u, s, t, h, 1) for u, s, h, t in pages], "requested_url string, final_url string, http_status int, page_title string, html string, captured_at int")
     history = [log_row(i, "2026-08-01", f"S{i}", 100.0, platform="Boulanger")[:5] + ("FR",) + log_row(0, "", "", 100.0, platform="Boulanger")[6:] for i in range(200)]
@@ -136,7 +138,7 @@ def captured(spark, price=100.0):
         links=spark.createDataFrame(links, "brand string, sku string, model string, country string, platform string, url string, active string"),
         history=spark.createDataFrame(history, LOG),
         snapshot=spark.createDataFrame([("boulanger", str(i), price + i % 2, "EUR") for i in range(190)], "channel string, batch_key string, price double, currency string"),
-        api=spark.createDataFrame([("100001", 4990.0, "NOK"), ("100002", None, None)], "sku string, price double, currency string"),
+        api=spark.createDataFrame([("100001", 4990.0, "NOK", 2), ("100001", 3000.0, "NOK", 1), ("100002", None, None, 1)], "sku string, price double, currency string, captured_at int"),
         pages=pages,
     )
 
@@ -149,16 +151,21 @@ def test_daily_monitor(spark, tmp_path):
     log = str(tmp_path / "log")
     summary = monitor.monitor(captured(spark), stamp, str(tmp_path / "staging"), log)
     assert {r.platform: (r.total, r.ok, r.batch_hits) for r in summary.collect()} == {
-        "Boulanger": (200, 190, 190), "Elkjop": (2, 2, 0), "Currys": (2, 0, 0), "Amazon": (1, 0, 0), "Nowhere": (1, 0, 0),
+        "Boulanger": (200, 190, 190), "Elkjop": (2, 2, 0), "Currys": (3, 0, 0), "Amazon": (1, 0, 0), "Nowhere": (1, 0, 0),
     }
     rows = {r.product_name: r for r in spark.read.parquet(str(tmp_path / "staging")).collect()}
     assert (rows["S0"].trend, rows["S1"].trend, rows["S195"].trend) == ("FLAT", "UP", "-")
-    assert {n: rows[n].status for n in ("S195", "E1", "E2", "C1", "C2", "A1", "N1")} == {
+    assert {n: rows[n].status for n in ("S195", "E1", "E2", "C1", "C2", "C3", "A1", "N1")} == {
         "S195": "Failed: Navigation Error", "E1": "Success", "E2": "Success", "C1": "Failed: Dead Link",
-        "C2": "Failed: Price Not Found", "A1": "Failed: Price Not Found", "N1": "Skipped: Unsupported Platform",
+        "C2": "Failed: Price Not Found", "C3": "Failed: Navigation Error", "A1": "Failed: Price Not Found", "N1": "Skipped: Unsupported Platform",
     }
     assert (rows["E1"].provenance, rows["E2"].provenance, rows["E1"].trend) == ("Direct API", "TV", "NEW")
+    assert rows["E1"].price == 4990.0
+    monitor.monitor(captured(spark), stamp, str(tmp_path / "again"), log)
     assert sinks.read_price_log(spark, log).count() == 192
+    late = lambda rows: rows.withColumns({"obs_date": F.lit("2026-12-05"), "obs_time": F.lit("05:00:00")})
+    monitor.monitor(captured(spark), late, str(tmp_path / "late"), log)
+    assert {r.obs_date for r in sinks.read_price_log(spark, log).select("obs_date").distinct().collect()} == {"2026-12-05"}
 
 
 def test_systematic_shift_voids_the_batch(spark):
@@ -170,7 +177,7 @@ def test_api_catalogue_gates(spark):
     brands = ["Samsung", "LG", "Sony", "TCL", "Hisense", "iFfalcon"]
 
     def year_pages(year, base, **changes):
-        hits = [hit(str(base + i), brand=brands[i % 6], attributes={"33627": [str(year)], "31323": ["55"]}) for i in range(120)]
+        hits = [hit(str(base + i), brand=brands[i % 6], attributes={"33627": [str(year)] if i % 2 else year, "31323": ["55"]}) for i in range(120)]
         for index, change in changes.items():
             hits[int(index[1:])].update(change)
         return [page(year, n, hits[n * 60:(n + 1) * 60], total=120, pages=2) for n in range(2)]

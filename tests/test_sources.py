@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from pricewatch.fixed_values import PRICE_LOG_CSV_HEADER
 from pricewatch.functions.markup import with_structured_price
 from pricewatch.sources import api, captures, catalogue, links, price_log, run_logs
 
@@ -196,3 +197,21 @@ def test_recent_snapshots(spark):
     items = spark.createDataFrame(rows, "country string, snapshot_date string, pos int, asin string, raw_text string, brand_raw string, size_hint_inch double")
     got = {(r.country, r.asin): r.size_hint_inch for r in catalogue.recent_snapshots(items).collect()}
     assert got == {("DE", "B1"): 99.0, ("GB", "B5"): 55.0}
+
+
+def test_csv_files_are_read_by_their_own_headers(spark, tmp_path):
+    from pricewatch.sources.links import active_links, read_links
+    from pricewatch.sources.price_log import read_price_csvs
+
+    header = list(PRICE_LOG_CSV_HEADER.values())
+    ours = list(PRICE_LOG_CSV_HEADER)
+    cells = {c: c for c in ours} | {"price": "1.5", "currency": "GBP"}
+    other = [c for c in reversed(header) if c != PRICE_LOG_CSV_HEADER["trend"]]
+    back = {theirs: mine for mine, theirs in PRICE_LOG_CSV_HEADER.items()}
+    (tmp_path / "a.csv").write_text("\ufeff" + ",".join(header) + "\n" + ",".join(cells[c] for c in ours) + "\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text(",".join(other) + "\n" + ",".join(cells[back[c]] for c in other) + "\n", encoding="utf-8")
+    got = read_price_csvs(spark, str(tmp_path / "*.csv")).select(*ours).collect()
+    assert sorted((r.price, r.currency, r.product_name, r.trend or "") for r in got) == [("1.5", "GBP", "product_name", ""), ("1.5", "GBP", "product_name", "trend")]
+    (tmp_path / "links").mkdir()
+    (tmp_path / "links" / "l.csv").write_text('\ufeffurl,brand,sku,model,platform\nhttps://x,LG,"A\n""B""",M,Currys\n', encoding="utf-8")
+    assert [(r.product_name, r.country, r.url) for r in active_links(read_links(spark, str(tmp_path / "links"))).collect()] == [('A\n"B"', "FR", "https://x")]
