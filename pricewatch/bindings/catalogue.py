@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pricewatch.bindings.cards import _REASONS as REASONS
 from pricewatch.bindings.registry import query
+from pricewatch.bindings.titles import _LINK_KEY as LINK_KEY, _LINK_TEXT as LINK_TEXT
+from pricewatch.fixed_values import CATALOG_COLUMNS
 from pricewatch.operators import match, scope
 from pricewatch.operators.reconcile import family_sizes as count_sizes
+from pricewatch.plans import catalogue as plan
 from pricewatch.session import new_table_path
 from pricewatch.sinks import write_catalog
 from pricewatch.sources.catalogue import recent_snapshots as newest_rows
@@ -169,3 +173,76 @@ def fill_missing_price(r):
         "CASE WHEN p_size % 3 = 0 THEN 'SEK' ELSE 'NOK' END AS currency",
     )
     return match.fill_missing_price(cards, details).select("part_no", "price_local")
+
+
+# --- the catalogue job -------------------------------------------------------------
+
+_SCRAPED = "TIMESTAMP '2026-08-03 05:00:00'"
+
+
+def _job(r, key: str, rows):
+    """Run the job for one catalogue and read its partition back with all columns."""
+    path = new_table_path(r.spark, f"catalogue-{key}")
+    outcome = plan.catalogue_job({key: rows}, F.expr(_SCRAPED), path)
+    if outcome != {key: "written"}:
+        raise RuntimeError(str(outcome))
+    return r.spark.read.parquet(path).filter("snapshot_date = DATE '2026-08-03'").select(*CATALOG_COLUMNS)
+
+
+@query("catalogue_boulanger", f"""
+    WITH links AS (SELECT {LINK_KEY} AS link_key, part_no AS pos, line_no, p_retailprice, {LINK_TEXT} AS text FROM {{models}}),
+    scored AS (
+        SELECT link_key, pos, text,
+               CASE line_no WHEN 0 THEN 130 WHEN 3 THEN 0 ELSE 30 END
+               + CASE WHEN length(text) BETWEEN 25 AND 100 THEN 20 ELSE 0 END
+               + CASE WHEN line_no = 3 AND position('tv' IN lower(substr(text, 1, 10))) > 0 THEN 30 ELSE 0 END AS score
+        FROM links WHERE line_no IN (0, 3, 5)),
+    named AS (SELECT link_key, text AS raw_text FROM scored
+              QUALIFY row_number() OVER (PARTITION BY link_key ORDER BY score DESC, pos) = 1),
+    lowest AS (SELECT link_key, min(floor(p_retailprice)) AS price_hint_eur FROM links GROUP BY link_key)
+    SELECT raw_text, concat('https://www.boulanger.com/ref/', CAST(link_key AS STRING)) AS url, price_hint_eur,
+           'Boulanger' AS platform, 'FR' AS country
+    FROM named JOIN lowest USING (link_key)""")
+def catalogue_boulanger(r):
+    links = r["models"].selectExpr(
+        f"concat('/ref/', CAST({LINK_KEY} AS STRING), '#avis') AS href", "part_no AS pos", f"{LINK_TEXT} AS text",
+        "concat(CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING), ',00 €') AS price_text",
+    )
+    return _job(r, "boulanger", lambda: plan.boulanger_rows(links)).select(
+        "raw_text", "url", "price_hint_eur", "platform", "country"
+    )
+
+
+@query("catalogue_currys", """
+    WITH links AS (
+        SELECT l_partkey, l_orderkey * 8 + l_linenumber AS pos, l_orderkey, l_discount FROM lineitem)
+    SELECT concat('samsung s90f ', CAST(40 + l_partkey % 50 AS STRING), ' qe', CAST(l_partkey AS STRING), 'x') AS raw_text,
+           concat('https://www.currys.co.uk/products/', CAST(arg_min(l_orderkey, pos) AS STRING)) AS url,
+           CASE WHEN arg_min(l_orderkey, pos) FILTER (l_discount <= 0.05) BETWEEN 50 AND 50000
+                THEN arg_min(l_orderkey, pos) FILTER (l_discount <= 0.05) END::DOUBLE AS price_hint_eur,
+           'Currys' AS platform, 'GB' AS country
+    FROM links GROUP BY l_partkey""")
+def catalogue_currys(r):
+    """Line items as listing links; the slug names the product."""
+    links = r["lineitem"].selectExpr(
+        "concat('samsung-s90f-', CAST(40 + l_partkey % 50 AS STRING), '-qe', CAST(l_partkey AS STRING), 'x') AS product_key",
+        "l_orderkey * 8 + l_linenumber AS pos",
+        "concat('/products/', CAST(l_orderkey AS STRING)) AS href",
+        "'TV' AS title",
+        "CASE WHEN l_discount > 0.05 THEN '' ELSE concat('£', CAST(l_orderkey AS STRING)) END AS price_text",
+    )
+    return _job(r, "currys", lambda: plan.currys_rows(links)).select(
+        "raw_text", "url", "price_hint_eur", "platform", "country"
+    )
+
+
+@query("catalogue_amazon", f"""
+    WITH {REASONS}
+    SELECT asin, brand_raw, concat('https://www.amazon.co.uk/dp/', asin) AS url, floor(p_retailprice) + 0.5 AS price_local,
+           'GBP' AS currency, round((floor(p_retailprice) + 0.5) / 0.85973, 2) AS price_hint_eur, '2026-07-01' AS fx_rate_date
+    FROM (SELECT part_no, asin, title_brand AS brand_raw FROM reasons WHERE reason IS NULL) JOIN {{part}} ON p_partkey = part_no""")
+def catalogue_amazon(r):
+    """Search cards of the British market, whose currency the cards confirm."""
+    return _job(r, "amazon_gb", lambda: plan.amazon_rows(r["cards"], "GB")).select(
+        "asin", "brand_raw", "url", "price_local", "currency", "price_hint_eur", "fx_rate_date"
+    )

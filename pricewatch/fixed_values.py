@@ -110,6 +110,13 @@ MARKETS = (
     ("ES", "EUR", "televisor", False),
 )
 
+MARKET_SITES = {
+    "DE": "https://www.amazon.de",
+    "GB": "https://www.amazon.co.uk",
+    "IT": "https://www.amazon.it",
+    "ES": "https://www.amazon.es",
+}
+
 CANARIES = (
     # market, asin, known price
     ("DE", "B0GYZMPVXG", 229.99),

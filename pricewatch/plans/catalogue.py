@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
 
-from pricewatch.fixed_values import FX_RATE_DATE
+from pyspark.sql import Column, DataFrame, functions as F
+
+from pricewatch.fixed_values import CATALOG_MARKETS, FX_RATE_DATE, MARKET_SITES, MARKETS
 from pricewatch.functions.price import with_market_price
 from pricewatch.operators import cards as card_ops
 from pricewatch.operators import match, rank, reconcile
+from pricewatch.schemas import canaries, markets
+from pricewatch.session import written
+from pricewatch.sinks import write_catalog
 from pricewatch.sources.api import api_hits, api_pages, hit_items
 
 
@@ -16,11 +21,14 @@ class CatalogueRejected(RuntimeError):
 
 
 def market_items(cards: DataFrame, currency: str) -> DataFrame:
-    """Kept search cards of one market as catalogue items with family columns."""
-    kept = with_market_price(
-        card_ops.kept_cards(card_ops.card_reasons(cards)), F.col("price_text"), F.lit(currency)
-    )
-    items = kept.select(
+    """Kept search cards of one market as catalogue items with family columns.
+
+    A later card of a kept product adds nothing but its variant hint.
+    """
+    judged = card_ops.card_reasons(cards)
+    kept = with_market_price(card_ops.kept_cards(judged), F.col("price_text"), F.lit(currency))
+    again = judged.filter(F.col("reason") == "duplicate").select("asin", "variant_hint")
+    items = match.flag_seen(again, kept).select(
         "asin",
         "pos",
         "brand_raw",
@@ -47,8 +55,11 @@ def lookups(items: DataFrame, history: DataFrame) -> dict[str, DataFrame]:
 
 def api_verdicts(responses: DataFrame) -> dict[str, DataFrame]:
     """Every gate of an API catalogue; an empty table of violations means it passed."""
-    pages, hits = api_pages(responses), api_hits(responses)
-    required = reconcile.required_brands(responses.sparkSession)
+    return _verdicts(api_pages(responses), api_hits(responses))
+
+
+def _verdicts(pages: DataFrame, hits: DataFrame) -> dict[str, DataFrame]:
+    required = reconcile.required_brands(hits.sparkSession)
     return {
         "page_drift": reconcile.page_drift(pages).filter(~F.col("stable")),
         "invalid_hit": reconcile.invalid_hits(hits),
@@ -60,8 +71,77 @@ def api_verdicts(responses: DataFrame) -> dict[str, DataFrame]:
 
 
 def api_items(responses: DataFrame) -> DataFrame:
-    """Catalogue items of an API capture; raises when any gate finds a violation."""
-    for name, violations in api_verdicts(responses).items():
+    """Catalogue items of an API capture; raises when any gate finds a violation.
+
+    The responses are parsed once; gates and items read the written rows.
+    """
+    pages, hits = written(api_pages(responses), "api-pages"), written(api_hits(responses), "api-hits")
+    for name, violations in _verdicts(pages, hits).items():
         if not violations.isEmpty():
             raise CatalogueRejected(name)
-    return hit_items(api_hits(responses))
+    return hit_items(hits)
+
+
+def boulanger_rows(links: DataFrame) -> DataFrame:
+    """Listing links (href, text, price_text, pos) as catalogue rows; the price is a hint."""
+    return card_ops.boulanger_items(links).withColumnRenamed("price_local", "price_hint_eur")
+
+
+def currys_rows(links: DataFrame) -> DataFrame:
+    """Listing links keyed by slug as catalogue rows; the hint keeps its pounds."""
+    merged = card_ops.merge_links(links, ["product_key"])
+    return card_ops.currys_items(merged).withColumnRenamed("price_local", "price_hint_eur")
+
+
+def amazon_rows(cards: DataFrame, market: str, anchors: DataFrame | None = None) -> DataFrame:
+    """Search cards of one market as catalogue rows.
+
+    Rejected when no plain card shows a plausible price in the market's currency, or when
+    looked-up anchors (asin, price, currency) are given and none is near its known price.
+    """
+    spark = cards.sparkSession
+    known = markets(spark).filter(F.col("market") == market)
+    shown = match.search_currency_canary(cards.withColumn("market", F.lit(market)), known)
+    if shown.filter("passed").isEmpty():
+        raise CatalogueRejected("search_currency_canary")
+    if anchors is not None:
+        band = match.canary_band(anchors.withColumn("market", F.lit(market)), canaries(spark), known)
+        if band.filter("passed").isEmpty():
+            raise CatalogueRejected("canary_band")
+    currency = next(row[1] for row in MARKETS if row[0] == market)
+    return market_items(cards, currency).withColumns(
+        {
+            "url": F.concat(F.lit(f"{MARKET_SITES[market]}/dp/"), F.col("asin")),
+            "price_hint_eur": F.col("price_eur"),
+        }
+    )
+
+
+def elkjop_rows(responses: DataFrame) -> DataFrame:
+    return api_items(responses)
+
+
+def write_catalogue(rows: DataFrame, registry_key: str, scraped_at: Column, path: str) -> bool:
+    """Write the rows of one registered catalogue as its snapshot; false when there are none."""
+    _, platform, country = next(entry for entry in CATALOG_MARKETS if entry[0] == registry_key)
+    full = written(
+        rows.withColumns({"platform": F.lit(platform), "country": F.lit(country), "scraped_at": scraped_at}), "catalogue"
+    )
+    if full.isEmpty():
+        return False
+    write_catalog(full, path)
+    return True
+
+
+def catalogue_job(captured: dict[str, Callable[[], DataFrame]], scraped_at: Column, path: str) -> dict[str, str]:
+    """Build and write each catalogue by its registry key; the outcome of each.
+
+    A rejected or empty catalogue writes nothing and does not stop the others.
+    """
+    outcomes = {}
+    for key, rows in captured.items():
+        try:
+            outcomes[key] = "written" if write_catalogue(rows(), key, scraped_at, path) else "empty"
+        except CatalogueRejected as rejected:
+            outcomes[key] = f"rejected: {rejected}"
+    return outcomes

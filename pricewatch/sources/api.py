@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pricewatch.fixed_values import FX_RATE_DATE
 from pricewatch.functions.attributes import (
     business_brand,
     distinct_parts,
@@ -67,7 +68,9 @@ def hit_items(hits: DataFrame) -> DataFrame:
         "size_hint_inch",
         price.alias("price_local"),
         F.lit("NOK").alias("currency"),
+        to_eur(price, F.lit("NOK")).alias("price_hint_eur"),
         to_eur(price, F.lit("NOK")).alias("price_eur"),
+        F.lit(FX_RATE_DATE).alias("fx_rate_date"),
         F.col("sku").alias("elkjop_sku"),
         F.col("year").alias("filter_year"),
         F.col("year").alias("model_year"),
