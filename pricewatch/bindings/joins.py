@@ -79,9 +79,9 @@ def _api(r):
     )
 
 
-def _pages(r):
+def _page_captures(r):
     """Captured product pages; the smallest products were never captured."""
-    captures = r["links"].join(
+    return r["links"].join(
         r["part"].selectExpr("p_partkey AS part_no", "p_size", "p_retailprice"), "part_no"
     ).filter("p_size > 10").selectExpr(
         "trim(url) AS requested_url",
@@ -93,7 +93,10 @@ def _pages(r):
         "p_size AS captured_at",
         "p_size % 11 = 6 AS blocked",
     )
-    return match.page_outcomes(captures)
+
+
+def _pages(r):
+    return match.page_outcomes(_page_captures(r))
 
 
 _CASCADE = f"""

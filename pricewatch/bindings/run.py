@@ -4,29 +4,52 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricewatch.bindings.joins import _CASCADE, LATEST_SQL, _api, _pages, latest, snapshot
+from pricewatch.bindings.gates import _COVERAGE, _RATIOS
+from pricewatch.bindings.joins import _CASCADE, LATEST_SQL, SNAPSHOT_SQL, _api, _page_captures, snapshot
 from pricewatch.bindings.log_recovery import _PAIRS, recovered
 from pricewatch.bindings.prices import RUN_START, _TREND
 from pricewatch.bindings.registry import query
-from pricewatch.bindings.watch_list import active
-from pricewatch.operators import match
 from pricewatch.operators.reconcile import run_summary
-from pricewatch.session import new_table_path
+from pricewatch.plans import monitor
+from pricewatch.session import new_table_path, written
 from pricewatch.sinks import append_recovered, append_success, drop_expired_days, read_price_log, write_log
-from pricewatch.sources.price_log import latest_prices, successful
+from pricewatch.sources.price_log import latest_prices, price_history, successful
 from pricewatch.streaming import results as streaming
 
 
+# The cascade with the batch prices of those channels only that pass both gates.
+_GATED = _CASCADE.replace(SNAPSHOT_SQL, f"""{_RATIOS}, {_COVERAGE},
+    gated AS (
+        SELECT * REPLACE (CASE WHEN channel IN (SELECT channel FROM judged WHERE passed)
+            AND channel NOT IN (SELECT channel FROM guarded WHERE NOT passed) THEN batch_price END AS batch_price) FROM requested)""")
+_GATED = _GATED.replace("FROM requested AS r JOIN {part}", "FROM gated AS r JOIN {part}")
+
+
+def _captured(r):
+    """Inputs of a daily run; pages carry their prices in their markup."""
+    page = (
+        "concat('<meta itemprop=\"price\" content=\"', CAST(page_price AS STRING), '\">', "
+        "'<meta itemprop=\"priceCurrency\" content=\"', page_currency, '\">')"
+    )
+    pages = _page_captures(r).withColumn("html", F.expr(page)).withColumn(
+        "page_title", F.when(F.col("blocked"), "Just a moment...").otherwise(F.col("page_title"))
+    )
+    return monitor.Captured(
+        links=r["links"],
+        history=price_history(r["unit_prices"]),
+        snapshot=r.once("snapshot", lambda: written(snapshot(r), "snapshot")),
+        api=_api(r),
+        pages=pages.drop("page_price", "page_currency", "blocked"),
+    )
+
+
 @query("daily_run", f"""
-    WITH observed AS ({_CASCADE}), {LATEST_SQL}
+    WITH observed AS ({_GATED}), {LATEST_SQL}
     SELECT platform, status, CASE WHEN price IS NULL THEN '-' ELSE {_TREND} END AS trend, count(*) AS links
     FROM observed LEFT JOIN latest USING (product_name, platform) GROUP BY ALL""")
 def daily_run(r):
-    """Watch list to classified prices in one lazy plan, counted per platform and outcome."""
-    observed = match.price_cascade(active(r), snapshot(r), _api(r), _pages(r))
-    return match.trend_join(observed, latest(r)).groupBy("platform", "status", "trend").agg(
-        F.count("*").alias("links")
-    )
+    """The gated daily run from captures to classified prices, counted per platform and outcome."""
+    return monitor.observe(_captured(r)).groupBy("platform", "status", "trend").agg(F.count("*").alias("links"))
 
 
 @query("append_success", """
@@ -129,6 +152,6 @@ def stream_trend(r):
     SELECT platform, count(*) AS total, count(*) FILTER (status = 'Success') AS ok,
            count(*) FILTER (status <> 'Success') AS failed,
            count(*) FILTER (provenance = 'Batch category snapshot') AS batch_hits
-    FROM ({_CASCADE}) GROUP BY platform""")
+    FROM ({_GATED}) GROUP BY platform""")
 def run_results(r):
-    return run_summary(match.price_cascade(active(r), snapshot(r), _api(r), _pages(r)))
+    return run_summary(monitor.observe(_captured(r)))
