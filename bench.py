@@ -44,6 +44,13 @@ HEADLINE = (
     "log_pair",
     "manifest_counts",
     "append_success",
+    "stop_page",
+    "recovered_trends",
+    "conflict_gate",
+    "price_log_cycle",
+    "run_results",
+    "catalogue_amazon",
+    "catalogue_boulanger",
 )
 
 

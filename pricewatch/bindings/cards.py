@@ -8,6 +8,7 @@ from pricewatch.bindings.registry import query
 from pricewatch.operators import cards, paging
 from pricewatch.operators.dedup import last_seen
 from pricewatch.operators.reconcile import price_coverage
+from pricewatch.session import written
 
 # Reasons by the role's own columns: the first valid card of an id holds it.
 _REASONS = """
@@ -164,8 +165,8 @@ def _seen(r):
     )
 
 
-def _novelty(r):
-    seen = _seen(r)
+def _novelty(r, seen=None):
+    seen = written(_seen(r), "seen") if seen is None else seen
     return paging.page_novelty(seen, seen.select("query", "page").distinct())
 
 
@@ -182,10 +183,10 @@ def page_novelty(r):
     SELECT query, stop_page, double_stop, count(*) FILTER (page <= stop_page OR stop_page IS NULL) AS cards_kept
     FROM seen JOIN single USING (query) JOIN doubled USING (query) GROUP BY ALL""")
 def stop_page(r):
-    novelty = _novelty(r)
-    single, double = paging.stop_page_single(novelty), paging.stop_page_double(novelty)
-    kept = paging.before_stop(_seen(r), single).groupBy("query").agg(F.count("*").alias("cards_kept"))
-    return single.join(double.withColumnRenamed("stop_page", "double_stop"), "query").join(kept, "query")
+    seen = written(_seen(r), "seen")
+    stops = written(paging.stop_pages(_novelty(r, seen)), "stops")
+    kept = paging.before_stop(seen, stops.drop("double_stop")).groupBy("query").agg(F.count("*").alias("cards_kept"))
+    return stops.join(kept, "query")
 
 
 @query("stop_page_failures", f"""

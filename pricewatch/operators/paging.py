@@ -32,6 +32,16 @@ def stop_page_double(novelty: DataFrame) -> DataFrame:
     return paired.groupBy("query").agg(F.min(F.when(empty, F.col("page"))).alias("stop_page"))
 
 
+def stop_pages(novelty: DataFrame) -> DataFrame:
+    """Both stops of each query from one pass: ``stop_page`` (single) and ``double_stop``."""
+    paired = previous_row(novelty, ["query"], "page", ["new_items"], "before")
+    empty = F.col("new_items") == 0
+    return paired.groupBy("query").agg(
+        F.min(F.when(empty & (F.col("page") > 1), F.col("page"))).alias("stop_page"),
+        F.min(F.when(empty & (F.col("before.new_items") == 0), F.col("page"))).alias("double_stop"),
+    )
+
+
 def stop_page_failures(novelty: DataFrame) -> DataFrame:
     """Second of two consecutive failed pages, or a fetched later page that adds nothing."""
     fetched = F.col("http_status") == 200
