@@ -47,8 +47,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/pricewatch/{spark.sparkContext.applicationId}"
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/pricewatch/{name}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; for when no result that reads them is needed any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(rows: DataFrame, name: str) -> DataFrame:

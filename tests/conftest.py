@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 @pytest.fixture(scope="session")
 def spark():
-    from pricewatch.session import build_session, tune
+    from pricewatch.session import build_session, remove_written, tune
 
     session = build_session(
         "tests",
@@ -23,6 +23,7 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     tune(session)
     yield session
+    remove_written(session)
 
 
 @pytest.fixture(scope="session")
