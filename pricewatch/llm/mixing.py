@@ -5,10 +5,11 @@ outright; the rest is a copy probability. Pairs of fractional documents of one s
 exchange probability, weighted by their sizes so that the expected words stay the same,
 until one of the two is integral; the other goes on to the next pair. Blocks of documents
 are reduced in parallel, and what each block leaves over (one document) is reduced again
-in the next level of a tree, until one document for each source is left. Each document
-keeps its expected copies, and a source's words differ from the target by less than the
-last document. Most of that is undone at the end: where another document of about the
-missing (or surplus) size can be switched, it is.
+in the next level of a tree, until one document for each source is left. Documents that
+are large beside their source's target go first, and the others' probabilities make up for
+what the large ones took too much or too little. So a source's words differ from its target
+by less than one small document. Most of that is undone at the end: where another document
+of about the missing (or surplus) size can be switched, it is.
 
 Draws are hashes of the rows, so reruns agree. All of it is built-in column functions.
 Source sizes, targets and counts are tables; the driver sees totals only, so any number of
@@ -31,6 +32,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_COPIES = 2
 BLOCK = 64
+#: Documents above this share of their source's target are rounded before the others.
+LARGE = 0.005
 #: How many documents of a source are switched at the end to come closer to its target.
 SWITCHES = 3
 
@@ -166,7 +169,7 @@ def _switches(rounded: DataFrame) -> DataFrame:
     words_taken = F.col("size") * (F.col("whole") + F.col("bump"))
     off = rounded.groupBy("source_key").agg((F.sum(words_taken) - F.first("target")).alias("off"))
     change = F.when(F.col("bump") == 1, -F.col("size")).otherwise(F.col("size"))
-    may = (F.col("size") > 0) & (F.col("target") > F.col("whole") * F.col("source_size"))
+    may = (F.col("size") > 0) & (F.col("whole") < MOST_COPIES)
     return (
         rounded.where(may)
         .join(off, "source_key")
@@ -191,7 +194,31 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFram
         "sizes",
     )
     sources = sizes.groupBy("source", "source_key").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    rounded = _rounded(sizes, written(targets(sources, weights, share), "targets"))
+    wanted = written(targets(sources, weights, share), "targets")
+    flagged = sizes.join(wanted.select("source_key", F.col("target").alias("__target")), "source_key")
+    flagged = flagged.withColumn("large", F.col("size") > LARGE * F.col("__target")).drop("__target")
+    flagged = written(flagged, "flagged-sizes")
+
+    # Large documents first: what they leave or take too much is made up for by the others.
+    about = wanted.drop("n", "source")
+    large = flagged.where("large")
+    counts = large.groupBy("source_key").agg(F.count("*").alias("n"))
+    first = _rounded(large, written(about.join(counts, "source_key"), "large-targets"))
+    taken = first.groupBy("source_key").agg(
+        F.sum(F.col("size") * (F.col("whole") + F.col("bump"))).alias("__taken"), F.sum("size").alias("__size")
+    )
+    rest_size = F.col("source_size") - F.coalesce("__size", F.lit(0))
+    rest_target = F.greatest(F.col("target") - F.coalesce("__taken", F.lit(0)), F.lit(0.0))
+    rest = wanted.drop("source").join(taken, "source_key", "left").select(
+        "source_key",
+        "n",
+        rest_size.alias("source_size"),
+        F.least(rest_target, (MOST_COPIES * rest_size).cast("double")).alias("target"),
+    )
+    second = _rounded(flagged.where("NOT large"), written(rest, "rest-targets"))
+    rounded = written(
+        first.unionByName(second).drop("source_size", "target").join(about, "source_key"), "mix-together"
+    )
     bump = F.when(F.col("switch"), 1 - F.col("bump")).otherwise(F.col("bump"))
     for i in range(SWITCHES):
         rounded = rounded.join(_switches(rounded), "row", "left").withColumn("bump", bump).drop("switch")
