@@ -167,7 +167,8 @@ def _rounded(rows: DataFrame, ratios: DataFrame) -> DataFrame:
 def _switches(rounded: DataFrame) -> DataFrame:
     """Of each source, the row whose switch brings its words closest to the target, if any does."""
     words_taken = F.col("size") * (F.col("whole") + F.col("bump"))
-    off = rounded.groupBy("source_key").agg((F.sum(words_taken) - F.first("target")).alias("off"))
+    # Written, so that its size is known and a hot source is not dealt to one task.
+    off = written(rounded.groupBy("source_key").agg((F.sum(words_taken) - F.first("target")).alias("off")), "mix-off")
     change = F.when(F.col("bump") == 1, -F.col("size")).otherwise(F.col("size"))
     may = (F.col("size") > 0) & (F.col("whole") < MOST_COPIES)
     return (
