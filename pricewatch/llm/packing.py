@@ -19,6 +19,8 @@ each. A null doc_id stays null. An empty table gives no pieces. Other columns ar
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -40,10 +42,62 @@ PIECES_PER_SALT = 2000
 SALTS = (64, 4096)
 
 
+# Below this code point no character joins with its neighbours and lower case goes
+# character by character, so parts of words can be told without the tokenizer.
+_PLAIN = "\u0130"
+_LETTERS, _NUMBERS = (
+    "".join(re.escape(chr(i)) for i in range(ord(_PLAIN)) if unicodedata.category(chr(i))[0] == kind) for kind in "LN"
+)
+_SEPARATORS, _SPACE = re.compile("[\x1c-\x1f]"), re.compile(r"[^\S\x1c-\x1f]+")
+_PARTS = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
+
+
+def _gathered(codes: np.ndarray, starts: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the coded entries end to end, and each entry's number of ids."""
+    n = lengths[codes]
+    ends = np.cumsum(n)
+    total = int(ends[-1]) if len(ends) else 0
+    return ids[np.arange(total) + np.repeat(starts[codes] - (ends - n), n)], n
+
+
+class _Table:
+    """Strings with their ids, found by their place."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.empty(0, np.uint32)
+
+    def add(self, strings: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.place.update(zip(strings, range(len(self.lengths), len(self.lengths) + len(strings)), strict=True))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def codes(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the strings of all lists, and the lengths of the lists."""
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(map(self.place.__getitem__, chain.from_iterable(lists)), np.int64, int(counts.sum())), counts
+
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return _gathered(codes, self.starts, self.lengths, self.ids)
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of the given lengths."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(counts)
+    return upto[ends] - upto[ends - counts]
+
+
 class WordTokenizer:
-    """Token ids by a tokenizers file, with the ids of whole words remembered.
+    """Token ids by a tokenizers file, with the ids of words and of their parts remembered.
 
     White space never joins tokens of this vocabulary, so a text's ids are its words' ids.
+    Nor does it join letters, digits and other characters, whose case it ignores: a new
+    word is mostly a known run of letters beside a mark. New parts are encoded together;
+    each ends with an end-of-word token. Words with an apostrophe, with "<" (of special
+    tokens) or with characters beyond ``_PLAIN`` are encoded whole.
     """
 
     REMEMBERED = 400_000
@@ -54,29 +108,52 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place = {"": 0}
-        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.ids = np.empty(0, np.uint32)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.words, self.parts = _Table(), _Table()
+
+    def _encode(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(lengths.sum())), lengths
+
+    def _learn_parts(self, plain: list[str], others: list[str]) -> None:
+        for at in range(0, len(plain), 20_000):
+            some = plain[at : at + 20_000]
+            ids, _ = self._encode([" ".join(some)])
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) == len(some):
+                self.parts.add(some, ids, np.diff(ends, prepend=0))
+            else:
+                self.parts.add(some, *self._encode(some))
+        if others:
+            self.parts.add(others, *self._encode(others))
 
     def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            part = words[at : at + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            starts = len(self.ids) + np.cumsum(lengths) - lengths
-            self.place.update(zip(part, range(len(self.lengths), len(self.lengths) + len(part)), strict=True))
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.starts = np.concatenate([self.starts, starts])
-            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum()))])
+        if len(self.parts.place) > self.REMEMBERED:
+            self.parts = _Table()
+        known = self.parts.place
+        split, whole = [], []
+        for w in words:
+            if (w.isascii() or max(w) < _PLAIN) and "'" not in w and "<" not in w:
+                split.append(_PARTS.findall(w.lower()))
+            else:
+                split.append([w])
+                whole.append(w)
+        others = set(whole)
+        new = [p for p in set(chain.from_iterable(split)) if p not in known]
+        self._learn_parts([p for p in new if p not in others], [p for p in new if p in others])
+        codes, counts = self.parts.codes(split)
+        ids, lengths = self.parts.gather(codes)
+        self.words.add(words, ids, _sums(lengths, counts))
 
     def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
         batch, size = [], 0
         for text in texts:
-            words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            # Python counts four separators as white space that the vocabulary does not.
+            words = text.split() if not _SEPARATORS.search(text) else [w for w in _SPACE.split(text) if w]
             batch.append(words)
             size += len(words)
             if size >= self.AT_ONCE:
@@ -85,18 +162,13 @@ class WordTokenizer:
         yield from self._encoded(batch)
 
     def _encoded(self, batch: list[list[str]]) -> Iterator[np.ndarray]:
-        if len(self.place) > self.REMEMBERED:
-            self._forget()
-        self._learn([w for w in set(chain.from_iterable(batch)) if w not in self.place])
-        counts = np.fromiter(map(len, batch), np.int64, len(batch))
-        which = np.fromiter(map(self.place.__getitem__, chain.from_iterable(batch)), np.int64, int(counts.sum()))
-        n = self.lengths[which]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.arange(total) + np.repeat(self.starts[which] - (ends - n), n)]
-        upto = np.concatenate([[0], ends])[np.cumsum(counts)]
+        if len(self.words.place) > self.REMEMBERED:
+            self.words = _Table()
+        self._learn([w for w in set(chain.from_iterable(batch)) if w not in self.words.place])
+        codes, counts = self.words.codes(batch)
+        ids, lengths = self.words.gather(codes)
         start = 0
-        for stop in upto:
+        for stop in np.cumsum(_sums(lengths, counts)):
             yield ids[start:stop]
             start = stop
 

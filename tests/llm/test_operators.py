@@ -375,3 +375,14 @@ def test_few_neighbours(spark):
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == Counter([(20, 1, 20, 1.0), (20, 2, 3, 0.5)] * 2)
     none = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert neighbours.nearest(none, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_remembered_words_give_the_tokenizers_ids():
+    r = random.Random(4)
+    odd = "aBcDéÉßİıΣσς1²½9_'’s,.!&|<>́eÅÅ日ﬁ‍\xa0 \x1c \t\n\r\x85-+*/:()\"#º\x0b\x00\xad"
+    texts = ["".join(r.choices(odd, k=r.randint(0, 50))) for _ in range(3000)]
+    texts += ["<|endoftext|>a b<|startoftext|> I'll don't 'S x", "a" * 3000, *texts[:50], prose(500, 1)]
+    words = packing.WordTokenizer(TOKENIZER)
+    words.REMEMBERED, words.AT_ONCE = 500, 300  # both are forgotten on the way
+    for text, ids in zip(texts, list(words(texts)), strict=True):
+        assert ids.tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
