@@ -20,6 +20,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -173,11 +175,19 @@ class WordTokenizer:
             start = stop
 
 
+def _of_this_worker(path: str) -> WordTokenizer:
+    """The tokenizer of the Python worker, which serves many tasks; it remembers words across them."""
+    kept = sys.modules.setdefault("_pricewatch_worker", types.ModuleType("_pricewatch_worker")).__dict__
+    if path not in kept:
+        kept[path] = WordTokenizer(path)
+    return kept[path]
+
+
 def pieces(documents: DataFrame, tokenizer: str, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
     """(row, doc_id, piece, start, length, ids_crc32) of every document, and ``ids`` if asked for."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordTokenizer(tokenizer)
+        encode = _of_this_worker(tokenizer)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             out: list[tuple] = []
