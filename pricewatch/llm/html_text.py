@@ -15,8 +15,10 @@ pages is no group in any task, and its template is as small as any. Hosts with f
 use the template of all pages together. Templates come back by a join on host and a salt.
 
 Nulls and odd input: a null or empty page has empty text and 0 characters. A null or
-unreadable url counts to the host ''. Repeated rows are extracted each; they count as one
-page in occurrence vectors only if url and html are equal. Other columns are ignored.
+unreadable url counts to the host ''. Repeated rows are extracted each. In occurrence vectors
+pages of a host with the same set of content blocks (those of the article, or without one all
+that are not left out) count as one page, so copies of an article make no template of it.
+Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,10 +28,13 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
+from pricewatch.llm.columns import numbered
 from pricewatch.session import written
 
 #: Hosts with fewer pages use the template of all pages.
@@ -145,6 +150,31 @@ def _digest(text: str) -> int:
     return xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
+def _content(html: str | None) -> int:
+    """A digest of the set of a page's content blocks."""
+    blocks = parsed(html).blocks
+    article = any(inside for _, _, inside, _ in blocks)
+    texts = {text for _, text, inside, out in blocks if not out and (inside or not article)}
+    return _digest("\n".join(sorted(texts)))
+
+
+@F.pandas_udf(LongType())
+def contents(html: pd.Series) -> pd.Series:
+    return pd.Series([_content(h) for h in html], dtype="u8").astype("i8")
+
+
+def voters(pages: DataFrame) -> DataFrame:
+    """(host, key, html, pooled): one page of each content of a host; pooled for one of each content of all pages."""
+    rows = numbered(pages.select("url", "html"), "__row")
+    named = host(F.col("url")).alias("host")
+    made = written(rows.select("__row", named, contents("html").alias("content")), "contents")
+    overall = made.groupBy("content").agg(F.min("__row").alias("__row")).select("__row", F.lit(True).alias("pooled"))
+    chosen = made.groupBy("host", "content").agg(F.min("__row").alias("__row")).select("__row").join(overall, "__row", "left")
+    chosen = written(chosen.select("__row", F.coalesce("pooled", F.lit(False)).alias("pooled")), "voters")
+    kept = rows.join(chosen.hint("shuffle_hash"), "__row")  # the pages move once, at every size
+    return kept.select(named, F.xxhash64("url", "html").alias("key"), "html", "pooled")
+
+
 def occurrences(pages: DataFrame) -> DataFrame:
     """(host, token, pages, times, vector, words): how often each token occurs, by host and over all pages."""
 
@@ -158,8 +188,8 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
         sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
         for batch in batches:
-            rows = zip(batch.column("host").to_pylist(), batch.column("key").to_pylist(), batch.column("html").to_pylist(), strict=True)
-            for name, key, html in rows:
+            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "key", "html", "pooled")), strict=True)
+            for name, key, html, pooled in rows:
                 page = parsed(html)
                 found = Counter({f"<{p}": n for p, n in page.places.items()})
                 found.update(f"={_digest(text):016x}" for _, text, _, _ in page.blocks)
@@ -170,7 +200,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
                 found[""] = 1
                 for token, n in found.items():
                     mark = _digest(f"{key}:{n}") >> 24  # 40 bits, so that sums of many pages fit
-                    for group in (name, POOLED):
+                    for group in (name, POOLED) if pooled else (name,):
                         s = sums[group, token]
                         s[0] += 1
                         s[1] += n
@@ -181,8 +211,7 @@ def occurrences(pages: DataFrame) -> DataFrame:
                     sums.clear()
         yield flushed(sums)
 
-    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("url", "html").alias("key"), "html")
-    counted = rows.mapInArrow(count, "host string, token string, pages long, times long, vector long, words long")
+    counted = voters(pages).mapInArrow(count, "host string, token string, pages long, times long, vector long, words long")
     return counted.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "times", "vector", "words")))
 
 
