@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricewatch.llm import html_text, licenses, lm, mixing, neighbours, packing, quality, secret_scans, simhash, url_filters
+from pricewatch.llm import divergence, html_text, licenses, lm, mixing, near_vectors, neighbours, packing, prefix_trie, quality, secret_scans, simhash, url_filters
 from pricewatch.llm.columns import read
 from pricewatch.session import written
 
@@ -144,3 +144,102 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secret_scans.listed(F.filter(found, lambda s: s["kind"] <= 2)), 256).alias("base_sha256"),
         secret_scans.listed(found).alias("spans"),
     )
+
+
+_DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms,
+         row_number() OVER () AS row
+  FROM documents
+), word AS (
+  SELECT row, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM word GROUP BY 1, 2 HAVING count(DISTINCT row) >= 10
+), size AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY 1
+), cell AS (
+  SELECT lang, source, term, count(*) AS c FROM word JOIN kept USING (lang, term) GROUP BY 1, 2, 3
+), grp AS (
+  SELECT d.lang, d.source, coalesce(any_value(t.n), 0) AS n, coalesce(any_value(v), 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM docs) d LEFT JOIN size USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM cell GROUP BY 1, 2) t ON t.lang = d.lang AND t.source = d.source GROUP BY 1, 2
+), share AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+         1 + CAST(1000000000::HUGEINT * (coalesce(c, 0) + 2) // (n + 2 * v) AS BIGINT) AS p
+  FROM grp g JOIN kept k USING (lang) LEFT JOIN cell x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term
+), whole AS (
+  SELECT lang, term, 1 + CAST(1000000000::HUGEINT * (sum(c) + 2) // (any_value(n) + 2 * any_value(v)) AS BIGINT) AS q
+  FROM cell JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM grp GROUP BY 1) USING (lang) GROUP BY 1, 2
+), pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source AS one, y.source AS two, CAST(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS BIGINT) AS value
+    FROM share x JOIN share y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3
+  ) s ON s.lang = a.lang AND s.one = a.source AND s.two = b.source
+), term AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM share JOIN whole USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
+@query("op12_divergence", _DIVERGENCE_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query("op13_near_vectors")
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.grouped(read(spark, sf_dir, "embeddings"))
+
+
+#: The checksum of a decimal number is taken bit by bit; a key holds 32 digits for each turn.
+_TRIE_SQL = r"""
+WITH turn AS (
+  SELECT conv_id AS c, md5(coalesce(role, '') || chr(0) || coalesce(text, '')) AS k,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT c, c - c % 20 AS donor,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda h, b: list_reduce(list_prepend(xor(h, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+             lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM turn)
+), part AS (
+  SELECT conv.c, 0 AS own, t.i, t.k, t.w FROM conv JOIN turn t ON t.c = conv.donor AND t.i <= h
+  UNION ALL
+  SELECT conv.c, 1, t.i, t.k, t.w FROM conv JOIN turn t ON t.c = conv.c AND t.i > h
+), prefix AS (
+  SELECT c, row_number() OVER o AS depth, string_agg(k, '') OVER o AS key, w FROM part
+  WINDOW o AS (PARTITION BY c ORDER BY own, i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL
+  SELECT c, 0, '', 0 FROM conv
+), node AS (
+  SELECT depth, key, min(c) AS conv_id, count(*) AS n_convs, any_value(w) AS w FROM prefix GROUP BY 1, 2
+), last AS (
+  SELECT c, arg_max(key, depth) AS key FROM prefix GROUP BY 1
+), ending AS (
+  SELECT key, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS d FROM last GROUP BY 1
+), child AS (
+  SELECT left(key, (depth - 1) * 32) AS key, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1
+), below AS (
+  SELECT left(n.key, d * 32) AS key, CAST(count(*) FILTER (ch.n IS NULL) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * w) AS BIGINT) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM node) n LEFT JOIN child ch ON ch.key = n.key GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(ch.n, 0) AS n_children, b.n_leaves,
+       b.saved AS saved_tokens, coalesce(e.d, sha256('')) AS ends_sha256
+FROM node n LEFT JOIN node p ON n.depth > 0 AND p.key = left(n.key, (n.depth - 1) * 32) AND p.depth = n.depth - 1
+LEFT JOIN child ch ON ch.key = n.key LEFT JOIN below b ON b.key = n.key LEFT JOIN ending e ON e.key = n.key
+"""
+
+
+@query("op11_prefix_trie", _TRIE_SQL)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read(spark, sf_dir, "conversations"))
