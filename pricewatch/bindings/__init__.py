@@ -11,6 +11,7 @@ from pricewatch.bindings import (  # noqa: F401
     attributes,
     cards,
     catalogue,
+    files,
     gates,
     joins,
     log_recovery,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from pricewatch.bindings.cards import _REASONS as REASONS
 from pricewatch.bindings.registry import query
+from pricewatch.bindings.responses import bodies, responses
 from pricewatch.bindings.titles import _LINK_KEY as LINK_KEY, _LINK_TEXT as LINK_TEXT
-from pricewatch.fixed_values import CATALOG_COLUMNS
+from pricewatch.fixed_values import CATALOG_COLUMNS, VARIANTS_PER_SEED
 from pricewatch.operators import match, scope
 from pricewatch.operators.reconcile import family_sizes as count_sizes
 from pricewatch.plans import catalogue as plan
@@ -141,11 +142,13 @@ def facet_filter(r):
         WHERE ref_no <= 10 AND i.p_size > 25)
     SELECT asin, brand_raw, raw_text, size_hint_inch FROM valid GROUP BY ALL""")
 def variant_expand(r):
-    """Customers as seeds with all that they ordered as references."""
+    """Customers as seeds with the first things that they ordered as references."""
     lines = r["lineitem"].join(r["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-    seeds = lines.groupBy("o_custkey").agg(
-        F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"))).alias("lines")
-    )
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]
+    # Only the references that are looked at are gathered: the rank is a limit before the shuffle.
+    turn = F.row_number().over(Window.partitionBy("o_custkey").orderBy(*order))
+    lines = lines.select("o_custkey", *order, turn.alias("turn")).filter(F.col("turn") <= VARIANTS_PER_SEED)
+    seeds = lines.groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct(*order))).alias("lines"))
     asin = "lower(concat('B', lpad(CAST(x.l_partkey AS STRING), 9, '0')))"
     seeds = seeds.select(
         F.col("o_custkey").alias("seed_pos"),
@@ -246,3 +249,116 @@ def catalogue_amazon(r):
     return _job(r, "amazon_gb", lambda: plan.amazon_rows(r["cards"], "GB")).select(
         "asin", "brand_raw", "url", "price_local", "currency", "price_hint_eur", "fx_rate_date"
     )
+
+
+_SHELF = ("elkjop_sku", "brand_raw", "raw_text", "url", "size_hint_inch", "price_local", "price_hint_eur", "filter_year", "model_year",
+          "source_brand", "platform", "country")
+
+
+@query("catalogue_elkjop", """
+    SELECT sku AS elkjop_sku, CASE brand WHEN 'Philips' THEN 'TCL' ELSE brand END AS brand_raw,
+           concat(facet_brand, ' ', inches, '" TV MA', sku) AS raw_text, concat('https://www.elkjop.no/product/tv/', sku) AS url,
+           CAST(inches AS DOUBLE) AS size_hint_inch, p_retailprice AS price_local, round(p_retailprice / 11.3125, 2) AS price_hint_eur,
+           year AS filter_year, year AS model_year, CASE brand WHEN 'Philips' THEN 'iFFALCON' ELSE brand END AS source_brand,
+           'Elkjop' AS platform, 'NO' AS country
+    FROM {shelf}""")
+def catalogue_elkjop(r):
+    """The API route: every gate passes."""
+    flat = r["shelf"].selectExpr(
+        "part_no AS o_orderkey", "year", "page_index", "sku", "facet_brand AS brand", "year AS facet_year", "inches",
+        "p_retailprice AS amount", "'nok' AS currency",
+    )
+    return _job(r, "elkjop_no", lambda: plan.elkjop_rows(bodies(flat, F.lit(False)))).select(*_SHELF)
+
+
+@query("catalogue_elkjop_listing", """
+    WITH priced AS (
+        SELECT *, CASE WHEN p_size % 7 <> 0 THEN floor(p_retailprice)
+                       WHEN p_size % 3 <> 0 THEN floor(p_retailprice) + 500 END::DOUBLE AS price FROM {shelf})
+    SELECT sku AS elkjop_sku, brand AS brand_raw,
+           concat(brand, ' ', inches, '" TV', CASE WHEN p_size % 5 = 0 THEN ' 2026' ELSE '' END, ' long text of ', sku) AS raw_text,
+           concat('https://www.elkjop.no/product/tv/', sku) AS url, CAST(inches AS DOUBLE) AS size_hint_inch, price AS price_local,
+           round(price / 11.3125, 2) AS price_hint_eur, year AS filter_year,
+           CAST(CASE WHEN p_size % 5 = 0 THEN 2026 ELSE year END AS INT) AS model_year, brand AS source_brand,
+           'Elkjop' AS platform, 'NO' AS country
+    FROM priced WHERE brand <> 'Philips'""")
+def catalogue_elkjop_listing(r):
+    """The API capture breaks its gates, so the listing counts; each product has an image link and a text link."""
+    shelf = r["shelf"]
+    title = "concat(brand, ' ', CAST(inches AS STRING), '\" TV', CASE WHEN p_size % 5 = 0 THEN ' 2026' ELSE '' END)"
+    links = "CASE k WHEN 0 THEN '' ELSE concat('long text of ', sku) END"
+    price = "CASE WHEN p_size % 7 = 0 THEN '' ELSE concat(CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING), '.-') END"
+    cards = shelf.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).selectExpr(
+        "year", "page_index + 1 AS page", "part_no * 2 + k AS pos", "sku AS product_key",
+        "concat('/product/tv/', sku, '?q=', CAST(k AS STRING)) AS href", f"{title} AS title", f"{links} AS text", f"{price} AS price_text",
+    )
+    total = shelf.groupBy("year").agg(F.count("*").alias("total"))
+    on_page = shelf.groupBy("year", F.col("page_index").alias("i")).agg(F.count("*").alias("n")).join(total, "year")
+    ranges = on_page.selectExpr(
+        "year", "i + 1 AS page", "concat(i * 48 + 1, '–', i * 48 + n, ' av ', total, ' produkter') AS range_text"
+    )
+    details = shelf.selectExpr(
+        "sku AS product_key", "floor(p_retailprice) + 500.0D AS price", "CASE WHEN p_size % 3 = 0 THEN 'SEK' ELSE 'NOK' END AS currency"
+    )
+    listing = plan.Listing(cards, ranges, details)
+    return _job(r, "elkjop_no", lambda: plan.elkjop_rows(responses(r), listing)).select(*_SHELF)
+
+
+def _kept_sql(name: str, where: str) -> str:
+    """The cards that an order of reading keeps, with their series."""
+    return f"""
+    {name}_own AS (
+        SELECT c.*, i.expected_series AS series, CASE WHEN c.product_key = '' THEN 'blank' WHEN c.brand = 'NoName' THEN 'no_brand'
+            WHEN c.p_size % 9 = 2 AND c.p_size NOT IN (17, 23) AND size_text = '' THEN 'no_size'
+            WHEN c.p_size IN (17, 23) THEN 'non_tv' END AS own_reason
+        FROM {{cards}} AS c JOIN {{items}} AS i ON i.part_no = c.part_no WHERE {where}),
+    {name}_first AS (
+        SELECT product_key, min((query_no, page, pos)) AS first_at FROM {name}_own
+        WHERE NOT sponsored AND own_reason IS NULL GROUP BY product_key),
+    {name} AS (
+        SELECT o.product_key AS asin, title_brand AS brand, series, inches, p_size, p_retailprice, o.part_no
+        FROM {name}_own AS o JOIN {name}_first AS f ON f.product_key = o.product_key AND (query_no, page, pos) = first_at
+        JOIN {{part}} ON p_partkey = o.part_no WHERE NOT sponsored AND own_reason IS NULL)""".replace("p_size, p_retailprice", "o.p_size, p_retailprice")
+
+
+@query("catalogue_amazon_follow_up", f"""
+    WITH {_kept_sql("base", "c.p_size <= 20")},
+    families AS (SELECT DISTINCT brand, series FROM base WHERE series <> ''),
+    {_kept_sql("searched", "c.p_size > 20 AND (c.title_brand, i.expected_series) IN (SELECT (brand, series) FROM families)")},
+    held AS (SELECT * FROM base UNION ALL SELECT * FROM searched WHERE asin NOT IN (SELECT asin FROM base)),
+    earlier AS (
+        SELECT concat('C', substr(asin, 2)) AS asin, brand_raw AS brand, expected_series AS series, p_size, p_retailprice,
+               inches + CASE WHEN p_size % 4 = 0 THEN 2 ELSE 0 END AS inches FROM {{items}}),
+    recovered AS (
+        SELECT * FROM earlier AS e WHERE series <> '' AND p_size % 5 <> 1 AND NOT EXISTS (
+            SELECT 1 FROM held AS t WHERE t.brand = e.brand AND t.series = e.series AND t.inches = e.inches)),
+    siblings AS (SELECT concat('D', substr(asin, 2)) AS asin, brand, p_retailprice FROM recovered WHERE p_size % 3 = 0),
+    found AS (
+        SELECT asin, brand, p_retailprice FROM held UNION ALL SELECT asin, brand, p_retailprice FROM recovered
+        UNION ALL SELECT asin, brand, p_retailprice FROM siblings)
+    SELECT asin, brand AS brand_raw, concat('https://www.amazon.co.uk/dp/', asin) AS url, floor(p_retailprice) + 0.5 AS price_local,
+           round((floor(p_retailprice) + 0.5) / 0.85973, 2) AS price_hint_eur
+    FROM found""")
+def catalogue_amazon_follow_up(r):
+    """Search cards, then rescue searches, missing sizes of earlier catalogues and the siblings that detail pages name."""
+    cards = r["cards"]
+    series = r["items"].select("part_no", F.col("expected_series").alias("series"), "brand_raw")
+    searches = cards.filter("p_size > 20").join(series, "part_no").withColumn("query", F.lower(F.concat_ws(" ", "brand_raw", "series")))
+    size = "inches + CASE WHEN p_size % 4 = 0 THEN 2 ELSE 0 END"
+    earlier = r["items"].withColumn("asin", F.expr("concat('C', substr(asin, 2))")).withColumn("size_hint_inch", F.expr(f"CAST({size} AS DOUBLE)"))
+    price = "concat('£', CAST(CAST(floor(p_retailprice) AS BIGINT) AS STRING), '.50') AS price_text"
+    sibling = "concat('D', substr(asin, 2))"
+    pages = r["items"].filter("p_size % 5 <> 1").selectExpr(
+        "concat('C', substr(asin, 2)) AS asin", f"concat(brand_raw, ' TV ', CAST({size} AS STRING), '\" ', series_text, ' 2026') AS title", price,
+        f"CASE WHEN p_size % 3 = 0 THEN array(named_struct('asin', {sibling}, 'text', '')) END AS refs",
+    )
+    more = r["items"].selectExpr(
+        f"{sibling} AS asin", "concat(brand_raw, ' TV ', CAST(inches AS STRING), '\" ', series_text) AS title", price,
+        "CAST(NULL AS array<struct<asin: string, text: string>>) AS refs",
+    )
+    found = plan.LookedUp(searches, pages.unionByName(more))
+    all_of = plan.Budgets(*[1_000_000] * 4)
+    rows = lambda: plan.amazon_rows(
+        cards.filter("p_size <= 20"), "GB", found=found, history=match.family_columns(earlier), budgets=all_of
+    )
+    return _job(r, "amazon_gb", rows).select("asin", "brand_raw", "url", "price_local", "price_hint_eur")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from pricewatch.bindings.registry import query
 from pricewatch.functions.logs import time_of
+from pricewatch.log_state import read_latest, refresh_latest
 from pricewatch.operators import reconcile, recovery
-from pricewatch.session import new_table_path
+from pricewatch.session import new_table_path, written
 from pricewatch.sinks import append_recovered, read_price_log, write_log, write_recovery
 from pricewatch.sources.links import brand_map as read_brands
 from pricewatch.sources.run_logs import log_lines as number_lines
@@ -49,6 +50,7 @@ _PAIRS = """
                       lag(shop) OVER (PARTITION BY run_id ORDER BY line_no) AS sold_at
                FROM {run_log} WHERE role <> 'system'),
     pairs AS (SELECT run_id, run_date, line_no, CAST(amount AS DOUBLE) AS price, coalesce(before = 'user', false) AS paired,
+                     concat('08:48:', lpad(CAST(line_no - 1 AS STRING), 2, '0')) AS clock,
                      CASE WHEN before = 'user' THEN named END AS product_name, CASE WHEN before = 'user' THEN sold_at END AS platform
               FROM events WHERE role = 'assistant')"""
 
@@ -122,6 +124,31 @@ def recovered_trends(r):
     return recovered(r).select("run_id", "line_no", "trend")
 
 
+@query("recovered_trends_logged", f"""
+    WITH {_PAIRS},
+    logged AS (SELECT product_name, platform, arg_max(floor(price / 2) * 2, (run_date, clock, floor(price / 2) * 2)) AS known
+               FROM pairs WHERE paired AND run_date < '2026-08-04' AND product_name < 'N2' GROUP BY ALL),
+    based AS (SELECT p.*, coalesce(arg_max(price, (run_date, CAST(run_id AS BIGINT), line_no)) OVER (
+                  PARTITION BY p.product_name, p.platform ORDER BY CAST(run_date AS DATE)
+                  RANGE BETWEEN UNBOUNDED PRECEDING AND INTERVAL 1 DAY PRECEDING), known) AS old_price
+              FROM pairs AS p LEFT JOIN logged USING (product_name, platform) WHERE paired)
+    SELECT run_id, line_no, old_price, CASE WHEN old_price IS NULL THEN 'NEW' WHEN price < old_price THEN 'DOWN'
+           WHEN price > old_price THEN 'UP' ELSE 'FLAT' END AS trend FROM based""")
+def recovered_trends_logged(r):
+    """Recovered rows against the latest prices kept beside a log of July; the log's rows are not read."""
+    log = new_table_path(r.spark, "logged")
+    rows = written(recovery.recovered_rows(branded(r)), "recovered")
+    july = rows.filter("obs_date < '2026-08-04' AND product_name < 'N2'").withColumns(
+        {"obs_date": F.regexp_replace("obs_date", "-08-", "-07-"), "price": F.floor(F.col("price") / 2) * 2.0}
+    )
+    write_log(july, log, "daily")
+    refresh_latest(r.spark, log)
+    first_day = rows.agg(F.min("obs_date")).first()[0]
+    known = read_latest(r.spark, log, before=first_day)
+    trends = recovery.recompute_trends(rows, order=recovery.line_order(), latest=known)
+    return trends.select("run_id", "line_no", "old_price", "trend")
+
+
 @query("manifest_counts", """
     WITH hashed AS (SELECT obs_date, platform, sha256(concat('v', CAST(seq AS STRING), chr(31), 'v', product_name, chr(31), 'v', country)) AS h
                     FROM {price_log} WHERE status = 'Success')

@@ -10,8 +10,12 @@ from pricewatch.sources import api
 
 
 def responses(r):
-    """Orders as search responses: one JSON body per year and page of at most 48 hits."""
-    flat = r["flat_hits"]
+    """Orders as search responses; one page of 2025 states another total than the rest."""
+    return bodies(r["flat_hits"], F.expr("year = 2025 AND page_index = 5"))
+
+
+def bodies(flat, drifting):
+    """Flat hits as search responses: one JSON body per year and page; drifting pages state one hit more."""
     size = F.when(F.col("brand") == "LG", F.lit("n/a")).otherwise(F.col("inches").cast("string"))
     url = F.when((F.col("brand") == "LG") & (F.col("inches") > 100), F.lit("/product/tv/other")).otherwise(
         F.concat(F.lit("/product/tv/"), F.col("sku"), F.lit("?q=1"))
@@ -40,8 +44,7 @@ def responses(r):
     totals = flat.groupBy("year").agg(
         F.count("*").cast("int").alias("n"), (F.max("page_index") + 1).cast("int").alias("p")
     )
-    # One page of 2025 states another total than the rest.
-    stated = F.when((F.col("year") == 2025) & (F.col("page_index") == 5), F.col("n") + 1).otherwise(F.col("n"))
+    stated = F.when(drifting, F.col("n") + 1).otherwise(F.col("n"))
     body = F.to_json(
         F.struct(
             F.array(
@@ -198,6 +201,28 @@ def missing_required(r):
     return reconcile.missing_brands(hits(r), required.union(absent))
 
 
+@query("api_gates", f"""
+    WITH {_FLAT},
+    ruled AS (
+        SELECT *, sku LIKE 'A%' OR facet_year <> year OR url LIKE '%/other' OR source_brand IS NULL OR currency <> 'NOK'
+                  OR amount NOT BETWEEN 100 AND 500000 AS broken FROM hits),
+    declared AS (
+        SELECT year, min(nb_hits) AS low, max(nb_hits) AS high, min(nb_pages) <> max(nb_pages) AS pages_drift,
+               (SELECT count(DISTINCT sku) FROM hits AS h WHERE h.year = p.year) AS found
+        FROM pages AS p GROUP BY year)
+    SELECT 'page_drift' AS gate, count(*) FILTER (low <> high) + count(*) FILTER (pages_drift) AS violations FROM declared
+    UNION ALL SELECT 'invalid_hit', count(*) FROM ruled WHERE broken
+    UNION ALL SELECT 'duplicate_sku', count(*) FROM (SELECT year, sku FROM hits GROUP BY ALL HAVING count(*) > 1)
+    UNION ALL SELECT 'incomplete', count(*) FROM declared WHERE high < 100 OR found <> high
+    UNION ALL SELECT 'cross_year_sku', count(*) FROM (SELECT sku FROM hits GROUP BY sku HAVING count(DISTINCT year) > 1)
+    UNION ALL SELECT 'missing_brand', count(*) FROM (VALUES ('hisense'), ('lg'), ('samsung'), ('sony'), ('tcl')) AS v(b)
+        WHERE b NOT IN (SELECT lower(source_brand) FROM hits WHERE source_brand IS NOT NULL)""")
+def api_gates(r):
+    """Every gate of the API capture at once."""
+    captured = responses(r)
+    return reconcile.api_gates(api.api_pages(captured), api.api_hits(captured))
+
+
 @query("page_range_check", f"""
     WITH {_FLAT}
     SELECT year, page_index AS page, 48 AS expected, page_hits AS cards,

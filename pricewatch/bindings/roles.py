@@ -184,6 +184,12 @@ ROLES = {
                p_size % 4 = 0 AS variant_hint,
                brand AS title_brand, inches
         FROM {{models}}""",
+    # --- the listing of one shop: every part is a product of one of two years ---
+    "shelf": """
+        SELECT part_no, p_size, CAST(100000 + part_no AS STRING) AS sku, CAST(2025 + part_no % 2 AS INT) AS year,
+               CAST(floor(floor((part_no - 1) / 2) / 48) AS INT) AS page_index, brand, inches, p_retailprice,
+               CASE brand WHEN 'Philips' THEN 'iFfalcon' ELSE brand END AS facet_brand
+        FROM {families}""",
     # --- captured pages ---
     "captures": """
         SELECT page_id, html, url AS address,
@@ -215,7 +221,7 @@ ROLES = {
         SELECT 'head' AS revision, concat('N', CAST(n_nationkey AS STRING)) AS sku,
                '' AS model, 'gb' AS country,
                CASE s_suppkey % 2 WHEN 0 THEN 'Boulanger' ELSE 'Currys' END AS platform,
-               CASE WHEN n_regionkey = 0 AND s_acctbal < 0 THEN 'TCL' ELSE n_name END AS brand,
+               CASE WHEN n_regionkey = 0 AND s_suppkey % 4 < 2 THEN 'TCL' ELSE n_name END AS brand,
                CASE WHEN n_regionkey = 4 THEN 'false' ELSE 'true' END AS active
         FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
     # --- flat search hits ---

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from pricewatch.bindings.gates import _COVERAGE, _RATIOS
@@ -9,6 +11,7 @@ from pricewatch.bindings.joins import _CASCADE, LATEST_SQL, SNAPSHOT_SQL, _api,
 from pricewatch.bindings.log_recovery import _PAIRS, recovered
 from pricewatch.bindings.prices import RUN_START, _TREND
 from pricewatch.bindings.registry import query
+from pricewatch.log_state import read_latest, refresh_latest
 from pricewatch.operators.reconcile import run_summary
 from pricewatch.plans import monitor
 from pricewatch.session import new_table_path, written
@@ -105,26 +108,53 @@ def incremental_results(r):
     return read_price_log(r.spark, f"{base}/log").groupBy("obs_date").agg(F.count("*").alias("promoted"))
 
 
+# A day and channel whose repeated run had no success: its rows leave the log.
+_FAILED = "(obs_date = '2024-01-05' OR (obs_date = '2024-01-06' AND platform = 'Currys'))"
+_CYCLE = f"""{_PAIRS},
+    kept AS (SELECT * FROM {{price_log}} WHERE status = 'Success' AND NOT {_FAILED})"""
+
+
+def _lived(r, name: str, keep_days: int) -> str:
+    """A log through its life: a run, the same run again with failures, streamed results, recovery, retention."""
+    base, schema = _staged(r, name)
+    log = f"{base}/log"
+    early = r["price_log"].withColumn("trend", F.lit("-")).filter(F.col("obs_date") < RUN_START)
+    append_success(early, log, "daily")
+    refresh_latest(r.spark, log)
+    again = F.when(F.expr(_FAILED), "Failed: Price Not Found").otherwise(F.col("status"))
+    days = append_success(early.withColumn("status", again), log, "daily")
+    refresh_latest(r.spark, log, days[0])
+    staged = streaming.staged(r.spark, f"{base}/staging", schema).filter(F.col("obs_date") >= RUN_START)
+    days = append_success(staged, log, "stream")
+    refresh_latest(r.spark, log, days[0])
+    append_recovered(read_price_log(r.spark, log), recovered(r), log, "recovery", write=True)
+    drop_expired_days(r.spark, log, keep_days)
+    refresh_latest(r.spark, log, days[0])
+    return log
+
+
 @query("price_log_cycle", f"""
-    WITH {_PAIRS},
-    log AS (SELECT obs_date, platform FROM {{price_log}} WHERE status = 'Success'
+    WITH {_CYCLE},
+    log AS (SELECT obs_date, platform FROM kept
             UNION ALL SELECT run_date, platform FROM pairs WHERE paired)
     SELECT obs_date, platform, count(*) AS log_rows FROM log
     WHERE CAST(obs_date AS DATE) >= (SELECT max(CAST(obs_date AS DATE)) - 930 FROM log) GROUP BY ALL""")
 def price_log_cycle(r):
-    """One log through its life: a run, the same run again, streamed results, recovery, retention."""
-    base, schema = _staged(r, "cycle")
-    log = f"{base}/log"
-    early = r["price_log"].withColumn("trend", F.lit("-")).filter(F.col("obs_date") < RUN_START)
-    append_success(early, log, "daily")
-    append_success(early, log, "daily")
-    staged = r.spark.read.schema(schema).parquet(f"{base}/staging").filter(F.col("obs_date") >= RUN_START)
-    append_success(staged, log, "stream")
-    append_recovered(read_price_log(r.spark, log), recovered(r), log, "recovery", write=True)
-    drop_expired_days(r.spark, log, 930)
+    log = _lived(r, "cycle", 930)
     return read_price_log(r.spark, log).groupBy("obs_date", "platform").agg(F.count("*").alias("log_rows"))
 
 
+@query("latest_state", f"""
+    WITH {_CYCLE},
+    log AS (SELECT product_name, country, platform, obs_date, obs_time, price FROM kept
+            UNION ALL SELECT product_name, 'GB', platform, run_date, clock, price FROM pairs WHERE paired)
+    SELECT product_name, country, platform, arg_max(price, (obs_date, obs_time, price)) AS old_price
+    FROM log WHERE CAST(obs_date AS DATE) >= (SELECT max(CAST(obs_date AS DATE)) - 925 FROM log) GROUP BY ALL""")
+def latest_state(r):
+    """The maintained latest prices after the log's life, with the first days expired."""
+    return read_latest(r.spark, _lived(r, "state", 925))
+
+
 @query("stream_trend", f"""
     WITH latest AS (
         SELECT product_name, country, platform, arg_max(price, (obs_date, obs_time, seq)) AS old_price
@@ -143,9 +173,7 @@ def stream_trend(r):
     trends = streaming.stream_trends(run, frozen)
     stream = streaming.stage_results(trends, f"{base}/staging", f"{base}/checkpoint")
     stream.awaitTermination()
-    return r.spark.read.schema(trends.schema).parquet(f"{base}/staging").select(
-        "seq", "price", "old_price", "trend"
-    )
+    return streaming.staged(r.spark, f"{base}/staging", trends.schema).select("seq", "price", "old_price", "trend")
 
 
 @query("run_results", f"""
@@ -155,3 +183,20 @@ def stream_trend(r):
     FROM ({_GATED}) GROUP BY platform""")
 def run_results(r):
     return run_summary(monitor.observe(_captured(r)))
+
+
+@query("daily_monitor", f"""
+    SELECT platform, count(*) AS log_rows, max(price) AS highest FROM ({_GATED}) WHERE status = 'Success' GROUP BY platform""")
+def daily_monitor(r):
+    """The whole daily job, run twice for one day against the latest prices kept beside its log."""
+    base = new_table_path(r.spark, "daily")
+    stamps = {"obs_date": F.lit("2026-08-05"), "obs_time": F.lit("05:00:00")}
+    inputs = _captured(r)
+    write_log(inputs.history.withColumn("trend", F.lit("-")), f"{base}/log", "history")
+    refresh_latest(r.spark, f"{base}/log")
+    run = replace(inputs, history=None)
+    for attempt in ("first", "again"):
+        monitor.monitor(run, lambda rows: rows.withColumns(stamps), f"{base}/{attempt}", f"{base}/log", keep_days=100_000, day="2026-08-05")
+    return read_price_log(r.spark, f"{base}/log", "2026-08-05").groupBy("platform").agg(
+        F.count("*").alias("log_rows"), F.max("price").alias("highest")
+    )

@@ -10,57 +10,56 @@ from pricewatch.fixed_values import (
     GUARD_MEDIAN,
     GUARD_MIN_SAMPLE,
 )
-from pricewatch.operators.match import covered_keys, guard_rows, requested_keys
+from pricewatch.operators.match import BATCH_KEY, guard_rows, requested_keys
+from pricewatch.session import written
 
-_SKETCH_ACCURACY = 200_000
-#: Quantiles around the median: its bracket, and the cuts that split the bracket.
-_BRACKET = [0.4995 + 0.00001 * i for i in range(101)]
+#: Bins of a value unit, coarse and fine; values beyond the limit share the outer bins.
+_COARSE, _FINE, _LIMIT = 1 << 8, 1 << 20, 1_000_000
 
 
 def _extreme(ratio: Column) -> Column:
     return (ratio < GUARD_EXTREME[0]) | (ratio > GUARD_EXTREME[1])
 
 
+def _bin(value: Column, per_unit: int) -> Column:
+    return F.floor(F.greatest(F.least(value, F.lit(_LIMIT)), F.lit(-_LIMIT)) * per_unit)
+
+
 def median_and_counts(rows: DataFrame, key: str, value: str, **counts: Column) -> DataFrame:
-    """Exact interpolated median per group with further aggregates, for few but huge groups.
-
-    No group is held in one task. A first pass takes the aggregates and a mergeable
-    quantile sketch, whose rank error is a hundredth of the margin left around the median.
-    A second pass counts, by distinct value, only the rows inside that bracket. The
-    bracket is cut into a hundred parts; parts are ranked by their totals and values
-    inside their part, so no task orders more than a part. Nulls do not count, and a group
-    without a value has a null median. The summary has one row per group.
+    """Exact interpolated median per group with further counts, for few but huge groups.
+
+    ``counts`` are counting aggregates, which add up. The rows are read once: distinct
+    values with their counts, and the coarse and the fine bin they fall in, are written.
+    The bins that hold the two middle ranks are then found level by level, so no task
+    orders more than the bins of a group or the values of one fine bin. Nulls do not
+    count, and a group without a value has a null median.
     """
-    summary = rows.groupBy(key).agg(
-        F.count(value).alias("__n"),
-        F.percentile_approx(value, _BRACKET, _SKETCH_ACCURACY).alias("__cuts"),
-        *(expression.alias(name) for name, expression in counts.items()),
-    )
-    near = rows.join(summary.select(key, "__n", "__cuts"), key)
-    cuts = F.col("__cuts")
-    # All values below the bracket share one row, those above it are not needed.
     counted = (
-        near.filter(F.col(value) <= F.element_at(cuts, -1))
-        .groupBy(
-            key,
-            F.size(F.filter(cuts, lambda cut: cut < F.col(value))).alias("__part"),
-            F.when(F.col(value) >= F.get(cuts, 0), F.col(value)).alias("__v"),
-        )
-        .agg(F.count("*").alias("__rows"), F.max("__n").alias("__n"))
+        rows.groupBy(key, F.col(value).alias("__value"))
+        .agg(F.count(value).alias("__rows"), *(expression.alias(name) for name, expression in counts.items()))
+        .withColumns({"__coarse": _bin(F.col("__value"), _COARSE), "__fine": _bin(F.col("__value"), _FINE)})
     )
-    totals = counted.groupBy(key, "__part", F.col("__v").isNull().alias("__below")).agg(F.sum("__rows").alias("__rows"))
-    earlier = Window.partitionBy(key).orderBy(~F.col("__below"), "__part").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0))).filter(~F.col("__below"))
-    upto = Window.partitionBy(key, "__part").orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (
-        counted.filter(F.col("__v").isNotNull())
-        .withColumn("__in", F.sum("__rows").over(upto))
-        .join(before.select(key, "__part", "__before"), [key, "__part"])
-        .withColumn("__through", F.col("__in") + F.col("__before"))
-    )
-    lower = F.min(F.when(F.col("__through") >= F.floor((F.col("__n") + 1) / 2), F.col("__v")))
-    upper = F.min(F.when(F.col("__through") >= F.floor(F.col("__n") / 2) + 1, F.col("__v")))
-    medians = ranked.groupBy(key).agg(((lower + upper) / 2).alias("median"))
+    counted = written(counted, "counted-values")
+    summary = counted.groupBy(key).agg(F.sum("__rows").alias("__n"), *(F.sum(name).alias(name) for name in counts))
+    middle = F.array(F.floor((F.col("__n") + 1) / 2), F.floor(F.col("__n") / 2) + 1)
+    # Two rows a group: the rank looked for inside what has been found so far.
+    found = summary.where("__n > 0").select(key, F.posexplode(middle).alias("__which", "__rank"))
+    inside = [key]
+    for level in ("__coarse", "__fine", "__value"):
+        totals = (
+            counted.where(F.col("__value").isNotNull())
+            .join(F.broadcast(found), inside)
+            .groupBy(*inside, "__which", "__rank", level)
+            .agg(F.sum("__rows").alias("__rows"))
+        )
+        upto = Window.partitionBy(key, "__which").orderBy(level).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = totals.withColumn("__through", F.sum("__rows").over(upto))
+        before = F.col("__through") - F.col("__rows")
+        inside = [*inside, level]
+        found = ranked.where((before < F.col("__rank")) & (F.col("__rank") <= F.col("__through"))).select(
+            *inside, "__which", (F.col("__rank") - before).alias("__rank")
+        )
+    medians = found.groupBy(key).agg((F.sum("__value") / 2).alias("median"))
     return summary.select(key, *counts).join(medians, key, "left").select(key, "median", *counts)
 
 
@@ -92,12 +91,13 @@ def coverage_gate(links: DataFrame, snapshot: DataFrame, thresholds: DataFrame)
     """Per batch channel: snapshot size, requested keys, found keys and the verdict."""
     gates = thresholds.withColumn("channel", F.lower("platform"))
     items = snapshot.groupBy("channel").agg(F.count("*").alias("items"))
-    requested = requested_keys(links).groupBy("channel").agg(F.count("*").alias("requested"))
-    matched = covered_keys(links, snapshot).groupBy("channel").agg(F.count("*").alias("matched"))
+    held = snapshot.select(*BATCH_KEY, F.lit(True).alias("__held"))  # one row a key
+    requested = requested_keys(links).join(held, BATCH_KEY, "left").groupBy("channel").agg(
+        F.count("*").alias("requested"), F.count("__held").alias("matched")
+    )
     counts = (
         gates.join(items, "channel", "left")
         .join(requested, "channel", "left")
-        .join(matched, "channel", "left")
         .fillna(0, ["items", "requested", "matched"])
     )
     coverage = F.coalesce(F.try_divide(F.col("matched"), F.col("requested")), F.lit(0.0))

@@ -29,6 +29,9 @@ BATCH_KEY = ["channel", "batch_key"]
 
 
 def with_batch_key(links: DataFrame) -> DataFrame:
+    """Add channel and batch key; links that carry them already stay as they are."""
+    if set(BATCH_KEY) <= set(links.columns):
+        return links
     platform = F.col("platform")
     return computed_once(
         links, {"channel": channel_key(platform), "batch_key": batch_key(platform, F.col("url"))}
@@ -76,8 +79,20 @@ def page_outcomes(captures: DataFrame) -> DataFrame:
     )
 
 
-def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages: DataFrame) -> DataFrame:
-    """Price each link from the batch snapshot, else the API, else its captured page."""
+def newest_captures(captures: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of the wanted addresses (column ``url``), the captures of the newest time.
+
+    The newest time is found on two light columns, so pages are neither parsed nor grouped
+    before the choice; what stays is what the lookup of the latest capture can read.
+    """
+    light = captures.select(F.col("requested_url").alias("url"), "captured_at").join(wanted.select("url"), "url", "left_semi")
+    newest = light.groupBy("url").agg(F.max("captured_at").alias("__newest"))
+    same = (F.col("requested_url") == F.col("url")) & F.col("captured_at").eqNullSafe(F.col("__newest"))
+    return captures.join(newest, same, "left_semi")
+
+
+def offered(links: DataFrame, snapshot: DataFrame, api: DataFrame) -> DataFrame:
+    """Links with what the batch snapshot and the API know of them."""
     batch = snapshot.select(
         *BATCH_KEY, F.col("price").alias("batch_price"), F.col("currency").alias("batch_currency")
     )
@@ -95,13 +110,25 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
         ),
         F.concat(F.lit("no api "), url),
     )
-    joined = (
+    return (
         with_batch_key(links)
         .withColumn("api_sku", own_sku)
         .join(batch, BATCH_KEY, "left")
         .join(direct, "api_sku", "left")
-        .join(pages, "url", "left")
+        .withColumn("__known", is_registered(platform))
     )
+
+
+def unpriced(offers: DataFrame) -> DataFrame:
+    """Addresses whose page has to be read: neither snapshot nor API has a price."""
+    missing = F.col("__known") & F.col("batch_price").isNull() & F.col("api_price").isNull()
+    return offers.where(missing).select("url").distinct()
+
+
+def settled(offers: DataFrame, pages: DataFrame) -> DataFrame:
+    """Price, status and provenance of each link: the snapshot, else the API, else its page."""
+    platform, url = F.col("platform"), F.col("url")
+    joined = offers.join(pages, "url", "left")
     gone = by_channel(
         platform, lambda c: c.gone(F.col("http_status"), url, F.col("final_url")), F.lit(False)
     )
@@ -114,9 +141,7 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
     page_price = F.when(~gone & ~dead & ~F.col("blocked") & only, F.col("page_price"))
     batch_hit, api_hit = F.col("batch_price").isNotNull(), F.col("api_price").isNotNull()
     page_hit = F.col("__page_price").isNotNull()
-    settled = joined.withColumns(
-        {"__gone": gone, "__dead": dead, "__page_price": page_price, "__known": is_registered(platform)}
-    )
+    judged = joined.withColumns({"__gone": gone, "__dead": dead, "__page_price": page_price})
     status = (
         F.when(~F.col("__known"), STATUS_UNSUPPORTED)
         .when(batch_hit | api_hit, STATUS_OK)
@@ -142,7 +167,7 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
         .when(api_hit, F.struct(F.col("api_price").alias("p"), F.col("api_currency").alias("c")))
         .when(page_hit, F.struct(F.col("__page_price").alias("p"), F.col("page_currency").alias("c")))
     )
-    return settled.withColumn("__s", source).select(
+    return judged.withColumn("__s", source).select(
         "brand",
         *SERIES_KEY,
         F.col("__s.p").alias("price"),
@@ -152,6 +177,11 @@ def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages:
     )
 
 
+def price_cascade(links: DataFrame, snapshot: DataFrame, api: DataFrame, pages: DataFrame) -> DataFrame:
+    """Price each link from the batch snapshot, else the API, else its captured page."""
+    return settled(offered(links, snapshot, api), pages)
+
+
 def trend_join(observations: DataFrame, latest: DataFrame) -> DataFrame:
     """Classify each price against the latest one of its series."""
     return (

@@ -68,9 +68,9 @@ def fair_pick(items: DataFrame, order: list, budget: int) -> DataFrame:
     return chosen.withColumn("pick_no", F.row_number().over(sequence)).drop("turn")
 
 
-def variant_seeds(items: DataFrame, budget: int = VARIANT_SEED_BUDGET) -> DataFrame:
+def variant_seeds(items: DataFrame, budget: int = VARIANT_SEED_BUDGET, per_family: int = SEEDS_PER_FAMILY) -> DataFrame:
     """Seeds for sibling look-ups: family cap, then a fair pick over brands."""
-    return fair_pick(family_cap(with_seed_priority(items)), ["priority", "pos"], budget)
+    return fair_pick(family_cap(with_seed_priority(items), per_family), ["priority", "pos"], budget)
 
 
 def series_rescue(items: DataFrame, budget: int = SERIES_RESCUE_BUDGET) -> DataFrame:

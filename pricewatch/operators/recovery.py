@@ -98,25 +98,29 @@ def line_order() -> list[Column]:
 
 
 def recompute_trends(
-    rows: DataFrame, existing: DataFrame | None = None, order: list[Column] | None = None
+    rows: DataFrame, existing: DataFrame | None = None, order: list[Column] | None = None, latest: DataFrame | None = None
 ) -> DataFrame:
     """Trend of each row against the last price of an earlier day.
 
     All rows of a day compare with the state before that day. Rows are first reduced to
     one closing price per series and day; only those are windowed, and the baseline then
     joins back, so the work of a busy series is spread over its days. ``order`` ranks the
-    rows of a day, by default ``seq``; an existing log needs no sequence.
+    rows of a day, by default ``seq``; an existing log needs no sequence. ``latest`` are
+    the latest prices before the first day, kept beside a log: one row for each series
+    instead of the log's rows.
     """
     closing = latest_by(rows, [*KEY, "obs_date"], order or [F.col("seq")], "price", "closing")
+    first_day = rows.agg(F.min("obs_date")).scalar()
+    days = closing
     if existing is not None:
-        first_day = rows.agg(F.min("obs_date")).scalar()
         earlier = successful(existing).filter(F.col("obs_date") < first_day)
         times = [F.col(c) for c in ("obs_time", "seq") if c in existing.columns]
-        before = latest_by(earlier, [*KEY, "obs_date"], times, "price", "closing")
-        days = closing.unionByName(before)
-    else:
-        days = closing
-    by_day = Window.partitionBy(*KEY).orderBy("obs_date")
+        days = days.unionByName(latest_by(earlier, [*KEY, "obs_date"], times, "price", "closing"))
+    if latest is not None:
+        none = F.lit(None).cast(closing.schema["obs_date"].dataType)  # before all days
+        known = latest.select(*KEY, none.alias("obs_date"), F.col("old_price").alias("closing"))
+        days = days.unionByName(known.join(closing.select(*KEY).distinct(), KEY, "left_semi"))
+    by_day = Window.partitionBy(*KEY).orderBy(F.asc_nulls_first("obs_date"))
     baseline = days.withColumn("old_price", F.lag("closing").over(by_day)).drop("closing")
     return rows.join(baseline, [*KEY, "obs_date"], "left").withColumn(
         "trend", trend_code(F.col("price"), F.col("old_price"))

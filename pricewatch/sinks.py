@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from pricewatch.fixed_values import CATALOG_COLUMNS, KEEP_DAYS, PRICE_LOG_COLUMNS, STATUS_OK
+from pricewatch.folders import NO_VALUE, partitions, remove
+from pricewatch.log_state import closing_path, latest_path, write_closing
 from pricewatch.operators.reconcile import manifest_counts
 from pricewatch.operators.recovery import conflicting_rows
 from pricewatch.operators.retention import parsed_date
@@ -29,12 +30,28 @@ def _balanced(rows: DataFrame, *partition_columns: str) -> DataFrame:
     return rows.hint("rebalance", *partition_columns)
 
 
-def write_log(rows: DataFrame, path: str, run: str) -> None:
-    """Write a run's rows to the price log, one folder per day and run.
+def _slice_days(rows: DataFrame) -> list[str]:
+    """The days that rows belong to, as their folders are named: one short text for each."""
+    days = rows.select(parsed_date(F.col("obs_date")).alias("day")).distinct().collect()
+    return sorted(NO_VALUE if d.day is None else d.day.isoformat() for d in days)
 
-    The one writer of the log. A run that is repeated replaces what it wrote to the same
-    days before, and touches no other run's rows.
+
+def _remove_slice(spark, table: str, day: str, run: str) -> None:
+    """Remove the folder of a run's day, and that of the day when nothing else is in it."""
+    remove(spark, f"{table}/day={day}/run={run}")
+    if not partitions(spark, f"{table}/day={day}", "run"):
+        remove(spark, f"{table}/day={day}")
+
+
+def write_log(rows: DataFrame, path: str, run: str, days: list[str] | None = None) -> None:
+    """Write a run's rows to the price log, one folder per day and run, and their closing prices.
+
+    The one writer of the log. ``days`` are the days that the run answers for, by default
+    those of its rows. A run that is repeated replaces what it wrote to these days before,
+    also where it has no row left, and touches no other run's rows.
     """
+    spark = rows.sparkSession
+    present = _slice_days(rows)
     placed = _with_columns(rows, PRICE_LOG_COLUMNS).withColumns(
         {"day": parsed_date(F.col("obs_date")), "run": F.lit(run)}
     )
@@ -45,11 +62,20 @@ def write_log(rows: DataFrame, path: str, run: str) -> None:
         .partitionBy("day", "run")
         .parquet(path)
     )
+    answered = {*(days or ()), *present}
+    for day in answered - {*present}:
+        _remove_slice(spark, path, day, run)
+    for day in answered:
+        _remove_slice(spark, closing_path(path), day, run)
+    write_closing(spark, path, present, run)
+    spark.catalog.refreshByPath(path)
 
 
-def append_success(results: DataFrame, path: str, run: str) -> None:
-    """Write the successful rows of a run to the log."""
-    write_log(success_rows(results), path, run)
+def append_success(results: DataFrame, path: str, run: str) -> list[str]:
+    """Write the successful rows of a run to the log; returns the days that the run has results of."""
+    days = _slice_days(results)
+    write_log(success_rows(results), path, run, days)
+    return days
 
 
 def read_price_log(spark, path: str, since: str | None = None) -> DataFrame:
@@ -64,19 +90,15 @@ def drop_expired_days(spark, path: str, keep_days: int = KEEP_DAYS) -> list[str]
     """Remove the day folders before the rolling window and return their days.
 
     Days are known from the folder names, so no row is read or written. Undated rows stay.
+    What is kept beside the log loses the same days.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    days = {}
-    for entry in files.listStatus(folder) if files.exists(folder) else []:
-        found = re.fullmatch(r"day=(\d{4}-\d{2}-\d{2})", entry.getPath().getName())
-        if found:
-            days[date.fromisoformat(found[1])] = entry.getPath()
-    expired = sorted(day for day in days if day < max(days) - timedelta(days=keep_days))
+    days = [date.fromisoformat(d) for d in partitions(spark, path, "day") if d != NO_VALUE]
+    expired = [day.isoformat() for day in days if day < max(days) - timedelta(days=keep_days)]
     for day in expired:
-        files.delete(days[day], True)
+        for folder in (f"{path}/day={day}", f"{closing_path(path)}/day={day}", f"{latest_path(path)}/through={day}"):
+            remove(spark, folder)
     spark.catalog.refreshByPath(path)
-    return [day.isoformat() for day in expired]
+    return expired
 
 
 def write_catalog(items: DataFrame, path: str) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from pricewatch.sources.text_files import numbered_lines
 
 
 def log_lines(logs: DataFrame) -> DataFrame:
@@ -15,31 +17,11 @@ def log_lines(logs: DataFrame) -> DataFrame:
     return lines.select(*kept, (F.col("__i") + 1).cast("long").alias("line_no"), "line")
 
 
-def read_log_files(spark: SparkSession, path: str) -> DataFrame:
-    """Log files to ``(run_id, line_no, line)``, one run per file.
+#: The run of a log file: its name without the ending.
+FILE_STEM = r"([^/]*?)(?:\.[^./]*)?$"
 
-    A large file is read in several splits by several tasks. Row ids rise within a
-    split, so a line's number is its offset in the split plus the lines of the splits
-    before it; only one count per split is ever ordered.
-    """
-    raw = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("__file"),
-        F.col("_metadata.file_block_start").alias("__split"),
-        F.monotonically_increasing_id().alias("__id"),
-        F.col("value").alias("line"),
-    )
-    splits = raw.groupBy("__file", "__split").agg(
-        F.min("__id").alias("__first"), F.count("*").alias("__lines")
-    )
-    earlier = Window.partitionBy("__file").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
-        "__file",
-        "__split",
-        "__first",
-        F.coalesce(F.sum("__lines").over(earlier), F.lit(0)).alias("__before"),
-    )
-    return raw.join(starts, ["__file", "__split"]).select(
-        F.regexp_extract("__file", r"([^/]*?)(?:\.[^./]*)?$", 1).alias("run_id"),
-        (F.col("__before") + F.col("__id") - F.col("__first") + 1).alias("line_no"),
-        "line",
-    )
+
+def read_log_files(spark: SparkSession, path: str, run: str = FILE_STEM) -> DataFrame:
+    """Log files to ``(run_id, line_no, line)``, one run per file; ``run`` finds the run id in a file's path."""
+    lines = numbered_lines(spark, path)
+    return lines.select(F.regexp_extract("file", run, 1).alias("run_id"), "line_no", "line")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pricewatch.folders import make_folder, partitions, remove
 from pricewatch.operators.match import trend_join
 from pricewatch.sinks import append_success
 
@@ -28,13 +31,19 @@ def stamped(results: DataFrame) -> DataFrame:
 
 
 def stage_results(results: DataFrame, staging: str, checkpoint: str) -> StreamingQuery:
-    """Write each micro-batch to its own staging partition.
+    """Stage each micro-batch as a whole.
 
-    A batch that is run again after a failure overwrites exactly what it wrote before.
+    A batch is written to a folder of its own attempt. A pointer, an empty folder made in
+    one step and named for batch and attempt, then says which attempt counts, so readers
+    see a batch whole or not at all, also while a batch that failed is run again. Earlier
+    attempts are removed one replacement later, when readers that began before are done.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{staging}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        attempt = uuid.uuid4().hex
+        batch.write.parquet(f"{staging}/data/batch={batch_id}/attempt={attempt}")
+        commit(spark, staging, batch_id, attempt)
 
     return (
         stamped(results)
@@ -45,9 +54,30 @@ def stage_results(results: DataFrame, staging: str, checkpoint: str) -> Streamin
     )
 
 
+def commit(spark: SparkSession, staging: str, batch_id: int, attempt: str) -> None:
+    """Let ``attempt`` be what readers see of the batch, by a pointer of the next number."""
+    mine = f"batch={batch_id:020d},number"
+    pointers = partitions(spark, f"{staging}/pointers", mine)
+    number = int(pointers[-1].partition(",")[0]) + 1 if pointers else 0
+    make_folder(spark, f"{staging}/pointers/{mine}={number:020d},attempt={attempt}")
+    for old in pointers[:-1]:  # the last one before this may still be read
+        remove(spark, f"{staging}/data/batch={batch_id}/attempt={old.rpartition('=')[2]}")
+        remove(spark, f"{staging}/pointers/{mine}={old}")
+
+
+def committed(spark: SparkSession, staging: str) -> list[str]:
+    """Folders of the attempts that count, one for each batch, from the names of the pointers alone."""
+    newest = {}
+    for name in sorted(partitions(spark, f"{staging}/pointers", "batch")):
+        batch, _, rest = name.partition(",")
+        newest[int(batch)] = rest.rpartition("=")[2]
+    return [f"{staging}/data/batch={batch}/attempt={attempt}" for batch, attempt in newest.items()]
+
+
 def staged(spark: SparkSession, staging: str, schema) -> DataFrame:
-    """Results completed so far."""
-    return spark.read.schema(schema).parquet(staging)
+    """Results of the batches completed so far; none before the first."""
+    folders = committed(spark, staging)
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
 
 def promote(spark: SparkSession, staging: str, schema, log: str, run: str) -> None:
