@@ -1,14 +1,18 @@
 """Secret scans: pattern rules plus sliding-window entropy, with spans in code points.
 
 Base rules are leftmost non-overlapping matches of each kind. The method adds spans of
-kind ``entropy``: candidate strings of one character class in which some window of
-``WINDOW`` characters has a high Shannon entropy. The entropy moves along the candidate by
-counts: the entering and the leaving character each change one count. Candidates on the
-allow list, and those that touch a base span, add nothing. All of it is built-in column
-functions, so a scan is one pass without a shuffle.
+kind ``entropy``: candidate strings outside the base spans in which some window of
+``WINDOW`` characters has a high Shannon entropy for the candidate's character class. The
+entropy moves along by counts: the entering and the leaving character each change one
+count. The allow list drops candidates that are plain words, paths, numbers or UUIDs as a
+whole; its marks of examples only part a candidate, so windows that hold one do not count
+and those beside it do. All of it is built-in column functions, so a scan is one pass
+without a shuffle.
 
 Nulls and odd input: a null text is empty; an empty text has no spans and the digest of
-the empty string. Repeated rows are scanned each; other columns are ignored.
+the empty string. Repeated rows are scanned each; other columns are ignored. A candidate
+that touches a base span is judged by its parts outside; a text may hold any number of
+candidates.
 """
 
 from __future__ import annotations
@@ -26,19 +30,23 @@ MIN_VALUE = 6
 
 WINDOW = 20
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_-"
-#: Character classes: candidate pattern and the entropy in bits from which a window counts.
-CLASSES = {
-    "hex": (r"(?<![A-Za-z0-9+/_-])(?:[0-9a-f]{20,}|[0-9A-F]{20,})(?![A-Za-z0-9+/_-])", 3.0),
-    "base": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", 3.9),
-}
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+#: Character classes: what the whole candidate is made of, and the entropy in bits from which a window
+#: counts. Random keys of 20 characters with a digit and a letter stay below in under 5 of 100 cases.
+CLASSES = (
+    (r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
+    (r"^(?:[0-9a-z]+|[0-9A-Z]+)$", 3.47),
+    (r"", 3.74),
+)
 #: Candidates that are no secrets: UUIDs, paths and slugs of plain words, numbers, words.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^[/_-]*[A-Za-z]+([/_-]+([A-Za-z]+|[0-9]{1,4}))*[/_-]*$",
     r"^[0-9+/_-]+$",
     r"^[A-Za-z]?[a-z]+[0-9]{0,4}$",
-    r"(?i)example|placeholder|(.)\1{5}",
 )
+#: Marks of examples: no window with one counts.
+EXAMPLE = r"(?i:example|placeholder)|(.)\1{5}"
 
 _SPAN = "array<struct<start:int,kind:int,end:int,name:string>>"
 
@@ -113,15 +121,40 @@ def _max_entropy(value: Column) -> Column:
         first = F.struct(zeros.alias("counts"), F.lit(0.0).alias("mass"), F.lit(0.0).alias("best"))
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), first, step, lambda acc: acc["best"])
 
-    codes = F.transform(F.split(value, "(?!^)"), lambda ch: F.position(ch, F.lit(ALPHABET)) - 1)
-    return let(codes, slide)
+    # The split ends with an empty part, which is no character.
+    letters = F.filter(F.split(value, "(?!^)"), lambda ch: ch != "")
+    return let(F.transform(letters, lambda ch: F.position(ch, F.lit(ALPHABET)) - 1), slide)
 
 
-def _suspicious(value: Column, least: float) -> Column:
+def _suspicious(value: Column) -> Column:
+    """Whether a candidate is not allowed and has a window that counts."""
     plain = F.lit(False)
     for pattern in ALLOWED:
         plain = plain | value.rlike(pattern)
-    return ~plain & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (_max_entropy(value) >= least)
+    *named, (_, rest) = CLASSES
+    least = F.lit(rest)
+    for pattern, bits in reversed(named):
+        least = F.when(value.rlike(pattern), bits).otherwise(least)
+
+    def counts(part: Column) -> Column:
+        long = F.char_length(part) >= WINDOW
+        return long & part.rlike("[0-9]") & part.rlike("[A-Za-z]") & (_max_entropy(part) >= least)
+
+    return ~plain & value.rlike("[0-9]") & value.rlike("[A-Za-z]") & F.exists(F.split(value, EXAMPLE), counts)
+
+
+def _blanked(text: Column, found: Column) -> Column:
+    """The text with blanks in place of the characters of all spans."""
+
+    def step(acc: Column, s: Column) -> Column:
+        start = F.greatest(acc["at"], s["start"])
+        between = F.substring(text, acc["at"] + 1, start - acc["at"])
+        blanks = F.repeat(F.lit(" "), F.greatest(s["end"] - start, F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], between, blanks).alias("out"))
+
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(found, first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    return F.when(F.size(found) > 0, done).otherwise(text)
 
 
 def spans(text: Column) -> Column:
@@ -136,16 +169,12 @@ def spans(text: Column) -> Column:
         )
 
         def with_entropy(known: Column) -> Column:
-            def free(s: Column) -> Column:
-                return ~F.exists(known, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+            def of_rest(rest: Column) -> Column:
+                return _named(_matches(rest, CANDIDATE, 0, lambda s: _suspicious(s["value"])), 3, "entropy")
 
-            more = [
-                _named(_matches(t, pattern, 0, lambda s, least=least: free(s) & _suspicious(s["value"], least)), 3, "entropy")
-                for pattern, least in CLASSES.values()
-            ]
-            return F.sort_array(F.array_distinct(F.concat(known, *more)))
+            return let(_blanked(t, known), lambda rest: F.sort_array(F.concat(known, of_rest(rest))))
 
-        return let(base, with_entropy)
+        return let(F.sort_array(base), with_entropy)
 
     return let(text, scan)
 
