@@ -268,7 +268,7 @@ def catalogue_elkjop(r):
         "part_no AS o_orderkey", "year", "page_index", "sku", "facet_brand AS brand", "year AS facet_year", "inches",
         "p_retailprice AS amount", "'nok' AS currency",
     )
-    return _job(r, "elkjop_no", lambda: plan.elkjop_rows(bodies(flat, F.lit(False)))).select(*_SHELF)
+    return _job(r, "elkjop", lambda: plan.elkjop_rows(bodies(flat, F.lit(False)))).select(*_SHELF)
 
 
 @query("catalogue_elkjop_listing", """
@@ -301,7 +301,7 @@ def catalogue_elkjop_listing(r):
         "sku AS product_key", "floor(p_retailprice) + 500.0D AS price", "CASE WHEN p_size % 3 = 0 THEN 'SEK' ELSE 'NOK' END AS currency"
     )
     listing = plan.Listing(cards, ranges, details)
-    return _job(r, "elkjop_no", lambda: plan.elkjop_rows(responses(r), listing)).select(*_SHELF)
+    return _job(r, "elkjop", lambda: plan.elkjop_rows(responses(r), listing)).select(*_SHELF)
 
 
 def _kept_sql(name: str, where: str) -> str:
@@ -323,8 +323,8 @@ def _kept_sql(name: str, where: str) -> str:
 
 @query("catalogue_amazon_follow_up", f"""
     WITH {_kept_sql("base", "c.p_size <= 20")},
-    families AS (SELECT DISTINCT brand, series FROM base WHERE series <> ''),
-    {_kept_sql("searched", "c.p_size > 20 AND (c.title_brand, i.expected_series) IN (SELECT (brand, series) FROM families)")},
+    searched_families AS (SELECT DISTINCT brand, series FROM base WHERE series <> ''),
+    {_kept_sql("searched", "c.p_size > 20 AND (c.title_brand, i.expected_series) IN (SELECT (brand, series) FROM searched_families)")},
     held AS (SELECT * FROM base UNION ALL SELECT * FROM searched WHERE asin NOT IN (SELECT asin FROM base)),
     earlier AS (
         SELECT concat('C', substr(asin, 2)) AS asin, brand_raw AS brand, expected_series AS series, p_size, p_retailprice,

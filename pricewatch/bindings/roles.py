@@ -187,7 +187,7 @@ ROLES = {
     # --- the listing of one shop: every part is a product of one of two years ---
     "shelf": """
         SELECT part_no, p_size, CAST(100000 + part_no AS STRING) AS sku, CAST(2025 + part_no % 2 AS INT) AS year,
-               CAST(floor(floor((part_no - 1) / 2) / 48) AS INT) AS page_index, brand, inches, p_retailprice,
+               CAST(floor(floor(part_no / 2) / 48) AS INT) AS page_index, brand, inches, p_retailprice,
                CASE brand WHEN 'Philips' THEN 'iFfalcon' ELSE brand END AS facet_brand
         FROM {families}""",
     # --- captured pages ---

@@ -11,6 +11,7 @@ from pricewatch.bindings.joins import _CASCADE, LATEST_SQL, SNAPSHOT_SQL, _api,
 from pricewatch.bindings.log_recovery import _PAIRS, recovered
 from pricewatch.bindings.prices import RUN_START, _TREND
 from pricewatch.bindings.registry import query
+from pricewatch.fixed_values import STATUS_OK
 from pricewatch.log_state import read_latest, refresh_latest
 from pricewatch.operators.reconcile import run_summary
 from pricewatch.plans import monitor
@@ -114,22 +115,25 @@ _CYCLE = f"""{_PAIRS},
     kept AS (SELECT * FROM {{price_log}} WHERE status = 'Success' AND NOT {_FAILED})"""
 
 
-def _lived(r, name: str, keep_days: int) -> str:
-    """A log through its life: a run, the same run again with failures, streamed results, recovery, retention."""
+def _lived(r, name: str, keep_days: int, refresh=lambda *_: None) -> str:
+    """A log through its life: a run, the same run again with failures, streamed results, recovery, retention.
+
+    ``refresh`` is called after each step that adds rows to the log.
+    """
     base, schema = _staged(r, name)
     log = f"{base}/log"
     early = r["price_log"].withColumn("trend", F.lit("-")).filter(F.col("obs_date") < RUN_START)
     append_success(early, log, "daily")
-    refresh_latest(r.spark, log)
+    refresh(r.spark, log)
     again = F.when(F.expr(_FAILED), "Failed: Price Not Found").otherwise(F.col("status"))
     days = append_success(early.withColumn("status", again), log, "daily")
-    refresh_latest(r.spark, log, days[0])
+    refresh(r.spark, log, days[0])
     staged = streaming.staged(r.spark, f"{base}/staging", schema).filter(F.col("obs_date") >= RUN_START)
     days = append_success(staged, log, "stream")
-    refresh_latest(r.spark, log, days[0])
+    refresh(r.spark, log, days[0])
     append_recovered(read_price_log(r.spark, log), recovered(r), log, "recovery", write=True)
     drop_expired_days(r.spark, log, keep_days)
-    refresh_latest(r.spark, log, days[0])
+    refresh(r.spark, log, days[0])
     return log
 
 
@@ -152,7 +156,7 @@ def price_log_cycle(r):
     FROM log WHERE CAST(obs_date AS DATE) >= (SELECT max(CAST(obs_date AS DATE)) - 925 FROM log) GROUP BY ALL""")
 def latest_state(r):
     """The maintained latest prices after the log's life, with the first days expired."""
-    return read_latest(r.spark, _lived(r, "state", 925))
+    return read_latest(r.spark, _lived(r, "state", 925, refresh_latest))
 
 
 @query("stream_trend", f"""
@@ -192,7 +196,8 @@ def daily_monitor(r):
     base = new_table_path(r.spark, "daily")
     stamps = {"obs_date": F.lit("2026-08-05"), "obs_time": F.lit("05:00:00")}
     inputs = _captured(r)
-    write_log(inputs.history.withColumn("trend", F.lit("-")), f"{base}/log", "history")
+    known = latest_prices(inputs.history).selectExpr("*", "old_price AS price", "'2026-08-01' AS obs_date", f"'{STATUS_OK}' AS status")
+    write_log(known, f"{base}/log", "history")
     refresh_latest(r.spark, f"{base}/log")
     run = replace(inputs, history=None)
     for attempt in ("first", "again"):
