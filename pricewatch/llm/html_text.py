@@ -4,15 +4,22 @@ Tokens are start tags with their place in the structure, and blocks of text. Tok
 occur equally often on every page of a host share an occurrence vector and form an
 equivalence class; classes of two or more tokens that reach at least half of the host's
 pages are valid and make up its template, nested by place. What the template leaves open
-are slots. Blocks of text that belong to the template themselves are no content. A page's
-main text is what its article (or main) element holds; where pages have neither, it is the
-slot that holds most of the host's words. Slots in menus, headers, footers, sidebars,
-notices, adverts, forms and comments are left out.
-
-An occurrence vector is never gathered: it is compared by (pages, occurrences, sum of a
-hash of page and count), which combine before the shuffle. So a host with most of the
-pages is no group in any task, and its template is as small as any. Hosts with few pages
-use the template of all pages together. Templates come back by a join on host and a salt.
+are slots: blocks of text that belong to a valid class are template, all others are fill.
+The main slot is the innermost place of a class that holds ``MAIN_SHARE`` of the host's
+fill, places counting all that lies below them.
+
+A page's main text is all of its article (or main) element; a page with neither gives the
+fill of its host's main slot. Menus, headers, footers, sidebars, notices, adverts, forms and
+comments are left out, by tags and names: outside an article a part of a class name tells,
+inside one only a whole name.
+
+Every page is parsed once to a small row of token digests, and once more for its text; the
+pages themselves are never shuffled for the templates. An occurrence vector is never
+gathered: it is compared by (pages, occurrences, sum of a hash of page and count), which
+combine before the shuffle. So a host with most of the pages is no group in any task.
+Hosts with fewer than ``LEAST_PAGES`` different pages show no classes of their own; their
+pages without an article use the classes of all pages. Templates come back by a join on
+host and a salt.
 
 Nulls and odd input: a null or empty page has empty text and 0 characters. A null or
 unreadable url counts to the host ''. Repeated rows are extracted each. In occurrence vectors
@@ -24,21 +31,20 @@ Other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
-from pricewatch.llm.columns import numbered
 from pricewatch.session import written
 
-#: Hosts with fewer pages use the template of all pages.
+#: Different pages from which a host shows classes of its own.
 LEAST_PAGES = 8
+#: Part of the fill that the main slot holds.
+MAIN_SHARE = 0.75
 SALTS = 16
 POOLED = "*"
 
@@ -93,16 +99,18 @@ class _Page(HTMLParser):
         if tag not in BLOCK_TAGS:
             self._flush()
         about = {k: (v or "") for k, v in attrs}
-        names = re.findall("[a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", f"{about.get('class', '')} {about.get('id', '')}").lower())
+        own = f"{about.get('class', '')} {about.get('id', '')}"
+        names = re.findall("[a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", own).lower())
         _, above, article, out = self.stack[-1] if self.stack else ("", "", False, False)
+        telling = own.lower().split() if article else names
         if tag in ("article", "main"):
             article = True
         if tag in WHOLE:
             hidden = False
         else:
             hidden = (
-                tag in LEFT_OUT_TAGS
-                or not LEFT_OUT_NAMES.isdisjoint(names)
+                (tag in LEFT_OUT_TAGS and not (article and tag == "label"))
+                or not LEFT_OUT_NAMES.isdisjoint(telling)
                 or (not article and (tag == "header" or not HEADER_NAMES.isdisjoint(names)))
                 or about.get("role", "").lower() in LEFT_OUT_ROLES
                 or "hidden" in about
@@ -150,98 +158,108 @@ def _digest(text: str) -> int:
     return xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
 
 
-def _content(html: str | None) -> int:
-    """A digest of the set of a page's content blocks."""
-    blocks = parsed(html).blocks
-    article = any(inside for _, _, inside, _ in blocks)
-    texts = {text for _, text, inside, out in blocks if not out and (inside or not article)}
-    return _digest("\n".join(sorted(texts)))
+def _around(place: str) -> list[str]:
+    """The place and all places it lies in, innermost first."""
+    parts = place.split("/")
+    return ["/".join(parts[:n]) for n in range(len(parts), 1, -1)]
 
 
-@F.pandas_udf(LongType())
-def contents(html: pd.Series) -> pd.Series:
-    return pd.Series([_content(h) for h in html], dtype="u8").astype("i8")
+def _token(kind: str, text: str) -> int:
+    return _digest(f"{kind}{text}")
 
 
-def voters(pages: DataFrame) -> DataFrame:
-    """(host, key, html, pooled): one page of each content of a host; pooled for one of each content of all pages."""
-    rows = numbered(pages.select("url", "html"), "__row")
-    named = host(F.col("url")).alias("host")
-    made = written(rows.select("__row", named, contents("html").alias("content")), "contents")
-    overall = made.groupBy("content").agg(F.min("__row").alias("__row")).select("__row", F.lit(True).alias("pooled"))
-    chosen = made.groupBy("host", "content").agg(F.min("__row").alias("__row")).select("__row").join(overall, "__row", "left")
-    chosen = written(chosen.select("__row", F.coalesce("pooled", F.lit(False)).alias("pooled")), "voters")
-    kept = rows.join(chosen.hint("shuffle_hash"), "__row")  # the pages move once, at every size
-    return kept.select(named, F.xxhash64("url", "html").alias("key"), "html", "pooled")
+_ROW = "host string, content long, key long, tokens array<struct<token:long,depth:int,n:int,words:int>>"
 
 
-def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, pages, times, vector, words): how often each token occurs, by host and over all pages."""
+def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A small row for each page: digests of its content and tokens, with occurrences and words below each place."""
+    kind = pa.list_(pa.struct([("token", pa.int64()), ("depth", pa.int32()), ("n", pa.int32()), ("words", pa.int32())]))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flushed(sums: dict) -> pa.RecordBatch:
-            hosts, found = zip(*sums, strict=True) if sums else ((), ())
-            columns = {"host": pa.array(hosts, pa.string()), "token": pa.array(found, pa.string())}
-            for k, name in enumerate(("pages", "times", "vector", "words")):
-                columns[name] = pa.array([v[k] for v in sums.values()], pa.int64())
-            return pa.RecordBatch.from_pydict(columns)
+    def signed(x: int) -> int:
+        return x - (1 << 64) if x >> 63 else x
 
-        sums: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("host", "key", "html", "pooled")), strict=True)
-            for name, key, html, pooled in rows:
-                page = parsed(html)
-                found = Counter({f"<{p}": n for p, n in page.places.items()})
-                found.update(f"={_digest(text):016x}" for _, text, _, _ in page.blocks)
-                words: Counter[str] = Counter()
-                for place, text, _, out in page.blocks:
-                    if not out:
-                        words[f"<{place}"] += text.count(" ") + 1
-                found[""] = 1
-                for token, n in found.items():
-                    mark = _digest(f"{key}:{n}") >> 24  # 40 bits, so that sums of many pages fit
-                    for group in (name, POOLED) if pooled else (name,):
-                        s = sums[group, token]
-                        s[0] += 1
-                        s[1] += n
-                        s[2] += mark
-                        s[3] += words[token]
-                if len(sums) > 200_000:
-                    yield flushed(sums)
-                    sums.clear()
-        yield flushed(sums)
-
-    counted = voters(pages).mapInArrow(count, "host string, token string, pages long, times long, vector long, words long")
-    return counted.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "times", "vector", "words")))
+    for batch in batches:
+        hosts, contents, keys, tokens = [], [], [], []
+        for name, key, html in zip(*(batch.column(c).to_pylist() for c in ("host", "key", "html")), strict=True):
+            page = parsed(html)
+            article = any(inside for _, _, inside, _ in page.blocks)
+            texts = {text for _, text, inside, out in page.blocks if not out and (inside or not article)}
+            times = Counter(text for _, text, _, _ in page.blocks)
+            words: Counter[str] = Counter()
+            fill: Counter[str] = Counter()
+            for place, text, _, out in page.blocks:
+                if not out:
+                    n = text.count(" ") + 1
+                    fill[text] += n
+                    for above in _around(place):
+                        words[above] += n
+            row = [(_token("<", p), p.count("/"), n, words[p]) for p, n in page.places.items()]
+            row += [(_token("=", t), 0, n, fill[t]) for t, n in times.items()]
+            row.append((_token("", ""), -1, 1, sum(fill.values())))
+            hosts.append(name)
+            contents.append(signed(_digest("\n".join(sorted(texts)))))
+            keys.append(key)
+            tokens.append([{"token": signed(t), "depth": d, "n": n, "words": w} for t, d, n, w in row])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(hosts, pa.string()), pa.array(contents, pa.int64()), pa.array(keys, pa.int64()), pa.array(tokens, kind)],
+            ["host", "content", "key", "tokens"],
+        )
+
+
+def occurrences(pages: DataFrame) -> DataFrame:
+    """(host, token, depth, pages, times, vector, words): how often each token occurs, by host and over all pages.
+
+    Of the pages of a host with one content, and of all pages with it, one counts.
+    """
+    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("url", "html").alias("key"), "html")
+    made = rows.mapInArrow(_compact, _ROW).withColumn("id", F.monotonically_increasing_id())
+    made = written(made, "compact-pages")
+    ids = made.select("id", "host", "content")
+    of_host = ids.groupBy("host", "content").agg(F.min("id").alias("id"))
+    of_all = ids.groupBy("content").agg(F.min("id").alias("id")).select("id", F.lit(True).alias("pooled"))
+    voters = written(of_host.select("id").join(of_all, "id", "left"), "voters")
+    groups = F.when(F.col("pooled"), F.array("host", F.lit(POOLED))).otherwise(F.array("host"))
+    chosen = made.join(voters, "id").select("key", F.explode(groups).alias("host"), "tokens")
+    each = chosen.select("host", "key", F.inline("tokens"))
+    mark = F.shiftrightunsigned(F.xxhash64("key", "n"), 24)  # 40 bits, so that sums of many pages fit
+    return each.groupBy("host", "token", "depth").agg(
+        F.count("*").alias("pages"), F.sum("n").alias("times"), F.sum(mark).alias("vector"), F.sum("words").alias("words")
+    )
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, blocks, main): digests of the template's text blocks and the place with most words, by host."""
+    """(host, blocks, main): digests of the template's text blocks and the main slot's place, by host."""
     counts = written(occurrences(pages), "occurrences")
-    totals = counts.where("token = ''").select("host", F.col("pages").alias("all_pages"))
+    totals = counts.where("depth = -1").select("host", F.col("pages").alias("all_pages"), F.col("words").alias("all_words"))
     totals = totals.where((F.col("all_pages") >= LEAST_PAGES) | (F.col("host") == POOLED))
     common = written(
-        counts.where("token <> ''").join(totals, "host").where(2 * F.col("pages") >= F.greatest("all_pages", F.lit(LEAST_PAGES))),
+        counts.where("depth >= 0").join(totals, "host").where(2 * F.col("pages") >= F.greatest("all_pages", F.lit(LEAST_PAGES))),
         "common-tokens",
     )
     classes = common.groupBy("host", "pages", "times", "vector").agg(F.count("*").alias("size")).where("size >= 2")
     valid = common.join(classes, ["host", "pages", "times", "vector"])
-    place = F.col("token").startswith("<")
-    found = valid.groupBy("host").agg(
-        F.collect_list(F.when(~place, F.substring("token", 2, 16))).alias("blocks"),
-        F.max_by(F.when(place, F.substring("token", 2, 10_000)), F.when(place, F.col("words"))).alias("main"),
+    block = F.col("depth") == 0
+    fixed = valid.where(block).groupBy("host").agg(F.collect_list("token").alias("blocks"), F.sum("words").alias("fixed_words"))
+    slots = valid.where(~block).join(fixed.select("host", "fixed_words"), "host", "left")
+    fill = F.col("all_words") - F.coalesce("fixed_words", F.lit(0))
+    main = slots.where(F.col("words") >= MAIN_SHARE * fill).groupBy("host").agg(
+        F.max(F.struct("depth", "words", "token")).getField("token").alias("main")
     )
-    return written(totals.select("host").join(found, "host", "left").select("host", F.coalesce("blocks", F.array()).alias("blocks"), "main"), "templates")
+    found = totals.select("host").join(fixed, "host", "left").join(main, "host", "left")
+    return written(found.select("host", F.coalesce("blocks", F.expr("CAST(array() AS array<long>)")).alias("blocks"), "main"), "templates")
 
 
-def main_text(html: str | None, blocks: set[str], main: str | None) -> str:
+def main_text(html: str | None, blocks: frozenset[int], main: int | None) -> str:
     page = parsed(html)
-    inside = [b for b in page.blocks if b[2] and not b[3]]
-    if not any(article for _, _, article, _ in page.blocks):
-        open_blocks = [b for b in page.blocks if not b[3]]
-        inside = [b for b in open_blocks if main and (b[0] == main or b[0].startswith(f"{main}/"))] or open_blocks
-    kept = [text for _, text, _, _ in inside if not blocks or f"{_digest(text):016x}" not in blocks]
-    return "\n".join(kept)
+    if any(article for _, _, article, _ in page.blocks):
+        return "\n".join(text for _, text, article, out in page.blocks if article and not out)
+
+    def signed(x: int) -> int:
+        return x - (1 << 64) if x >> 63 else x
+
+    fill = [(place, text) for place, text, _, out in page.blocks if not out and signed(_token("=", text)) not in blocks]
+    inside = [text for place, text in fill if any(signed(_token("<", above)) == main for above in _around(place))]
+    return "\n".join(inside or [text for _, text in fill])
 
 
 def extracted(pages: DataFrame) -> DataFrame:
