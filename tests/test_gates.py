@@ -38,17 +38,17 @@ def guard_inputs(spark, first, prices, olds, links=None):
     ([1000] * 18 + [400, 2500], [1000] * 20, True),
 ])
 def test_drift_guard(spark, prices, olds, passed):
-    verdict = gates.drift_guard(*guard_inputs(spark, 10280000, prices, olds)).first()
+    verdict = gates.drift_guard(*guard_inputs(spark, 20400000, prices, olds)).first()
     assert (verdict.sample, verdict.passed) == (len(prices), passed)
 
 
 def test_drift_guard_counts_links_not_keys(spark):
-    links = currys(10280000, 1) * 20
-    assert gates.drift_guard(*guard_inputs(spark, 10280000, [30], [600], links)).first().sample == 20
+    links = currys(20400000, 1) * 20
+    assert gates.drift_guard(*guard_inputs(spark, 20400000, [30], [600], links)).first().sample == 20
 
 
 def test_drift_guard_skips_zero_prices(spark):
-    assert gates.drift_guard(*guard_inputs(spark, 10280000, [30] * 3, [0, 600, 0])).first().sample == 1
+    assert gates.drift_guard(*guard_inputs(spark, 20400000, [30] * 3, [0, 600, 0])).first().sample == 1
 
 
 @pytest.mark.parametrize("seed", range(4))

@@ -88,7 +88,7 @@ def test_sizes(column_of):
 
 def test_small_readers(column_of):
     assert column_of(at.year_in, ["a 2026 b", "x2026", "2024", None]) == [2026, None, None, None]
-    assert column_of(at.slug_title, ["samsung-s90f-65-qe65-102-10283600", "123-456", "", "a--b-1"]) == [
+    assert column_of(at.slug_title, ["samsung-s90f-65-qe65-102-20417733", "123-456", "", "a--b-1"]) == [
         "samsung s90f 65 qe65", "", "", "a b",
     ]
     got = column_of(at.listing_range, ["49–96 av 400 produkter", "1 - 48 AV 50 Produkter", "nothing"])
@@ -105,26 +105,26 @@ def test_small_readers(column_of):
 def test_accessories(column_of):
     rejected = [
         "Replacement remote for a TCL P7K television",
-        "TV Mounting Screws Kit 100pcs - Universal VESA Screws for Samsung TVs",
-        "120W Ladegerät für Sony Bravia TV 55W755C",
+        "Set of 8 mounting screws M6 that fit an LG television",
+        "Ladegerät 60 Watt passend zum Hisense Fernseher",
         "LADEGERÄT für TV",
         "Samsung Monitor 32",
     ]
     accepted = [
-        "LG OLED55C6 Smart TV with AI Magic Remote and Dolby Vision",
-        "Samsung 55S95H OLED TV with One Remote Control",
+        "LG QNED85A 65 Zoll Fernseher, Magic Remote liegt bei",
+        "TCL C8L 75 inch television with its remote control",
         "Monitoring TV",
     ]
     assert column_of(cl.is_non_tv, rejected + accepted) == [True] * 5 + [False] * 3
 
 
 def test_gone_pages(column_of):
-    product = "https://www.currys.co.uk/products/tv-name-10283600.html"
+    product = "https://www.currys.co.uk/products/flat-screen-20417733.html"
     rows = [
         (200, product, "https://www.currys.co.uk/tv-and-audio/televisions/tvs"),
         (200, product, product),
-        (200, product, "https://www.currys.co.uk/products/other-10283600.html?x"),
-        (200, product, "https://www.currys.co.uk/products/other-10283601.html"),
+        (200, product, "https://www.currys.co.uk/products/renamed-20417733.html?x"),
+        (200, product, "https://www.currys.co.uk/products/renamed-20417734.html"),
         (404, product, product),
         (200, "https://www.currys.co.uk/tvs", "https://www.currys.co.uk/"),
     ]
