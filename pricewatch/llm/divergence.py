@@ -22,9 +22,12 @@ give no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,19 +37,50 @@ from pricewatch.session import written
 MIN_DOCUMENTS = 10
 TOP_TERMS = 10
 SCALE = 1_000_000_000
-#: ASCII letters and everything beyond ASCII make terms.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+#: ASCII letters, in lower case, and all bytes beyond ASCII make terms; any other byte parts them.
+_BYTES = bytes(b if chr(b).islower() or b > 127 else b + 32 if chr(b).isupper() else 32 for b in range(256))
+#: Bytes of text that are split together.
+_TOGETHER = 1 << 22
 #: Cells of the matrix of sources and terms that one task holds, with no fewer than LEAST_TERMS terms.
-CELLS, LEAST_TERMS = 1 << 16, 64
+CELLS, LEAST_TERMS = 1 << 14, 64
 #: Sources that one task compares with all others of the language.
 SLICE = 1024
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def lowered(text: Column) -> Column:
-    """Only A to Z in lower case."""
-    plain = F.char_length(text) == F.octet_length(text)
-    return F.when(plain, F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+def _split(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The number of terms of each text, and all terms in order."""
+    offsets = np.frombuffer(text.buffers()[1], "i4")[text.offset : text.offset + len(text) + 1].astype("i8")
+    if offsets[0] == offsets[-1]:
+        return np.zeros(len(text), np.int64), pa.array([], pa.string())
+    edges = offsets - offsets[0]
+    data = text.buffers()[2][offsets[0] : offsets[-1]].to_pybytes().translate(_BYTES)
+    data = np.frombuffer(data, "u1")
+    solid = data != 32
+    opens = np.zeros(len(data) + 1, bool)
+    opens[edges] = True
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1] | opens[1:-1]
+    starts = np.flatnonzero(begins)
+    lengths = np.add.reduceat(solid, starts, dtype="i4") if len(starts) else np.empty(0, "i4")
+    ends = np.concatenate([np.zeros(1, "i4"), np.cumsum(lengths, dtype="i4")])
+    found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends), pa.py_buffer(data[solid].tobytes()))
+    return np.diff(np.searchsorted(starts, edges)), found
+
+
+def _tagged_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, terms) from (lang, source, text); a term has its language in front."""
+    for batch in batches:
+        at = 0
+        while at < len(batch):
+            size = pc.binary_length(batch.column(2).slice(at)).to_numpy()
+            rows = max(1, int(np.searchsorted(np.cumsum(size, dtype="i8"), _TOGETHER)))
+            part = batch.slice(at, rows)
+            at += rows
+            counts, found = _split(part.column(2))
+            tags = part.column(0).take(pa.array(np.repeat(np.arange(len(part)), counts)))
+            terms = pc.binary_join_element_wise(tags, found, " ")
+            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(ends, terms)], ["lang", "source", "terms"])
 
 
 def _share(count: str, total: str, size: str) -> Column:
@@ -60,25 +94,33 @@ def _apart(p: str, q: str) -> Column:
     return F.expr(f"(({p} - {q}) * ({p} - {q})) div ({p} + {q})")
 
 
-def counted(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lang, source, idx, n) of the kept terms that occur in a group, and (idx, lang, term) of all kept terms."""
+def keyed_groups(documents: DataFrame) -> tuple[DataFrame, int]:
+    """(lang, source, key) of all groups, and the salt with which their 64-bit keys are all different."""
+    groups = documents.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
+    groups = written(groups, "groups")
+    salt = 0
+    while True:
+        keyed = groups.withColumn("key", F.xxhash64(F.lit(salt), "lang", "source"))
+        if keyed.groupBy("key").count().where("count > 1").isEmpty():
+            return keyed, salt
+        salt += 1
+
+
+def counted(documents: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
+    """(key, idx, n) of the kept terms that occur in a group, and (idx, lang, term) of all kept terms."""
     spark = documents.sparkSession
-    lang = F.coalesce("lang", F.lit(""))
-    found = F.regexp_extract_all(lowered(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0))
+    texts = documents.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
     # A term has no space, so its language is all before the last one.
-    tagged = documents.select(
-        lang.alias("lang"),
-        F.coalesce("source", F.lit("")).alias("source"),
-        F.transform(found, lambda t: F.concat(lang, F.lit(" "), t)).alias("terms"),
-    )
+    tagged = texts.mapInArrow(_tagged_terms, "lang string, source string, terms array<string>")
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=MIN_DOCUMENTS, vocabSize=2**31 - 1).fit(tagged)
     vocabulary = pa.table({"idx": pa.array(range(len(model.vocabulary)), pa.int32()), "tagged": pa.array(model.vocabulary, pa.string())})
     kept = spark.createDataFrame(vocabulary).select(
         "idx", F.regexp_extract("tagged", r"(?s)^(.*) [^ ]*$", 1).alias("lang"), F.substring_index("tagged", " ", -1).alias("term")
     )
-    vectors = model.transform(tagged).select("lang", "source", F.unwrap_udt("vector").alias("v"))
-    cells = vectors.select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("cell"))
-    sums = cells.groupBy("lang", "source", F.col("cell.indices").alias("idx")).agg(F.sum(F.col("cell.values").cast("long")).alias("n"))
+    key = F.xxhash64(F.lit(salt), "lang", "source").alias("key")
+    vectors = model.transform(tagged).select(key, F.unwrap_udt("vector").alias("v"))
+    cells = vectors.select("key", F.inline(F.arrays_zip("v.indices", "v.values")).alias("idx", "n"))
+    sums = cells.groupBy("key", "idx").agg(F.sum(F.col("n").cast("long")).alias("n"))
     return written(sums, "term-counts"), written(kept, "vocabulary")
 
 
@@ -116,15 +158,16 @@ def _block_pairs(key: tuple, cells: pd.DataFrame, sources: pd.DataFrame) -> pd.D
 
 def audit(documents: DataFrame) -> DataFrame:
     """(lang, source, part, item, value, rank): distances of the sources of a language, and their most typical terms."""
-    counts, vocabulary = counted(documents)
-    groups = documents.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source")).distinct()
+    groups, salt = keyed_groups(documents)
+    sums, vocabulary = counted(documents, salt)
     sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("size"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "size"])
+    totals = sums.groupBy("key").agg(F.sum("n").alias("total"))
+    groups = groups.join(totals, "key", "left").join(sizes, "lang", "left").fillna(0, ["total", "size"])
     none = F.when(F.col("size") > 0, _share("0", "total", "size")).otherwise(1)
     groups = written(groups.withColumn("p0", none.cast("long")), "groups")
-    shares = counts.join(groups, ["lang", "source"]).select("lang", "source", "idx", _share("n", "total", "size").alias("p"))
-    shares = written(shares, "term-shares")
+    counts = sums.join(groups, "key").select("lang", "source", "idx", "n", _share("n", "total", "size").alias("p"))
+    counts = written(counts, "term-shares")
+    shares = counts.select("lang", "source", "idx", "p")
 
     # Pairs, by blocks of terms.
     widest = groups.groupBy("lang").count().agg(F.max("count")).first()[0] or 1
