@@ -165,22 +165,6 @@ ELKJOP_BRANDS = ("Samsung", "LG", "Sony", "TCL", "Hisense")
 FACET_TAXONOMY = "PT351"
 YEAR_ATTRIBUTE = "33627"
 SIZE_ATTRIBUTE = "31323"
-FACET_ATTRIBUTES = (
-    "articleNumber",
-    "objectID",
-    "brand",
-    "title",
-    "name",
-    "manufacturerArticleNumber",
-    "productUrl",
-    "urlB2C",
-    "price",
-    "attributes",
-    "shortDescription",
-    "isOnline",
-    "isBuyableOnline",
-    "onlineSalesStatus",
-)
 
 # --- Fixed values: price text ------------------------------------------------------
 
