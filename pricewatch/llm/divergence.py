@@ -4,8 +4,9 @@ One ``CountVectorizer`` counts the terms of all languages: a term carries its la
 a document has one, so ``minDF`` is the least number of documents of that language. The
 vocabulary has no size limit (``vocabSize`` is the largest integer); it lies on the driver
 and on every executor, as in any use of a count vectorizer, and grows with the number of
-distinct terms of ten documents, not with the rows. The sparse document vectors are summed
-by group as (index, count) rows that combine before the shuffle; no dense sum is held.
+distinct terms of ten documents, not with the rows. It is fitted on each document's different
+terms, which decide ``minDF`` as all of them do, and counts all of them in the sparse document
+vectors. These are summed by group and index in the tasks, then by a shuffle; no dense sum is held.
 
 Pairs are evaluated by blocks of terms. In a block the cells of a source that are not zero
 are gathered against all sources of the language, which gives the sums over the terms of
@@ -22,7 +23,7 @@ give no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +33,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewatch.session import written
+from pricewatch.session import new_table_path, written
 
 MIN_DOCUMENTS = 10
 TOP_TERMS = 10
@@ -41,6 +42,8 @@ SCALE = 1_000_000_000
 _BYTES = bytes(b if chr(b).islower() or b > 127 else b + 32 if chr(b).isupper() else 32 for b in range(256))
 #: Bytes of text that are split together.
 _TOGETHER = 1 << 22
+#: Cells of document vectors that a task sums before it hands them on.
+HELD = 1 << 22
 #: Cells of the matrix of sources and terms that one task holds, with no fewer than LEAST_TERMS terms.
 CELLS, LEAST_TERMS = 1 << 14, 64
 #: Sources that one task compares with all others of the language.
@@ -67,20 +70,55 @@ def _split(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.diff(np.searchsorted(starts, edges)), found
 
 
-def _tagged_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, terms) from (lang, source, text); a term has its language in front."""
+def _tagged_terms(once: bool) -> Callable:
+    """(lang, source, terms) from (lang, source, text); a term has its language in front, and stands once or as often as in the text."""
+
+    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            while at < len(batch):
+                size = pc.binary_length(batch.column(2).slice(at)).to_numpy()
+                rows = max(1, int(np.searchsorted(np.cumsum(size, dtype="i8"), _TOGETHER)))
+                part = batch.slice(at, rows)
+                at += rows
+                counts, found = _split(part.column(2))
+                row = np.repeat(np.arange(len(part)), counts)
+                if once and len(found):
+                    coded = found.dictionary_encode()
+                    row, code = np.divmod(np.unique(row * len(coded.dictionary) + coded.indices.to_numpy()), len(coded.dictionary))
+                    found, counts = coded.dictionary.take(pa.array(code)), np.bincount(row, minlength=len(part))
+                terms = pc.binary_join_element_wise(part.column(0).take(pa.array(row)), found, " ")
+                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(ends, terms)], ["lang", "source", "terms"])
+
+    return tagged
+
+
+def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, idx, n) from (key, indices, values): sums of the sparse vectors that a task meets together."""
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def summed() -> pa.RecordBatch:
+        key, idx, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys, group = np.unique(key, return_inverse=True)
+        cell = group.astype("i8") << 32 | idx
+        order = np.argsort(cell)
+        cell = cell[order]
+        start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.empty(0, "i8")
+        total = np.add.reduceat(n[order], start) if len(start) else n[:0]
+        cell = cell[start]
+        columns = [keys[cell >> 32], (cell & 0xFFFFFFFF).astype("i4"), total.astype("i8")]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "idx", "n"])
+
     for batch in batches:
-        at = 0
-        while at < len(batch):
-            size = pc.binary_length(batch.column(2).slice(at)).to_numpy()
-            rows = max(1, int(np.searchsorted(np.cumsum(size, dtype="i8"), _TOGETHER)))
-            part = batch.slice(at, rows)
-            at += rows
-            counts, found = _split(part.column(2))
-            tags = part.column(0).take(pa.array(np.repeat(np.arange(len(part)), counts)))
-            terms = pc.binary_join_element_wise(tags, found, " ")
-            ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
-            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(ends, terms)], ["lang", "source", "terms"])
+        indices, values = batch.column(1), batch.column(2)
+        size = np.diff(indices.offsets.to_numpy())
+        held.append((np.repeat(batch.column(0).to_numpy(), size), indices.flatten().to_numpy(), values.flatten().to_numpy()))
+        if sum(len(x) for x, _, _ in held) > HELD:
+            yield summed()
+            held.clear()
+    if held:
+        yield summed()
 
 
 def _share(count: str, total: str, size: str) -> Column:
@@ -111,16 +149,19 @@ def counted(documents: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
     spark = documents.sparkSession
     texts = documents.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
     # A term has no space, so its language is all before the last one.
-    tagged = texts.mapInArrow(_tagged_terms, "lang string, source string, terms array<string>")
-    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=MIN_DOCUMENTS, vocabSize=2**31 - 1).fit(tagged)
-    vocabulary = pa.table({"idx": pa.array(range(len(model.vocabulary)), pa.int32()), "tagged": pa.array(model.vocabulary, pa.string())})
-    kept = spark.createDataFrame(vocabulary).select(
+    kind = "lang string, source string, terms array<string>"
+    once, tagged = (texts.mapInArrow(_tagged_terms(o), kind) for o in (True, False))
+    model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=MIN_DOCUMENTS, vocabSize=2**31 - 1).fit(once)
+    saved = new_table_path(spark, "vectorizer")  # so the vocabulary becomes a table without Python
+    model.write().save(saved)
+    vocabulary = spark.read.parquet(f"{saved}/data").select(F.posexplode("vocabulary").alias("idx", "tagged"))
+    kept = vocabulary.select(
         "idx", F.regexp_extract("tagged", r"(?s)^(.*) [^ ]*$", 1).alias("lang"), F.substring_index("tagged", " ", -1).alias("term")
     )
     key = F.xxhash64(F.lit(salt), "lang", "source").alias("key")
     vectors = model.transform(tagged).select(key, F.unwrap_udt("vector").alias("v"))
-    cells = vectors.select("key", F.inline(F.arrays_zip("v.indices", "v.values")).alias("idx", "n"))
-    sums = cells.groupBy("key", "idx").agg(F.sum(F.col("n").cast("long")).alias("n"))
+    cells = vectors.select("key", "v.indices", "v.values").mapInArrow(_group_sums, "key long, idx int, n long")
+    sums = cells.groupBy("key", "idx").agg(F.sum("n").alias("n"))
     return written(sums, "term-counts"), written(kept, "vocabulary")
 
 
