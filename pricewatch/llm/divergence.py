@@ -40,10 +40,8 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 #: ASCII letters, in lower case, and all bytes beyond ASCII make terms; any other byte parts them.
 _BYTES = bytes(b if chr(b).islower() or b > 127 else b + 32 if chr(b).isupper() else 32 for b in range(256))
-#: Bytes of text that are split together.
-_TOGETHER = 1 << 22
-#: Cells of document vectors that a task sums before it hands them on.
-HELD = 1 << 22
+#: Bytes of text that are split together, and cells of document vectors that are summed together.
+_BYTES_TOGETHER, TOGETHER = 1 << 20, 1 << 19
 #: Cells of the matrix of sources and terms that one task holds, with no fewer than LEAST_TERMS terms.
 CELLS, LEAST_TERMS = 1 << 14, 64
 #: Sources that one task compares with all others of the language.
@@ -78,7 +76,7 @@ def _tagged_terms(once: bool) -> Callable:
             at = 0
             while at < len(batch):
                 size = pc.binary_length(batch.column(2).slice(at)).to_numpy()
-                rows = max(1, int(np.searchsorted(np.cumsum(size, dtype="i8"), _TOGETHER)))
+                rows = max(1, int(np.searchsorted(np.cumsum(size, dtype="i8"), _BYTES_TOGETHER)))
                 part = batch.slice(at, rows)
                 at += rows
                 counts, found = _split(part.column(2))
@@ -95,30 +93,22 @@ def _tagged_terms(once: bool) -> Callable:
 
 
 def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, idx, n) from (key, indices, values): sums of the sparse vectors that a task meets together."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def summed() -> pa.RecordBatch:
-        key, idx, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        keys, group = np.unique(key, return_inverse=True)
-        cell = group.astype("i8") << 32 | idx
-        order = np.argsort(cell)
-        cell = cell[order]
-        start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.empty(0, "i8")
-        total = np.add.reduceat(n[order], start) if len(start) else n[:0]
-        cell = cell[start]
-        columns = [keys[cell >> 32], (cell & 0xFFFFFFFF).astype("i4"), total.astype("i8")]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "idx", "n"])
-
+    """(key, idx, n) from (key, indices, values): sums of sparse vectors that a task meets together."""
     for batch in batches:
-        indices, values = batch.column(1), batch.column(2)
-        size = np.diff(indices.offsets.to_numpy())
-        held.append((np.repeat(batch.column(0).to_numpy(), size), indices.flatten().to_numpy(), values.flatten().to_numpy()))
-        if sum(len(x) for x, _, _ in held) > HELD:
-            yield summed()
-            held.clear()
-    if held:
-        yield summed()
+        at = 0
+        while at < len(batch):
+            size = np.diff(batch.column(1).slice(at).offsets.to_numpy())
+            rows = max(1, int(np.searchsorted(np.cumsum(size), TOGETHER)))
+            part, size = batch.slice(at, rows), size[:rows]
+            at += rows
+            keys, group = np.unique(part.column(0).to_numpy(), return_inverse=True)
+            cell = np.repeat(group.astype("i8") << 32, size) | part.column(1).flatten().to_numpy()
+            order = np.argsort(cell)
+            n, cell = part.column(2).flatten().to_numpy()[order], cell[order]
+            start = np.flatnonzero(np.diff(cell, prepend=-1))
+            total = np.add.reduceat(n, start) if len(start) else n[:0]
+            columns = [keys[cell[start] >> 32], (cell[start] & 0xFFFFFFFF).astype("i4"), total.astype("i8")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "idx", "n"])
 
 
 def _share(count: str, total: str, size: str) -> Column:
