@@ -28,7 +28,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: five-word shingles, Jaccard 0.8 or more."""
+    """One document of each component of near copies: the SimHash trie join and bands beyond its bits, five-word shingles, Jaccard 0.8 or more."""
     return near_copies.deduplicated(docs.select(*COLUMNS))
 
 

@@ -1,14 +1,16 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates come from MinHash bands: a pair of similarity s shares a bucket with probability
-1 - (1 - s^ROWS)^BANDS, which is 0.99995 at 0.8 and rises from there. Every candidate is then
-decided by the exact similarity of both shingle sets, so no chance agreement links two texts.
-A bit budget on 64-bit fingerprints does not serve here: pairs at 0.8 differ in about ten
-bits and vary by three, and a budget that finds them leaves nearly all trie nodes open.
+Candidates come from the trie join of ``simhash`` over the fingerprints of the shingle sets,
+and, beyond its bit budget, from MinHash bands: a pair of similarity s shares a bucket with
+probability 1 - (1 - s^ROWS)^BANDS, which is 0.99995 at 0.8 and rises from there. Every
+candidate is then decided by the exact similarity of both shingle sets, so no chance agreement
+links two texts. The trie join alone does not serve: pairs at 0.8 differ in about ten bits and
+vary by three, and a budget that finds them leaves nearly all trie nodes open.
 
 Equal shingle sets are one vertex. Candidates are decided in two passes, so that a dense
-group of near copies and a crowded bucket of unlike texts both stay cheap: first each member
-of a bucket with the smallest one; then, in buckets whose members lie in different components,
+group of near copies and a crowded bucket of unlike texts both stay cheap: first the links of
+the trie join and each member of a bucket with the smallest one; then, in buckets whose members
+lie in different components,
 the pairs of different components that agree in ``AGREE`` of all ``BANDS * ROWS`` values. A
 pair at 0.8 agrees in fewer with a probability below 1 in 100,000. The second pass runs
 inside the tasks: signatures, one byte a value, are compared in blocks, what agrees is
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
 
+from pricewatch.llm import simhash
 from pricewatch.llm.columns import numbered
 from pricewatch.llm.components import components
 from pricewatch.session import written
@@ -59,23 +62,28 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter((xxh64_intdigest(g, SEED) for g in grams), "u8", len(grams)))
 
 
-def _sketch(text: str | None) -> tuple[int, np.ndarray, bytes, int]:
-    """A number for the set, one for each band, a byte of each minimum, and the size; no bands for the empty set."""
+def _sketch(text: str | None) -> tuple[int, np.ndarray, bytes, int, int]:
+    """A number for the set, one for each band, a byte of each minimum, the size and the fingerprint; no bands for the empty set."""
     from xxhash import xxh64_intdigest
 
     values = shingles(text)
     number = xxh64_intdigest(values.tobytes(), SEED)
     if not len(values):
-        return number, np.empty(0, "u8"), b"", 0
+        return number, np.empty(0, "u8"), b"", 0, 0
     low = np.full(BANDS * ROWS, np.iinfo("u8").max, "u8")
     for at in range(0, len(values), 2048):
         low = np.minimum(low, ((values[at : at + 2048] ^ _XOR) * _FACTOR).min(1))
     bands = [xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(low.reshape(BANDS, ROWS))]
-    return number, np.array(bands, "u8"), (low >> np.uint64(56)).astype("u1").tobytes(), len(values)
+    return number, np.array(bands, "u8"), (low >> np.uint64(56)).astype("u1").tobytes(), len(values), simhash.majority(values)
 
 
 _SKETCH = (
-    StructType().add("key", LongType()).add("bands", ArrayType(LongType())).add("signature", BinaryType()).add("size", IntegerType())
+    StructType()
+    .add("key", LongType())
+    .add("bands", ArrayType(LongType()))
+    .add("signature", BinaryType())
+    .add("size", IntegerType())
+    .add("fp", LongType())
 )
 
 
@@ -88,6 +96,7 @@ def sketches(texts: pd.Series) -> pd.DataFrame:
             "bands": [m[1].view("i8") for m in made],
             "signature": [m[2] for m in made],
             "size": np.array([m[3] for m in made], "i4"),
+            "fp": np.array([m[4] for m in made], "u8").view("i8"),
         }
     )
 
@@ -193,19 +202,31 @@ def _open_links(members: DataFrame, distinct: DataFrame, sets: DataFrame, links:
     return tasks.groupBy("bucket", "i", "j").applyInPandas(_links, "a long, b long")
 
 
+def _trie_pairs(distinct: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets from the trie join of their fingerprints; sets of one fingerprint pair with the smallest."""
+    prints = distinct.where("size > 0").select("key", "fp")
+    first = written(prints.groupBy("fp").agg(F.min("key").alias("first")), "fingerprints")
+    same = prints.join(first, "fp").where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    one, two = (first.select(F.col("fp").alias(fp), F.col("first").alias(key)) for fp, key in (("a", "x"), ("b", "y")))
+    apart = simhash.near(first.select("fp")).join(one, "a").join(two, "b")
+    return same.union(apart.select(F.least("x", "y"), F.greatest("x", "y")))
+
+
 def linked(rows: DataFrame, sketched: DataFrame) -> DataFrame:
-    """(vertex, root) of the sets that have a near copy; ``rows`` has __row and text, ``sketched`` __row, key, bands, signature and size."""
-    distinct = sketched.groupBy("key").agg(F.any_value(F.struct("bands", "signature", "size")).alias("s")).select("key", "s.*")
+    """(vertex, root) of the sets that have a near copy; ``rows`` has __row and text, ``sketched`` __row and the fields of a sketch."""
+    distinct = sketched.groupBy("key").agg(F.any_value(F.struct("bands", "signature", "size", "fp")).alias("s")).select("key", "s.*")
     distinct = written(distinct, "distinct-sketches")
     members = distinct.select("key", "size", F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last")
     members = written(members.join(shared.select("bucket", "first"), "bucket"), "shared-buckets")
-    found = sketched.join(members.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("__row").alias("__row"))
+    close = written(_trie_pairs(distinct), "trie-pairs")
+    wanted = members.select("key").union(close.select("a")).union(close.select("b")).distinct()
+    found = sketched.join(wanted, "key", "left_semi").groupBy("key").agg(F.min("__row").alias("__row"))
     found = written(found, "candidates")
     texts = rows.select("__row", "text").join(found.hint("shuffle_hash"), "__row")  # moved once, at every size
     sets = written(texts.select("key", shingle_sets("text").alias("set")), "shingle-sets")
-    stars = members.where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b")).distinct()
-    links = written(_alike(stars, sets), "star-links")
+    stars = members.where("key <> first").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    links = written(_alike(stars.union(close).distinct(), sets), "star-links")
     more = written(_open_links(members, distinct, sets, links), "open-links")
     return components(links.union(more), "a", "b")
 

@@ -50,7 +50,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     if not w:
         return 0
     grams = [b" ".join(g) for g in zip(*(w[i:] for i in range(shingle)), strict=False)] or [b" ".join(w)]
-    hashes = np.array([xxh64_intdigest(g, SEED) for g in grams], "<u8")
+    return majority(np.array([xxh64_intdigest(g, SEED) for g in grams], "<u8"))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half the hashes, as an unsigned number."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at : at + 4096]

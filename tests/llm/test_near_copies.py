@@ -96,3 +96,23 @@ def test_clashing_columns_and_a_very_long_text(spark):
     assert got.columns == docs.columns
     assert sorted(r.doc_id for r in got.collect()) == [0, 3, 4]
     assert near_copies.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_trie_join_links_what_no_band_shares(spark):
+    """Pairs within the bits of the trie join are decided, also where every bucket has one member only."""
+    from pyspark.sql import functions as F
+
+    from pricewatch.llm import near_copies, simhash
+
+    pairs = [changed(400, 4, seed) for seed in range(40)]
+    texts = [t for pair in pairs for t in pair] + [" ".join(prose(60, 700)), None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "__row long, text string").repartition(3)
+    made = rows.select("__row", F.explode(F.array(near_copies.sketches("text"))).alias("s")).select("__row", "s.*")
+    alone = made.withColumn("bands", F.transform("bands", lambda band, i: F.xxhash64("key", i)))
+    links = {frozenset((r.vertex, r.root)) for r in near_copies.linked(rows, alone).collect()}
+    sets = [near_copies.shingles(t) for t in texts]
+    bits = [(simhash.majority(a) ^ simhash.majority(b)).bit_count() for a, b in zip(sets[:80:2], sets[1:80:2], strict=True)]
+    near = [i for i, n in enumerate(bits) if n <= simhash.BUDGET]
+    assert len(near) > 30
+    key = {r["__row"]: r.key for r in made.collect()}
+    assert links == {frozenset((key[2 * i], key[2 * i + 1])) for i in near}
