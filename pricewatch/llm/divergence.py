@@ -5,8 +5,10 @@ a document has one, so ``minDF`` is the least number of documents of that langua
 vocabulary has no size limit (``vocabSize`` is the largest integer); it lies on the driver
 and on every executor, as in any use of a count vectorizer, and grows with the number of
 distinct terms of ten documents, not with the rows. It is fitted on each document's different
-terms, which decide ``minDF`` as all of them do, and counts all of them in the sparse document
-vectors. These are summed by group and index in the tasks, then by a shuffle; no dense sum is held.
+terms, which decide ``minDF`` as all of them do. It then turns the texts of a group that a task
+meets together into sparse vectors, one for each binary digit of the terms' numbers there, so a
+repeated term is looked up once a digit. The vectors are summed by group and index, weighed by
+their digit, in the tasks, then by a shuffle; no dense sum is held.
 
 Pairs are evaluated by blocks of terms. In a block the cells of a source that are not zero
 are gathered against all sources of the language, which gives the sums over the terms of
@@ -23,7 +25,7 @@ give no rows; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,8 +42,8 @@ TOP_TERMS = 10
 SCALE = 1_000_000_000
 #: ASCII letters, in lower case, and all bytes beyond ASCII make terms; any other byte parts them.
 _BYTES = bytes(b if chr(b).islower() or b > 127 else b + 32 if chr(b).isupper() else 32 for b in range(256))
-#: Bytes of text that are split together, and cells of document vectors that are summed together.
-_BYTES_TOGETHER, TOGETHER = 1 << 20, 1 << 19
+#: Bytes of text that are split together, for a fit and for a count of groups, and cells of vectors that are summed together.
+_BYTES_TOGETHER, _BYTES_GROUPED, TOGETHER = 1 << 20, 1 << 22, 1 << 19
 #: Cells of the matrix of sources and terms that one task holds, with no fewer than LEAST_TERMS terms.
 CELLS, LEAST_TERMS = 1 << 14, 64
 #: Sources that one task compares with all others of the language.
@@ -68,32 +70,65 @@ def _split(text: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.diff(np.searchsorted(starts, edges)), found
 
 
-def _tagged_terms(once: bool) -> Callable:
-    """(lang, source, terms) from (lang, source, text); a term has its language in front, and stands once or as often as in the text."""
+def _slices(batches: Iterator[pa.RecordBatch], together: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, pa.Array]]:
+    """Slices of (lang, source, text) of so many bytes of text, with the number of terms of each text and all terms in order."""
+    for batch in batches:
+        at = 0
+        while at < len(batch):
+            size = pc.binary_length(batch.column(2).slice(at)).to_numpy()
+            rows = max(1, int(np.searchsorted(np.cumsum(size, dtype="i8"), together)))
+            part = batch.slice(at, rows)
+            at += rows
+            yield part, *_split(part.column(2))
+
 
-    def tagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            while at < len(batch):
-                size = pc.binary_length(batch.column(2).slice(at)).to_numpy()
-                rows = max(1, int(np.searchsorted(np.cumsum(size, dtype="i8"), _BYTES_TOGETHER)))
-                part = batch.slice(at, rows)
-                at += rows
-                counts, found = _split(part.column(2))
-                row = np.repeat(np.arange(len(part)), counts)
-                if once and len(found):
-                    coded = found.dictionary_encode()
-                    row, code = np.divmod(np.unique(row * len(coded.dictionary) + coded.indices.to_numpy()), len(coded.dictionary))
-                    found, counts = coded.dictionary.take(pa.array(code)), np.bincount(row, minlength=len(part))
-                terms = pc.binary_join_element_wise(part.column(0).take(pa.array(row)), found, " ")
-                ends = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4"))
-                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(ends, terms)], ["lang", "source", "terms"])
+def _lists(sizes: np.ndarray, terms: pa.Array) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype("i4")), terms)
 
-    return tagged
+
+def _different_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(terms) from (lang, source, text): each term of a text once, with its language in front."""
+    for part, counts, found in _slices(batches, _BYTES_TOGETHER):
+        if len(found):
+            coded = found.dictionary_encode()
+            row = np.repeat(np.arange(len(part)), counts)
+            row, code = np.divmod(np.unique(row * len(coded.dictionary) + coded.indices.to_numpy()), len(coded.dictionary))
+            terms = pc.binary_join_element_wise(part.column(0).take(pa.array(row)), coded.dictionary.take(pa.array(code)), " ")
+            yield pa.RecordBatch.from_arrays([_lists(np.bincount(row, minlength=len(part)), terms)], ["terms"])
+
+
+def _digits_of_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, digit, terms) from (lang, source, text): the terms whose number in the group's texts of a slice has that binary digit."""
+    for part, counts, found in _slices(batches, _BYTES_GROUPED):
+        if not len(found):
+            continue
+        lang, source, coded = (c.dictionary_encode() for c in (part.column(0), part.column(1), found))
+        group = lang.indices.to_numpy().astype("i8") * len(source.dictionary) + source.indices.to_numpy()
+        groups, group = np.unique(group, return_inverse=True)
+        cell, n = np.unique(np.repeat(group, counts) * len(coded.dictionary) + coded.indices.to_numpy(), return_counts=True)
+        row, code = np.divmod(cell, len(coded.dictionary))
+        of_lang, of_source = np.divmod(groups, len(source.dictionary))
+        for digit in range(int(n.max()).bit_length()):
+            there = np.flatnonzero(n >> digit & 1)
+            if not len(there):
+                continue
+            sizes = np.bincount(row[there], minlength=len(groups))
+            used = np.flatnonzero(sizes)
+            tags = lang.dictionary.take(pa.array(of_lang[row[there]]))
+            terms = pc.binary_join_element_wise(tags, coded.dictionary.take(pa.array(code[there])), " ")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    lang.dictionary.take(pa.array(of_lang[used])),
+                    source.dictionary.take(pa.array(of_source[used])),
+                    pa.array(np.full(len(used), digit, "i4")),
+                    _lists(sizes[used], terms),
+                ],
+                ["lang", "source", "digit", "terms"],
+            )
 
 
 def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, idx, n) from (key, indices, values): sums of sparse vectors that a task meets together."""
+    """(key, idx, n) from (key, indices, values, digit): sums of sparse vectors that a task meets together, weighed by their digits."""
     for batch in batches:
         at = 0
         while at < len(batch):
@@ -104,7 +139,8 @@ def _group_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, group = np.unique(part.column(0).to_numpy(), return_inverse=True)
             cell = np.repeat(group.astype("i8") << 32, size) | part.column(1).flatten().to_numpy()
             order = np.argsort(cell)
-            n, cell = part.column(2).flatten().to_numpy()[order], cell[order]
+            n = part.column(2).flatten().to_numpy().astype("i8") << np.repeat(part.column(3).to_numpy().astype("i8"), size)
+            n, cell = n[order], cell[order]
             start = np.flatnonzero(np.diff(cell, prepend=-1))
             total = np.add.reduceat(n, start) if len(start) else n[:0]
             columns = [keys[cell[start] >> 32], (cell[start] & 0xFFFFFFFF).astype("i4"), total.astype("i8")]
@@ -139,8 +175,8 @@ def counted(documents: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
     spark = documents.sparkSession
     texts = documents.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
     # A term has no space, so its language is all before the last one.
-    kind = "lang string, source string, terms array<string>"
-    once, tagged = (texts.mapInArrow(_tagged_terms(o), kind) for o in (True, False))
+    once = texts.mapInArrow(_different_terms, "terms array<string>")
+    tagged = texts.mapInArrow(_digits_of_terms, "lang string, source string, digit int, terms array<string>")
     model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=MIN_DOCUMENTS, vocabSize=2**31 - 1).fit(once)
     saved = new_table_path(spark, "vectorizer")  # so the vocabulary becomes a table without Python
     model.write().save(saved)
@@ -149,8 +185,8 @@ def counted(documents: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
         "idx", F.regexp_extract("tagged", r"(?s)^(.*) [^ ]*$", 1).alias("lang"), F.substring_index("tagged", " ", -1).alias("term")
     )
     key = F.xxhash64(F.lit(salt), "lang", "source").alias("key")
-    vectors = model.transform(tagged).select(key, F.unwrap_udt("vector").alias("v"))
-    cells = vectors.select("key", "v.indices", "v.values").mapInArrow(_group_sums, "key long, idx int, n long")
+    vectors = model.transform(tagged).select(key, "digit", F.unwrap_udt("vector").alias("v"))
+    cells = vectors.select("key", "v.indices", "v.values", "digit").mapInArrow(_group_sums, "key long, idx int, n long")
     sums = cells.groupBy("key", "idx").agg(F.sum("n").alias("n"))
     return written(sums, "term-counts"), written(kept, "vocabulary")
 

@@ -240,3 +240,17 @@ def test_cells_bring_pairs_together(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(8)
     found = near_vectors.grouped(table).where("n_links > 0").count()
     assert found >= 0.999 * 4000
+
+
+def test_repeated_terms_of_a_group_are_looked_up_once_a_digit():
+    import pyarrow as pa
+
+    texts = ["beta " * 5, "", "alpha " * 1000, "Beta"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 4), pa.array(["s", "s", "s", "t"]), pa.array(texts)], ["lang", "source", "text"])
+    rows = [r for out in divergence._digits_of_terms(iter([batch])) for r in out.to_pylist()]
+    counts = {}
+    for r in rows:
+        for term in r["terms"]:
+            counts[r["source"], term] = counts.get((r["source"], term), 0) + (1 << r["digit"])
+    assert counts == {("s", "en beta"): 5, ("s", "en alpha"): 1000, ("t", "en beta"): 1}
+    assert sum(len(r["terms"]) for r in rows) == 2 + 6 + 1
