@@ -52,7 +52,8 @@ def bodies(flat, drifting):
             ).alias("results")
         )
     )
-    return pages.join(totals, "year").select("year", "page_index", body.alias("body"))
+    # One row per year; a shuffle by year would bring all pages of a year to one task.
+    return pages.join(F.broadcast(totals), "year").select("year", "page_index", body.alias("body"))
 
 
 def hits(r):

@@ -196,9 +196,10 @@ def _verdicts(pages: DataFrame, hits: DataFrame) -> dict[str, DataFrame]:
 def api_items(responses: DataFrame) -> DataFrame:
     """Catalogue items of an API capture; raises when any gate finds a violation.
 
-    The responses are parsed once; gates and items read the written rows. All gates are one
-    job of a few rows, and the first broken one is named.
+    The responses are built once and their hits parsed once; gates and items read the written
+    rows. All gates are one job of a few rows, and the first broken one is named.
     """
+    responses = written(responses, "api-responses")
     pages, hits = written(api_pages(responses), "api-pages"), written(api_hits(responses), "api-hits")
     broken = {r["gate"] for r in reconcile.api_gates(pages, hits).where("violations > 0").collect()}
     for gate in reconcile.API_GATES:
