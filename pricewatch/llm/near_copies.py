@@ -35,6 +35,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stru
 from pricewatch.llm import simhash
 from pricewatch.llm.columns import numbered
 from pricewatch.llm.components import components
+from pricewatch.llm.simhash import majority
 from pricewatch.session import written
 
 SHINGLE = 5
@@ -74,7 +75,7 @@ def _sketch(text: str | None) -> tuple[int, np.ndarray, bytes, int, int]:
     for at in range(0, len(values), 2048):
         low = np.minimum(low, ((values[at : at + 2048] ^ _XOR) * _FACTOR).min(1))
     bands = [xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(low.reshape(BANDS, ROWS))]
-    return number, np.array(bands, "u8"), (low >> np.uint64(56)).astype("u1").tobytes(), len(values), simhash.majority(values)
+    return number, np.array(bands, "u8"), (low >> np.uint64(56)).astype("u1").tobytes(), len(values), majority(values)
 
 
 _SKETCH = (

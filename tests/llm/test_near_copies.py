@@ -116,3 +116,17 @@ def test_trie_join_links_what_no_band_shares(spark):
     assert len(near) > 30
     key = {r["__row"]: r.key for r in made.collect()}
     assert links == {frozenset((key[2 * i], key[2 * i + 1])) for i in near}
+
+
+def test_sketches_ship_to_executors_without_the_library(spark):
+    from pyspark import cloudpickle
+
+    from pricewatch.llm import near_copies, simhash
+
+    for module in (near_copies, simhash):
+        cloudpickle.register_pickle_by_value(module)
+    try:
+        assert cloudpickle.dumps(near_copies.sketches.func)
+    finally:
+        for module in (near_copies, simhash):
+            cloudpickle.unregister_pickle_by_value(module)
