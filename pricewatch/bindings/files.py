@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pricewatch.bindings.registry import query
 from pricewatch.fixed_values import PRICE_LOG_CSV_HEADER
 from pricewatch.session import new_table_path
-from pricewatch.sinks import export_csv
+from pricewatch.sinks import export_csv, write_log_files
 from pricewatch.sources.links import active_links, read_links
 from pricewatch.sources.price_log import price_history, read_price_csvs
 from pricewatch.sources.run_logs import read_log_files
@@ -44,7 +44,5 @@ def price_csv_files(r):
 def log_files(r):
     """Each run's lines as a text file, read back with their numbers."""
     path = new_table_path(r.spark, "run-logs")
-    lines = r["run_log"].selectExpr("run_id", "CAST(line_no AS BIGINT) AS line_no", "line")
-    dealt = lines.repartition("run_id").sortWithinPartitions("run_id", "line_no").select("line", F.col("run_id").alias("run"))
-    dealt.write.partitionBy("run").text(path)
+    write_log_files(r["run_log"].selectExpr("run_id", "CAST(line_no AS BIGINT) AS line_no", "line"), path)
     return read_log_files(r.spark, path, r"/run=([^/]+)/")

@@ -141,5 +141,16 @@ def append_recovered(existing: DataFrame, recovered: DataFrame, path: str, run:
     return True
 
 
+def write_log_files(lines: DataFrame, path: str) -> None:
+    """Run logs (run_id, line_no, line) as text files: each run's lines in order, in one file of its folder ``run=…``.
+
+    Creating the files is the work, so the runs are dealt to a stated number of tasks.
+    Adaptive execution goes by bytes, of which logs have few, and would leave one task.
+    """
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = lines.repartition(tasks, "run_id").sortWithinPartitions("run_id", "line_no")
+    dealt.select("line", F.col("run_id").alias("run")).write.partitionBy("run").text(path)
+
+
 def export_csv(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

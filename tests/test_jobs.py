@@ -10,6 +10,7 @@ from test_sources import hit, page
 from pricewatch import sinks
 from pricewatch.operators import match, retention, scope
 from pricewatch.plans import catalogue, monitor
+from pricewatch.sources.run_logs import read_log_files
 from pricewatch.streaming import results as streaming
 
 
@@ -32,6 +33,16 @@ def test_append_and_trim(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 2
 
 
+def test_log_files_are_written_by_several_tasks(spark, tmp_path):
+    rows = [(f"r{i}", n, f"r{i} line {n}") for i in range(40) for n in (3, 1, 2)]
+    path = str(tmp_path / "logs")
+    sinks.write_log_files(spark.createDataFrame(rows, "run_id string, line_no long, line string").coalesce(1), path)
+    files = [f.name for f in (tmp_path / "logs").rglob("*.txt")]
+    assert len(files) == 40 and len({name[:10] for name in files}) > 1
+    back = read_log_files(spark, path, r"/run=([^/]+)/").collect()
+    assert sorted(map(tuple, back)) == sorted(rows)
+
+
 def test_trim_window(spark):
     days = ["2026-08-31", "2026-7-17", "2026-07-16", "bad", "", None]
     df = spark.createDataFrame([(d,) for d in days], "obs_date string")
