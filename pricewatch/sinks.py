@@ -153,4 +153,6 @@ def write_log_files(lines: DataFrame, path: str) -> None:
 
 
 def export_csv(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Rows as CSV files with a header; cells keep blanks and line breaks at their ends."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.mode("overwrite").options(header=True, escape='"', **kept).csv(path)
