@@ -12,7 +12,7 @@ from pricewatch.fixed_values import CATALOG_COLUMNS, VARIANTS_PER_SEED
 from pricewatch.operators import match, scope
 from pricewatch.operators.reconcile import family_sizes as count_sizes
 from pricewatch.plans import catalogue as plan
-from pricewatch.session import new_table_path
+from pricewatch.session import new_table_path, spread
 from pricewatch.sinks import write_catalog
 from pricewatch.sources.catalogue import recent_snapshots as newest_rows
 
@@ -357,8 +357,8 @@ def catalogue_amazon_follow_up(r):
         "CAST(NULL AS array<struct<asin: string, text: string>>) AS refs",
     )
     found = plan.LookedUp(searches, pages.unionByName(more))
-    all_of = plan.Budgets(*[1_000_000] * 4)
+    all_of = plan.Budgets(*[2**31 - 1] * 4)  # the whole job, whatever the size of the tables
     rows = lambda: plan.amazon_rows(
-        cards.filter("p_size <= 20"), "GB", found=found, history=match.family_columns(earlier), budgets=all_of
+        cards.filter("p_size <= 20"), "GB", found=found, history=match.family_columns(spread(earlier)), budgets=all_of
     )
     return _job(r, "amazon_gb", rows).select("asin", "brand_raw", "url", "price_local", "price_hint_eur")

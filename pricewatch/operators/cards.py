@@ -44,15 +44,24 @@ def _own_reason() -> Column:
     )
 
 
+def read_cards(cards: DataFrame) -> DataFrame:
+    """Cards with their attributes, and what ``reasons_among`` needs of each: its own reason and its key."""
+    # Blank ids match nothing; keys of their own keep them from meeting in one task.
+    key = F.when(F.col("asin") == "", F.concat_ws(" ", F.lit("blank"), *_ORDER)).otherwise(F.col("asin"))
+    return computed_once(card_attributes(cards), {"__own": _own_reason(), "__key": key})
+
+
 def card_reasons(cards: DataFrame) -> DataFrame:
     """Every card with the first reason to drop it, null for the kept one.
 
     A product counts as held from its first valid card on; later cards of it are
     duplicates whatever they show. ``query_no``, ``page``, ``pos`` give capture order.
     """
-    # Blank ids match nothing; keys of their own keep them from meeting in one task.
-    key = F.when(F.col("asin") == "", F.concat_ws(" ", F.lit("blank"), *_ORDER)).otherwise(F.col("asin"))
-    shown = computed_once(card_attributes(cards), {"__own": _own_reason(), "__key": key})
+    return reasons_among(read_cards(cards))
+
+
+def reasons_among(shown: DataFrame) -> DataFrame:
+    """``card_reasons`` of read cards, which it goes through twice."""
     here = F.struct(*_ORDER)
     valid = ~F.col("sponsored") & F.col("__own").isNull()
     first = shown.filter(valid).groupBy("__key").agg(F.min(here).alias("__first"))

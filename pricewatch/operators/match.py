@@ -24,6 +24,7 @@ from pricewatch.functions import attributes, classify, identity, price
 from pricewatch.functions.once import computed_once
 from pricewatch.functions.text import blank_to_null, or_empty, strip
 from pricewatch.functions.trend import trend_code
+from pricewatch.session import spread
 
 BATCH_KEY = ["channel", "batch_key"]
 
@@ -265,14 +266,13 @@ def variant_expand(seeds: DataFrame, held: DataFrame, details: DataFrame,
         .filter(F.col("asin") != "")
         .join(held, "asin", "left_anti")
     )
-    found = refs.join(details, "asin").withColumn("title", strip(or_empty(F.col("title"))))
+    # Generated, text rules read the joined titles only; filters on them would move to all details.
+    found = spread(computed_once(refs.join(details, "asin"), {"title": strip(or_empty(F.col("title")))}))
     brand = F.coalesce(blank_to_null(attributes.brand_by_word(F.col("title"))), F.col("seed_brand"))
     size = F.coalesce(attributes.size_amazon(F.col("title")), attributes.size_amazon(F.col("ref_text")))
-    valid = computed_once(found, {"brand_raw": brand, "size_hint_inch": size}).filter(
-        (F.col("title") != "")
-        & (F.col("brand_raw") != "")
-        & F.col("size_hint_inch").isNotNull()
-        & ~classify.is_non_tv(F.col("title"))
+    read = {"brand_raw": brand, "size_hint_inch": size, "__other": classify.is_non_tv(F.col("title"))}
+    valid = computed_once(found, read).filter(
+        (F.col("title") != "") & (F.col("brand_raw") != "") & F.col("size_hint_inch").isNotNull() & ~F.col("__other")
     )
     first = F.min(F.struct("seed_pos", "pos", "brand_raw", "title", "size_hint_inch", "price_text"))
     return valid.groupBy("asin").agg(first.alias("__v")).select(

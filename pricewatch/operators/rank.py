@@ -21,7 +21,9 @@ from pricewatch.fixed_values import (
 from pricewatch.functions import classify
 from pricewatch.functions.text import or_empty
 from pricewatch.operators.match import FAMILY
+from pricewatch.operators.ordered import running_total
 from pricewatch.operators.reconcile import family_sizes
+from pricewatch.session import written
 
 
 def brand_rank(brand: Column) -> Column:
@@ -62,10 +64,14 @@ def fair_pick(items: DataFrame, order: list, budget: int) -> DataFrame:
     """One item per brand in turn until the budget is spent; adds ``pick_no`` from 1."""
     turn = F.row_number().over(Window.partitionBy("brand_key").orderBy(*order))
     cut = items.withColumn("turn", turn).filter(F.col("turn") <= budget)
-    chosen = cut.orderBy("turn", brand_rank(F.col("brand_key")), "brand_key").limit(budget)
-    # At most `budget` rows are left to number.
-    sequence = Window.orderBy("turn", brand_rank(F.col("brand_key")), "brand_key")
-    return chosen.withColumn("pick_no", F.row_number().over(sequence)).drop("turn")
+    # A turn holds one row of a brand at most. Turns are numbered each on its own, after the rows of
+    # the turns before, so that no task sees all picks where the budget is large.
+    cut = written(cut, "turns")
+    turns = running_total(cut.groupBy("turn").agg(F.count("*").alias("__n")), [], "turn", "__n", "__so_far")
+    before = turns.select("turn", (F.col("__so_far") - F.col("__n")).alias("__before"))
+    in_turn = F.row_number().over(Window.partitionBy("turn").orderBy(brand_rank(F.col("brand_key")), "brand_key"))
+    numbered = cut.join(before, "turn").withColumn("pick_no", (F.col("__before") + in_turn).cast("int"))
+    return numbered.filter(F.col("pick_no") <= budget).drop("turn", "__before").orderBy("pick_no")
 
 
 def variant_seeds(items: DataFrame, budget: int = VARIANT_SEED_BUDGET, per_family: int = SEEDS_PER_FAMILY) -> DataFrame:

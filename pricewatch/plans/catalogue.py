@@ -28,7 +28,7 @@ from pricewatch.functions.text import blank_to_null, or_empty, strip
 from pricewatch.operators import cards as card_ops
 from pricewatch.operators import match, rank, reconcile
 from pricewatch.schemas import canaries, markets
-from pricewatch.session import written
+from pricewatch.session import spread, written
 from pricewatch.sinks import write_catalog
 from pricewatch.sources.api import api_hits, api_pages, hit_items
 
@@ -40,12 +40,12 @@ class CatalogueRejected(RuntimeError):
 def market_items(cards: DataFrame, currency: str) -> DataFrame:
     """Kept search cards of one market as catalogue items with family columns.
 
-    A later card of a kept product adds nothing but its variant hint.
+    A later card of a kept product adds nothing but its variant hint. Each card is read once.
     """
-    judged = card_ops.card_reasons(cards)
-    kept = with_market_price(card_ops.kept_cards(judged), F.col("price_text"), F.lit(currency))
+    judged = card_ops.reasons_among(written(card_ops.read_cards(cards), "read-cards"))
+    kept = with_market_price(spread(card_ops.kept_cards(judged)), F.col("price_text"), F.lit(currency))
     again = judged.filter(F.col("reason") == "duplicate").select("asin", "variant_hint")
-    items = match.flag_seen(again, kept).select(
+    items = kept.select(
         "asin",
         "pos",
         "brand_raw",
@@ -57,7 +57,7 @@ def market_items(cards: DataFrame, currency: str) -> DataFrame:
         "price_eur",
         F.when(~F.col("currency").isin("", "EUR"), FX_RATE_DATE).alias("fx_rate_date"),
     )
-    return match.family_columns(items)
+    return match.flag_seen(again, match.family_columns(items))
 
 
 @dataclass(frozen=True)
@@ -107,11 +107,13 @@ def _detail_items(wanted: DataFrame, details: DataFrame, currency: str) -> DataF
     """Valid detail pages of the wanted products; the brand falls back to the one known before."""
     title = strip(or_empty(F.col("title")))
     known = wanted.select("asin", "pos", F.col("brand_raw").alias("known_brand"))
-    found = known.join(details.select("asin", "title", "price_text"), "asin").withColumn("title", title)
+    # Generated, text rules read the joined titles only; filters on them would move to all details.
+    found = spread(computed_once(known.join(details.select("asin", "title", "price_text"), "asin"), {"title": title}))
     brand = F.coalesce(blank_to_null(attributes.brand_by_word(F.col("title"))), F.col("known_brand"))
     size = attributes.size_amazon(F.col("title"))
-    valid = computed_once(found, {"brand_raw": brand, "size_hint_inch": size}).filter(
-        (F.col("title") != "") & F.col("size_hint_inch").isNotNull() & ~classify.is_non_tv(F.col("title"))
+    read = {"brand_raw": brand, "size_hint_inch": size, "__other": classify.is_non_tv(F.col("title"))}
+    valid = computed_once(found, read).filter(
+        (F.col("title") != "") & F.col("size_hint_inch").isNotNull() & ~F.col("__other")
     )
     return _as_items(valid.withColumnRenamed("title", "raw_text"), currency)
 
@@ -135,6 +137,7 @@ def follow_up(items: DataFrame, history: DataFrame, found: LookedUp, currency: s
     each step; the driver sees only whether a question is left.
     """
     held = written(items.select(*ITEM_COLUMNS), "held-items")
+    history = written(history, "earlier-items")
     # A question leaves the candidates once it was asked, so the picks move on.
     asked = {name: None for name in ("rescue", "recovery", "seeds")}
     done = 0
@@ -157,11 +160,12 @@ def follow_up(items: DataFrame, history: DataFrame, found: LookedUp, currency: s
     while rounds is None or done < rounds:
         done += 1
         families = remember("rescue", rank.series_rescue(fresh("rescue", held, match.FAMILY), budgets.rescue), match.FAMILY)
-        cards = found.searches.join(families.select("query").distinct(), "query", "left_semi")
+        cards = spread(found.searches.join(families.select("query").distinct(), "query", "left_semi"))
         add(market_items(cards, currency).select(*ITEM_COLUMNS))
 
-        missing = match.missing_sizes(fresh("recovery", history, ["asin"]), held)
-        previous = remember("recovery", rank.recovery_pick(match.unseen(missing, held), budgets.recovery), ["asin"])
+        missing = match.unseen(match.missing_sizes(fresh("recovery", history, ["asin"]), held), held)
+        picked = rank.recovery_pick(written(missing, "missing-items"), budgets.recovery)
+        previous = remember("recovery", picked, ["asin"])
         add(_detail_items(previous, found.details, currency))
 
         candidates = held.filter(classify.is_variant_candidate(F.col("raw_text"), F.col("variant_hint")))
@@ -267,6 +271,7 @@ def amazon_rows(cards: DataFrame, market: str, anchors: DataFrame | None = None,
     looked-up anchors (asin, price, currency) are given and none is near its known price.
     """
     spark = cards.sparkSession
+    cards = written(spread(cards), "market-cards")
     known = markets(spark).filter(F.col("market") == market)
     shown = match.search_currency_canary(cards.withColumn("market", F.lit(market)), known)
     if shown.filter("passed").isEmpty():

@@ -143,6 +143,32 @@ def test_follow_up_goes_on_until_nothing_is_new(spark):
     assert sorted(r.asin for r in catalogue.amazon_rows(first, "GB").collect()) == ["B000000001", "B000000002"]
 
 
+def test_cards_are_dealt_to_many_tasks_and_read_once(spark, monkeypatch):
+    read = {}
+
+    def noted(rows, name, written=catalogue.written):
+        read.setdefault(name, rows.inputFiles())
+        return written(rows, name)
+
+    monkeypatch.setattr(catalogue, "written", noted)
+    shown = cards(spark, *(("samsung", f"B{i:09d}", "Samsung 55 inch S95H TV", False) for i in range(80)))
+    items = catalogue.amazon_rows(shown.coalesce(1), "GB")
+    assert items.count() == 80
+    assert len(read["read-cards"]) > 1 and all("/market-cards-" in f for f in read["read-cards"])
+    assert items.inputFiles() and all("/read-cards-" in f for f in items.inputFiles())
+
+
+def test_text_rules_read_the_wanted_details_only(spark):
+    wanted = spark.createDataFrame([("A", 1, "LG")], "asin string, pos int, brand_raw string")
+    titles = [("A", "LG 55 inch C6 TV", "£1"), ("B", "LG 65 inch C6 TV", "£2")]
+    details = spark.createDataFrame(titles, "asin string, title string, price_text string")
+    items = catalogue._detail_items(wanted, details, "GBP")
+    assert [(r.asin, r.size) for r in items.collect()] == [("A", 55)]
+    optimised = items._jdf.queryExecution().optimizedPlan().toString()
+    below = optimised[optimised.index("Join Inner"):]
+    assert "RLIKE" in optimised and "RLIKE" not in below and "regexp" not in below
+
+
 @pytest.mark.parametrize(("split_bytes", "block"), [("64", 5), ("1000", 1 << 16), ("1000000", 3)])
 def test_csv_records_across_splits(spark, tmp_path, split_bytes, block):
     draw = random.Random(1)

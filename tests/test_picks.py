@@ -83,6 +83,17 @@ def test_seeds_match_a_loop(spark, seed):
     assert [r.pos for r in few] == want[:7]
 
 
+def test_large_budgets_are_numbered_by_many_tasks(spark):
+    rows = [(i, f"b{i % 3}" if i % 7 else None, i // 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "pos int, brand_key string, cost int").repartition(4)
+    picked = rank.fair_pick(df, ["cost", "pos"], 1_000_000)
+    assert "TakeOrdered" not in picked._jdf.queryExecution().executedPlan().toString()
+    groups = [sorted((r[2], r[0]) for r in rows if r[1] == b) for b in (None, "b0", "b1", "b2")]
+    want = [g[turn][1] for turn in range(300) for g in groups if turn < len(g)]
+    assert [(r.pos, r.pick_no) for r in picked.collect()] == [(pos, n) for n, pos in enumerate(want, 1)]
+    assert [r.pos for r in rank.fair_pick(df, ["cost", "pos"], 10).collect()] == want[:10]
+
+
 CARD = ("query_no int, query string, page int, pos int, product_key string, brand string, title string, size_text string, "
         "sponsored boolean, variant_hint boolean")
 
